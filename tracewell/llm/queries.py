@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tracewell.llm import decontam, langid, linededup, minhash, packing, quality, simhash, tokenbin, urlfilter
+from tracewell.llm import decontam, langid, linededup, minhash, packing, pii, quality, simhash, tokenbin, urlfilter
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -43,6 +43,10 @@ def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op8_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.digest(pii.detect(table(spark, sf_dir, "documents")))
+
+
 def op9_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.with_edits(table(spark, sf_dir, "documents"))
 
@@ -53,7 +57,7 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
-    for f in (op1_simhash, op2_packing, op3_token_files, op4_decontamination, op5_line_dedup, op6_language, op7_quality, op9_minhash, op10_url_filter)
+    for f in (op1_simhash, op2_packing, op3_token_files, op4_decontamination, op5_line_dedup, op6_language, op7_quality, op8_pii, op9_minhash, op10_url_filter)
 }
 
 ORACLE_SQL: dict[str, str] = {
