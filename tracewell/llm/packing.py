@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tracewell.llm.tokenize import BatchTokenizer, blocks
+from tracewell.llm import tokenize
 
 CHUNK_PIECES = 16_384
 #: Room (as a part of the window) above which a chunk's sequence is opened again.
@@ -113,11 +113,11 @@ def pieces(docs: DataFrame, vocabulary: str, end_id: int, window: int) -> DataFr
     allows, else 32), doc_tokens, bits, and deal, a hash of the piece."""
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokenizer = BatchTokenizer(vocabulary)
+        tokenizer = tokenize.tokenizer(vocabulary)
         kind = np.dtype("<u2" if max(tokenizer.n_vocab, end_id + 1) <= 1 << 16 else "<u4")
         for batch in batches:
             at = 0
-            for block in blocks(t.as_py() for t in batch.column(1)):
+            for block in tokenize.blocks(t.as_py() for t in batch.column(1)):
                 doc, start, data, total, deal = [], [], [], [], []
                 for k, ids in enumerate(tokenizer.ids(block), at):
                     ids = np.append(ids, np.uint32(end_id)).astype(kind)

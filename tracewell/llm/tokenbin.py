@@ -21,8 +21,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tracewell.llm import tokenize
 from tracewell.llm.common import fresh_path, order_bounds, part_of, planned_partitions
-from tracewell.llm.tokenize import BatchTokenizer, blocks
 
 NULL_ID = np.iinfo(np.int64).min
 #: Offsets that a reading task holds at once.
@@ -61,7 +61,7 @@ def write(docs: DataFrame, uri: str, vocabulary: str = "byte_bpe_50k.json", end_
     def put(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        context, tokenizer = TaskContext.get(), BatchTokenizer(vocabulary)
+        context, tokenizer = TaskContext.get(), tokenize.tokenizer(vocabulary)
         kind = "<u2" if max(tokenizer.n_vocab, end_id + 1) <= 1 << 16 else "<u4"
         system, path = filesystem(uri)
         name, attempt = f"part-{context.partitionId():06d}", f".attempt-{context.taskAttemptId()}"
@@ -71,7 +71,7 @@ def write(docs: DataFrame, uri: str, vocabulary: str = "byte_bpe_50k.json", end_
             if not files:
                 files = {x: system.open_output_stream(f"{path}/{name}.{x}{attempt}") for x in ("ids", "offsets", "docs")}
                 files["offsets"].write(np.zeros(1, "<u8").tobytes())
-            for block in blocks(t.as_py() for t in batch.column(1)):
+            for block in tokenize.blocks(t.as_py() for t in batch.column(1)):
                 found = [np.append(ids, np.uint32(end_id)).astype(kind) for ids in tokenizer.ids(block)]
                 files["ids"].write(np.concatenate(found).tobytes())
                 files["offsets"].write((n_ids + np.cumsum([len(x) for x in found])).astype("<u8").tobytes())

@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterable
+from functools import lru_cache
 from itertools import chain, repeat
 
 import numpy as np
@@ -39,7 +40,7 @@ class BatchTokenizer:
 
     LONGEST_PIECE = 48
 
-    def __init__(self, vocabulary: str, table_size: int = 600_000):
+    def __init__(self, vocabulary: str, table_size: int = 400_000):
         from tokenizers import Tokenizer
 
         self.lib = Tokenizer.from_file(vocabulary_path(vocabulary))
@@ -134,6 +135,12 @@ class BatchTokenizer:
         return out
 
 
+@lru_cache(maxsize=1)
+def tokenizer(vocabulary: str) -> BatchTokenizer:
+    """This process's tokenizer: a worker's next task finds the pieces that its last one met."""
+    return BatchTokenizer(vocabulary)
+
+
 def blocks(texts: Iterable[str | None], most_chars: int = 1 << 19) -> Iterable[list[str]]:
     """Consecutive texts (null as empty) in lists of about most_chars characters, so that long texts don't add up."""
     part, size = [], 0
