@@ -13,6 +13,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -40,7 +41,7 @@ _BIN_KEYS = _mixed(np.arange(BINS, dtype=np.uint64) * _MIX + np.uint64(11))
 class Fingerprinter:
     """of(text) -> packed bins as bytes, None for a text without words."""
 
-    def __init__(self, table_size: int = 500_000):
+    def __init__(self, table_size: int = 150_000):
         self.table: dict[bytes, int] = {}
         self.table_size = table_size
 
@@ -86,6 +87,12 @@ class Fingerprinter:
         return (low[0::2] << BITS | low[1::2]).tobytes()
 
 
+@lru_cache(maxsize=1)
+def fingerprinter() -> Fingerprinter:
+    """This process's own, with the words that its last tasks met."""
+    return Fingerprinter()
+
+
 def likeness(a: bytes | None, b: bytes | None) -> float:
     """The estimated Jaccard similarity of two documents' shingle sets: 1 of two empty ones, 0 of one with an empty one."""
     if a is None or b is None:
@@ -100,11 +107,15 @@ def digest(own: bytes | None) -> str:
     return "00" + "0" * (BINS * BITS // 4) if own is None else "01" + own.hex()
 
 
+def undigest(text: str) -> bytes | None:
+    return bytes.fromhex(text[2:]) if text.startswith("01") else None
+
+
 def fingerprints(docs: DataFrame) -> DataFrame:
     """(doc_id, fingerprint) of every row of docs; null texts count as empty."""
 
     def compute(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        made = Fingerprinter()
+        made = fingerprinter()
         for batch in batches:
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([digest(made.of(made.words(t.as_py()))) for t in batch.column(1)], pa.string())], ["doc_id", "fingerprint"])
 
@@ -134,23 +145,24 @@ def with_edits(docs: DataFrame) -> DataFrame:
     rows = rows.select("doc_id", "text", F.explode(F.when(is_head, F.array(own, to_next)).otherwise(F.array(own))).alias("to")).select("doc_id", "text", "to.part", "to.next")
 
     def compute(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        made, before, ended = Fingerprinter(), None, False
+        made, before, ended = fingerprinter(), None, False
         for batch in batches:
-            out: list[tuple] = []
-            for doc_id, text, is_next in zip(batch.column(0), batch.column(1), batch.column(2)):
-                if ended:
-                    break
-                text, ended = text.as_py(), is_next.as_py()
-                own = made.of(made.words(text))
-                if before is not None:
-                    last_id, last, last_own = before
-                    half = len(last) // 2
-                    edited = last[: len(last) - half] + text[:half]
-                    other = made.of(made.words(edited))
-                    out.append((last_id, len(last), hashlib.sha256(edited.encode("utf-8", "surrogatepass")).hexdigest(), digest(last_own), digest(other), likeness(last_own, other), likeness(last_own, own)))
-                before = (doc_id.as_py(), text, own)
-            kinds = [pa.int64(), pa.int64(), pa.string(), pa.string(), pa.string(), pa.float64(), pa.float64()]
-            yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in out], kind) for k, kind in enumerate(kinds)], ["doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next"])
+            for first in range(0, batch.num_rows, 1024):  # so that little of the output stands in memory at once
+                out: list[tuple] = []
+                for doc_id, text, is_next in zip(*(batch.column(k).slice(first, 1024) for k in range(3))):
+                    if ended:
+                        break
+                    text, ended = text.as_py(), is_next.as_py()
+                    own = made.of(made.words(text))
+                    if before is not None:
+                        last_id, last, last_own = before
+                        half = len(last) // 2
+                        edited = last[: len(last) - half] + text[:half]
+                        other = made.of(made.words(edited))
+                        out.append((last_id, len(last), hashlib.sha256(edited.encode("utf-8", "surrogatepass")).hexdigest(), digest(last_own), digest(other), likeness(last_own, other), likeness(last_own, own)))
+                    before = (doc_id.as_py(), text, own)
+                kinds = [pa.int64(), pa.int64(), pa.string(), pa.string(), pa.string(), pa.float64(), pa.float64()]
+                yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in out], kind) for k, kind in enumerate(kinds)], ["doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next"])
 
     dealt = rows.repartitionById(len(bounds) + 1, "part").sortWithinPartitions("next", "doc_id", "text").select("doc_id", "text", "next")
     return dealt.mapInArrow(compute, "doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double")
