@@ -16,6 +16,11 @@ Large cells.  A cell is searched breadth first: what is reached leaves the set o
 near copies costs about m comparisons and gives m - 1 links, a spanning forest, and not the square.  Cells above
 ``CELL_ROWS`` are dealt out as pairs of blocks, so that no task holds an unbounded cell.
 
+Similarity.  A shingle similarity of 0.8 puts about ten of 64 bits apart, too many for exact cells.  ``similar_groups``
+deals fingerprints out by sampled bits instead, with as many samples as make a pair ten bits apart meet with probability
+``RECALL``, discards and verifies as above at a wider radius, and keeps links whose shingle sets are as similar as asked
+by their one-permutation MinHash fingerprints, so that documents which merely have close fingerprints stay.
+
 Components.  Alternating large-star and small-star steps over DataFrames, each round written to the shared folder.
 Nothing is collected but counts.
 """
@@ -30,9 +35,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tracewell.llm import minhash
 from tracewell.llm.common import stored
 
 BITS = 64
+#: For similar_groups: the radius, and the probability that a pair EXPECTED bits apart (Jaccard 0.8) shares a sampled cell.
+WIDE, EXPECTED, RECALL = 13, 10, 0.97
 #: Rows of a cell (8 bytes each) that one task takes at once.
 CELL_ROWS = 50_000
 #: Cells up to this size are searched together, pair by pair; larger ones breadth first.
@@ -83,6 +91,14 @@ def cell_masks(blocks: int, radius: int) -> list[int]:
     return [sum(own[k] for k in chosen) for chosen in combinations(range(blocks), blocks - radius)]
 
 
+def sampled_masks(n: int) -> list[int]:
+    """Masks of sampled bits: so many bits that a cell has about CELL_MEAN of n fingerprints, so many masks that RECALL holds."""
+    bits = max(8, int(np.ceil(np.log2(max(1, n) / CELL_MEAN))))
+    meets = np.prod([(BITS - EXPECTED - k) / (BITS - k) for k in range(bits)])
+    rng = np.random.default_rng(64)
+    return [sum(1 << int(b) for b in rng.permutation(BITS)[:bits]) for _ in range(int(np.ceil(np.log(1 - RECALL) / np.log(1 - meets))))]
+
+
 def signed(value: int) -> int:
     return value - (1 << 64) if value >> 63 else value
 
@@ -136,11 +152,10 @@ def _reach(fp: np.ndarray, table: np.ndarray, radius: int) -> tuple[np.ndarray,
     return (np.concatenate(left), np.concatenate(right)) if left else (np.zeros(0, np.int64), np.zeros(0, np.int64))
 
 
-def links(distinct: DataFrame, radius: int = 4) -> DataFrame:
-    """(a, b): links between different fingerprints of distinct.fp, enough of them that every pair at most radius bits apart
-    is connected, and none between others."""
-    n = distinct.count()
-    masks = cell_masks(blocks_for(n, radius), radius)
+def links(distinct: DataFrame, radius: int = 4, masks: list[int] | None = None) -> DataFrame:
+    """(a, b): links between different fingerprints of distinct.fp at most radius bits apart: enough of them that every pair
+    which agrees on one of masks is connected; without masks, every pair whatever."""
+    masks = masks or cell_masks(blocks_for(distinct.count(), radius), radius)
     cells = distinct.select("fp", F.posexplode(F.array(*(F.col("fp").bitwiseAND(F.lit(signed(m))) for m in masks))).alias("family", "key"))
     hot = stored(cells.groupBy("family", "key").count().filter(F.col("count") > CELL_ROWS), "hot-cells")
     n_hot = hot.count()
@@ -214,17 +229,42 @@ def near_duplicates(docs: DataFrame, radius: int = 4, shingle: int = 4, seed: in
     """
     prints = stored(fingerprints(docs, shingle, seed), "fingerprints")
     distinct = stored(prints.groupBy("fp").agg(F.min("doc_id").alias("least")), "distinct")
-    roots = components(links(distinct, radius))
+    named = named_groups(distinct, links(distinct, radius))
+    return prints.join(named, "fp", "left").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+def named_groups(distinct: DataFrame, edges: DataFrame) -> DataFrame:
+    """(fp, component_id) of every row of distinct (fp, least): the smallest ``least`` among the connected."""
+    roots = components(edges)
     named = distinct.join(roots.withColumnRenamed("node", "fp"), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
     named = stored(named, "named")
     names = stored(named.groupBy("root").agg(F.min("least").alias("component_id")), "names")
-    named = stored(named.join(names, "root").select("fp", "component_id"), "components")
-    return prints.join(named, "fp", "left").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+    return stored(named.join(names, "root").select("fp", "component_id"), "components")
+
+
+def similar_groups(docs: DataFrame, similarity: float = 0.8, shingle: int = 5) -> tuple[DataFrame, DataFrame]:
+    """prints (doc_id, fp) of docs, and (fp, component_id): the smallest doc_id of each fingerprint's group, linked by pairs of at
+    least that estimated Jaccard similarity of shingle sets."""
+    prints = stored(fingerprints(docs, shingle), "fingerprints")
+    distinct = stored(prints.groupBy("fp").agg(F.min("doc_id").alias("least")), "distinct")
+    close = stored(links(distinct, WIDE, sampled_masks(distinct.count())), "close")
+    ends = close.select(F.col("a").alias("fp")).unionByName(close.select(F.col("b").alias("fp"))).distinct()
+    ids = distinct.join(ends, "fp", "left_semi").filter("least IS NOT NULL").select("fp", F.col("least").alias("doc_id"))
+    made = minhash.fingerprints(docs.join(ids, "doc_id", "left_semi")).groupBy("doc_id").agg(F.min("fingerprint").alias("own"))
+    sets = stored(ids.join(made, "doc_id").select("fp", "own"), "sets")
+    pairs = close.join(sets.toDF("a", "own_a"), "a").join(sets.toDF("b", "own_b"), "b")
+
+    def alike(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = [minhash.likeness(minhash.undigest(a), minhash.undigest(b)) >= similarity for a, b in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist())]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], ["a", "b"]).filter(pa.array(found, pa.bool_()))
+
+    return prints, named_groups(distinct, pairs.select("a", "b", "own_a", "own_b").mapInArrow(alike, "a long, b long"))
 
 
-def keep_one(docs: DataFrame, radius: int = 4, shingle: int = 4) -> DataFrame:
-    """docs with one document of each component: the one with the smallest doc_id (of rows repeating that id, one). Rows
-    with a null doc_id all stay, since nothing can name them."""
-    found = near_duplicates(docs, radius, shingle)
-    kept = found.filter("doc_id = component_id").select("doc_id").distinct()
+def keep_one(docs: DataFrame, similarity: float = 0.8, shingle: int = 5) -> DataFrame:
+    """docs with one document of each group of similar ones: the one with the smallest doc_id (of rows repeating that id, one).
+    Rows with a null doc_id all stay, since nothing can name them."""
+    prints, named = similar_groups(docs, similarity, shingle)
+    kept = prints.join(named, "fp").filter("doc_id = component_id").select("doc_id").distinct()
     return docs.join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id"]).select(docs.columns).unionByName(docs.filter("doc_id IS NULL"))
