@@ -1,0 +1,191 @@
+"""Decontamination, line dedup, language, quality, personal data, URLs: against brute force or held-out labels."""
+
+import hashlib
+import re
+import zlib
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from tracewell.llm import decontam, langid, linededup, pii, quality, urlfilter
+
+SF = "/root/testdata/sf0.001"
+
+
+def brute_hits(docs, items, window=10):
+    split = lambda t: re.findall("[^\x00-\x2f\x3a-\x60\x7b-\x7f]+", "".join(c.lower() if "A" <= c <= "Z" else c for c in (t or "")))
+    out = []
+    for doc, text in docs:
+        own, hit, ids = split(text), set(), set()
+        for item, t in items:
+            w = split(t)
+            n = min(window, len(w))
+            for k in range(max(0, len(w) - window) + 1) if w else ():
+                for at in range(len(own) - n + 1):
+                    if own[at : at + n] == w[k : k + n]:
+                        hit |= set(range(at, at + n))
+                        ids.add(str(item))
+        out.append((doc, len(own), len(hit), len(ids), hashlib.sha256(",".join(sorted(ids)).encode()).hexdigest(), bool(hit)))
+    return sorted(out, key=str)
+
+
+def test_decontamination(spark, monkeypatch):
+    rng = np.random.default_rng(6)
+    text = lambda n: " ".join(f"w{rng.integers(60)}" for _ in range(n))
+    items = [(k, text(int(n))) for k, n in enumerate([14, 10, 25, 3, 2, 1, 12])] + [(7, None), (8, ""), (10, "É É"), (2, "again " * 12)]
+    docs = [(k, text(60)) for k in range(30)] + [(40 + k, f"{text(9)} {t} {text(5)}") for k, (_, t) in enumerate(items) if t] + [(40, None), (41, ""), (41, items[0][1].upper() + "!"), (None, items[2][1]), (50, "again " * 30), (51, text(4000) + " " + items[1][1])]
+    d = spark.createDataFrame([(*x, 1) for x in docs], "doc_id long, text string, n_words int")
+    b = spark.createDataFrame(items, "item_id long, text string")
+    want = brute_hits(docs, items)
+    cols = ("doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated")
+    for most in (200_000, 20):
+        monkeypatch.setattr(decontam, "INDEX_ROWS", most)
+        monkeypatch.setattr(decontam.in_blocks, "__defaults__", (most,))
+        assert sorted((tuple(r[c] for c in cols) for r in decontam.find(d, b).collect()), key=str) == want
+    left = [r["doc_id"] for r in decontam.clean(d, b).collect()]
+    assert sorted(map(str, left)) == sorted(str(w[0]) for w in want if not w[-1])
+    assert decontam.find(d, b.limit(0)).filter("contaminated").count() == 0 and decontam.find(d.limit(0), b).count() == 0
+
+
+def test_line_dedup(spark):
+    rows = [(k, f"own line {k}\nShared  footer \r\n\nrare", f"s{k % 12}", None) for k in range(40)] + [(50, None, "s1", None), (51, "", None, None), (52, "Shared  footer", None, None), (None, "Shared  footer\nx", "s3", None), (52, "Shared  footer", None, None)]
+    rows += [(60 + k, "near limit", f"s{k}", None) for k in range(9)] + [(80 + k, "at limit\nz", f"s{k}", None) for k in range(10)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string, at string")
+    found = {(r["doc_id"], r["text"]) for r in linededup.dedup(df, sites=10).collect()}
+    spread, first = {}, {}
+    key = lambda line: re.sub("\r$", "", line).strip(" ")
+    for doc, text, site, _ in rows:
+        for line in (text or "").split("\n"):
+            spread.setdefault(key(line), set()).add(site or "")
+            if doc is not None:
+                first[key(line)] = min(doc, first.get(key(line), doc))
+    want = set()
+    for doc, text, *_ in rows:
+        kept = None if text is None else "\n".join(x for x in text.split("\n") if not (key(x) and len(spread[key(x)]) >= 10 and doc != first[key(x)]))
+        want.add((doc, kept))
+    assert found == want
+    assert linededup.dedup(df.limit(0)).count() == 0 and linededup.dedup(df).columns == [*df.columns, "n_lines", "n_removed"]
+
+
+def test_language(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    extra = spark.createDataFrame([(-1, None, None), (-2, "123 !!", "en"), (None, "the and of", "en"), (-3, "", "fr")], "doc_id long, text string, lang string")
+    rows = langid.identify(docs.select("doc_id", "text", "lang").unionByName(extra)).collect()
+    truth = {r["doc_id"]: r["lang"] for r in docs.select("doc_id", "lang").collect()}
+    own = [r for r in rows if r["doc_id"] is not None and r["doc_id"] >= 0]
+    assert all(r["held_out"] == (zlib.crc32(str(r["doc_id"]).encode()) % 5 == 0) and 0 <= r["score"] <= 1 for r in own)
+    held = [r for r in own if r["held_out"]]
+    assert np.mean([r["lang_pred"] == truth[r["doc_id"]] for r in held]) > 0.95
+    assert {r["doc_id"]: r["lang_pred"] for r in rows if r["doc_id"] in (-1, -2, -3)} == {-1: "und", -2: "und", -3: "und"}
+    assert langid.identify(docs.limit(0)).count() == 0
+    kept = langid.keep_known(docs.select("doc_id", "text", "lang").unionByName(extra))
+    assert kept.filter("doc_id < 0").count() == 0 and kept.count() >= 0.99 * docs.count()
+
+
+def test_language_grams_do_not_cross_texts():
+    a, b = "abc", "de\nf"
+    both, owner, letters = langid.grams([a, b])
+    alone = [langid.grams([t])[0] for t in (a, b)]
+    assert sorted(both[owner == 0]) == sorted(alone[0]) and sorted(both[owner == 1]) == sorted(alone[1]) and letters.tolist() == [3, 3]
+
+
+def test_quality(spark):
+    docs, labels = (spark.read.parquet(f"{SF.replace('0.001', '0.01')}/{t}.parquet") for t in ("documents", "labels"))
+    rows = {r["doc_id"]: r for r in quality.score(docs, labels).collect()}
+    held = [(r["quality"], rows[r["doc_id"]]["predicted"]) for r in labels.collect() if rows[r["doc_id"]]["held_out"]]
+    assert np.mean([a == b for a, b in held]) > 0.85
+    assert all(r["held_out"] == (zlib.crc32(str(d).encode()) % 3 == 1) and r["predicted"] == int(r["score"] >= 0.5) for d, r in rows.items())
+    odd = spark.createDataFrame([(1, None), (2, ""), (None, "a b"), (3, "x" * 9000)], "doc_id long, text string")
+    assert all(r["score"] == 0.5 for r in quality.score(odd, labels.limit(0)).collect())
+
+
+def test_quality_table_is_bounded():
+    rng = np.random.default_rng(0)
+    weight = rng.normal(size=quality.BUCKETS + quality.LAGS)
+    texts = [" ".join(f"w{rng.integers(500)}" for _ in range(50)) for _ in range(20)]
+    small, large = quality.Scorer(weight, 0.1, 60), quality.Scorer(weight, 0.1)
+    assert all(abs(small.score(t) - large.score(t)) < 1e-9 for t in texts)
+
+
+BASE = (("email", r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+"), ("ip", r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)"), ("card", r"[0-9]([\x20-]?[0-9])+"), ("phone", r"\+[0-9][\x20().0-9-]+[0-9]"))
+
+
+def brute_base(text):
+    out = []
+    for k, (kind, p) in enumerate(BASE):
+        for m in re.finditer(p, text):
+            d = re.sub("[^0-9]", "", m[0])
+            luhn = sum(int(c) if i % 2 == 0 else (int(c) * 2 - 9 if int(c) > 4 else int(c) * 2) for i, c in enumerate(reversed(d))) % 10 == 0 if d else False
+            if {"email": True, "ip": kind != "ip" or all(int(x) <= 255 for x in m[0].split(".")), "card": 12 <= len(d) <= 19 and luhn, "phone": 9 <= len(d) <= 15}[kind]:
+                out.append((m.start(), k, f"{kind}:{m.start()}:{m.end()}", kind))
+    return sorted(out)
+
+
+TRICKY = [
+    "a@b", "x@y@z.com", "ab@c.d_e@f.gh 1.2.3.4.5.6.7.8 300.1.1.1 0001.02.3.4", "4111 1111 1111 1111 or 4111-1111-1111-1111, 378282246310005 x4111111111111111", "+1 (724) 555-7058.+44 20 7946 0958 +123 +1234567890123456",
+    " 😀é a.b%c@d-e.f.g. 😀 4111111111111111", "1" * 5000, "1 " * 9000, "a" * 20000 + "@b.c", "1.2.3.4 " * 700, "1" * 12 + "." + "2" * 3 + ".3.4", "", None, "call me at (724) 555-7058", "password=b7db7aa4a5fcc78305", "2020-10-12 pages 12-34",
+]
+
+
+def test_personal_data(spark):
+    rng = np.random.default_rng(8)
+    texts = TRICKY + ["".join(rng.choice(list("ab1 2.-+@()é4"), 60)) for _ in range(150)]
+    df = spark.createDataFrame([(k, t, "x") for k, t in enumerate(texts)], "doc_id long, text string, spans string")
+    found = {r["doc_id"]: r for r in pii.digest(pii.detect(df)).collect()}
+    for k, t in enumerate(texts):
+        want = brute_base(t or "")
+        assert found[k]["base_sha256"] == hashlib.sha256(",".join(w[2] for w in want).encode()).hexdigest(), t and t[:80]
+        assert [found[k][f"n_{kind}"] for kind, _ in BASE] == [sum(w[3] == kind for w in want) for kind, _ in BASE]
+        assert {w[2] for w in want} <= set(found[k]["spans"].split(","))
+    assert found[13]["spans"] == "phone:11:25" and found[14]["spans"].startswith("secret:0:") and found[15]["spans"] == ""
+    redacted = {r["doc_id"]: r["redacted"] for r in pii.redact(df.filter("doc_id IN (12, 13)")).collect()}
+    assert redacted[13] == "call me at [phone]"
+    assert pii.detect(df.limit(0)).count() == 0
+
+
+def test_personal_data_model_is_calibrated(spark):
+    spark.range(1).count()
+    model = pii._trained()
+    rows = spark.createDataFrame([(k, *r) for k, r in enumerate(pii.examples(900, seed=99))], "no int, kind string, left string, value string, right string, label int")
+    x = rows.select("label", F.array(*(f.cast("double") for f in pii.features(F.struct("left", "value", "right")))).alias("x")).collect()
+    p = 1 / (1 + np.exp(-(model.slope * model.margins(np.array([r["x"] for r in x])) + model.shift)))
+    y = np.array([r["label"] for r in x])
+    assert ((p >= 0.5) == y).mean() > 0.9
+    assert abs(p.mean() - y.mean()) < 0.05
+
+
+def brute_judge(url, rules, patterns):
+    host = path = ""
+    if url is not None and "://" in url:
+        rest = url.split("://", 1)[1]
+        host = re.match("[^/?#]*", rest)[0]
+        path = re.match("[^?#]*", rest[len(host) :])[0]
+        host = "".join(c.lower() if "A" <= c <= "Z" else c for c in host)
+    fits = []
+    for r in rules:
+        h, _, p = r.name.partition("/")
+        if (host == h or host.endswith("." + h)) and path.startswith("/" + p):
+            fits.append((len(r.name), r.name, r.verdict))
+    if fits:
+        return host, path, max(fits)[1], max(fits)[2]
+    low = "".join(c.lower() if "A" <= c <= "Z" else c for c in (url or ""))
+    blocked = any(re.search(p.regex.replace("\\z", "\\Z"), low) for p in patterns)
+    return host, path, None, "block" if blocked else "allow"
+
+
+def test_urls(spark):
+    parts = ["example.org", "a.example.org", "EXAMPLE.Org", "org", "notexample.org", "x.com", "com", "casino.net", "www.poker.io:80", "a-porn-b.de", "é.org", ""]
+    paths = ["", "/", "/es/", "/es", "/en/1", "/en/123", "/fr/x", "/de/", "/wp-login.php", "/cgi-bin/do/login?x", "?q=/es/", "#/de/", "/x-xxx-y"]
+    urls = [f"{s}{h}{p}" for s in ("http://", "HTTPS://", "") for h in parts for p in paths] + [None, "", "://", "http://a\nb.org/es/", "http://b.com/x", "http://b.com/x"]
+    df = spark.createDataFrame([(k, u, "v") for k, u in enumerate(urls)], "page_id long, url string, verdict string")
+    found = {r["page_id"]: (r["host"], r["path"], r["rule"], r["verdict"]) for r in urlfilter.judge(df).collect()}
+    assert len(found) == len(urls)
+    for k, u in enumerate(urls):
+        assert found[k] == brute_judge(u, urlfilter.HOST_RULES, urlfilter.PATTERNS), u
+    assert urlfilter.judge(df.limit(0)).count() == 0
+
+
+@pytest.mark.parametrize("text, want", [("^casino^", ("casino",)), ("casino", ()), ("/a-b*c/d^", ("a", "d")), ("^x*y^", ())])
+def test_pattern_tokens(text, want):
+    assert urlfilter.pattern(text).tokens == want

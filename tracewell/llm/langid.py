@@ -56,7 +56,8 @@ def grams(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
             good = ~broken
             buckets.append(((hashed[good] ^ (hashed[good] >> np.uint64(29))) >> np.uint64(16)).astype(np.int64) % BUCKETS)
             owners.append(owner[:n][good])
-    return np.concatenate(buckets), np.concatenate(owners), n_letters
+    none = np.zeros(0, np.int64)
+    return np.concatenate([none, *buckets]), np.concatenate([none, *owners]), n_letters
 
 
 _TABLE: dict[str, np.ndarray] = {}
