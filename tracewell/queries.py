@@ -271,13 +271,13 @@ _SUMS = " UNION ALL ".join(
 
 @query(f"WITH c AS {{CARD}}, s AS ({_SUMS}) SELECT doc_id, vendor, score::DOUBLE AS score FROM s WHERE score > 0")
 def signal_scan(spark, sf_dir):
-    rows = cards(spark, sf_dir).select("doc_id", F.explode(scan.signal_hits("card", None, PLAIN_SIGNALS)).alias("h"))
+    rows = cards(spark, sf_dir).repartition("doc_id").select("doc_id", F.explode(scan.signal_hits("card", None, PLAIN_SIGNALS)).alias("h"))
     return rows.groupBy("doc_id", F.col("h.vendor").alias("vendor")).agg(F.sum("h.base").cast("double").alias("score"))
 
 
 @query(f"WITH c AS {{CARD}}, s AS ({_SUMS}), o AS (SELECT doc_id, vendor, score, row_number() OVER (PARTITION BY doc_id ORDER BY score DESC, CASE vendor {' '.join(f'WHEN {chr(39)}{v}{chr(39)} THEN {k}' for k, v in enumerate(V.SIGNALS))} END) AS r FROM s WHERE score > 0) SELECT doc_id, CASE WHEN score >= 6 THEN vendor ELSE 'unknown' END AS vendor, CASE WHEN score >= 6 THEN least(1.0, printf('%.2f', score / 30)::DOUBLE) ELSE 0.0 END::DOUBLE AS confidence FROM o WHERE r = 1")
 def argmax_threshold(spark, sf_dir):
-    rows = cards(spark, sf_dir).select("doc_id", F.explode(scan.signal_hits("card", None, PLAIN_SIGNALS)).alias("h"))
+    rows = cards(spark, sf_dir).repartition("doc_id").select("doc_id", F.explode(scan.signal_hits("card", None, PLAIN_SIGNALS)).alias("h"))
     sums = rows.groupBy("doc_id", F.col("h.vendor").alias("vendor")).agg(F.sum("h.base").cast("double").alias("score"), F.min("h.vendor_pos").alias("first"))
     best, wins = scan.ranked_scores(sums, "doc_id").filter("rank = 1"), F.col("score") >= V.MIN_SCORE
     return best.select("doc_id", F.when(wins, F.col("vendor")).otherwise("unknown").alias("vendor"), F.when(wins, F.least(F.lit(1.0), py_round(F.col("score") / V.CONFIDENCE_DIVISOR, 2))).otherwise(0.0).alias("confidence"))
