@@ -60,3 +60,9 @@ def part_of(column: str, bounds: list[int]) -> Column:
 def ascii_lower(text: Column) -> Column:
     """Lower case of A to Z only."""
     return F.translate(text, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+
+
+def sweep(spark: SparkSession) -> None:
+    """Deletes all intermediate tables and token files under the shared folder; results that read them must be written before."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{shared_dir(spark)}/tracewell")
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)

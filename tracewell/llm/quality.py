@@ -98,17 +98,21 @@ def fit(texts: list[str | None], labels: list[int]) -> Scorer:
         docs.append((*np.unique(own, return_counts=True), repeats(own)))
     if not docs:
         return Scorer(np.zeros(BUCKETS + LAGS), 0.0)
-    bucket, owner = word_features(list(vocabulary)) if vocabulary else (np.zeros(0, np.int64),) * 2
-    order = np.argsort(owner, kind="stable")
-    bucket, per_word = bucket[order], np.bincount(owner, minlength=len(vocabulary))
-    first = np.cumsum(per_word) - per_word
+    names, parts, per_word = list(vocabulary), [np.zeros(0, np.int32)], np.zeros(len(vocabulary), np.int64)
+    for k in range(0, len(names), 20_000):  # in blocks, as each letter of a block takes some hundred bytes meanwhile
+        bucket, owner = word_features(names[k : k + 20_000])
+        parts.append(bucket[np.argsort(owner, kind="stable")].astype(np.int32))
+        per_word[k : k + 20_000] = np.bincount(owner, minlength=len(names[k : k + 20_000]))
+    bucket, first = np.concatenate(parts), np.cumsum(per_word) - per_word
+    del names, parts, vocabulary
     rows = []
-    for words, n, same in docs:  # buckets of a document and the weight of each in its average
+    for words, n, same in docs:  # buckets of a document, each once, and the weight of each in its average
         counts = per_word[words]
         at = np.arange(counts.sum()) + np.repeat(first[words] - np.cumsum(counts) + counts, counts)
-        weight = np.concatenate([np.repeat(n, counts), same[same > 0]]).astype(np.float32)
-        own = np.concatenate([bucket[at], BUCKETS + np.flatnonzero(same)]).astype(np.int32)
-        rows.append((own, weight / max(1.0, float(weight.sum()))))
+        own, place = np.unique(np.concatenate([bucket[at], BUCKETS + np.flatnonzero(same)]).astype(np.int32), return_inverse=True)
+        weight = np.bincount(place, np.concatenate([np.repeat(n, counts), same[same > 0]]), minlength=len(own))
+        rows.append((own, (weight / max(1.0, weight.sum())).astype(np.float32)))
+    del docs
     embedding = rng.uniform(-1 / DIMENSIONS, 1 / DIMENSIONS, (BUCKETS + LAGS, DIMENSIONS)).astype(np.float32)
     layer, bias = np.zeros((DIMENSIONS, 2), np.float32), np.zeros(2, np.float32)
     target, total, done = np.eye(2, dtype=np.float32)[labels], EPOCHS * len(rows), 0
@@ -126,7 +130,7 @@ def fit(texts: list[str | None], labels: list[int]) -> Scorer:
             bias -= rate / len(chosen) * gradient.sum(0)
             for d, g in zip(chosen, back):
                 own, weight = rows[d]
-                np.subtract.at(embedding, own, (rate * DIMENSIONS) * weight[:, None] * g[None, :])
+                embedding[own] -= (rate * DIMENSIONS) * weight[:, None] * g[None, :]
             done += len(chosen)
     return Scorer((embedding @ (layer[:, 1] - layer[:, 0])).astype(np.float64), float(bias[1] - bias[0]))
 
