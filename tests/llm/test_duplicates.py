@@ -168,3 +168,23 @@ def test_with_edits(spark, rows):
     for r in found:
         assert 0 <= r["near_edited"] <= 1 and 0 <= r["near_next"] <= 1
         by_text.setdefault(r["n_chars"], set()).add(r["fingerprint"])
+
+
+def test_local_roots():
+    rng = np.random.default_rng(9)
+    for n in (1, 5, 60, 300):
+        u, v = rng.integers(-200, 200, (2, n))
+        u, v = u[u != v], v[u != v]
+        node, root = simhash.local_roots(u, v) if len(u) else ([], [])
+        own = sorted({*u.tolist(), *v.tolist()})
+        parent = {x: x for x in own}
+
+        def find(x):
+            while parent[x] != x:
+                x = parent[x]
+            return x
+
+        for a, b in zip(u.tolist(), v.tolist()):
+            low, high = sorted((find(a), find(b)))
+            parent[high] = low
+        assert dict(zip(list(node), list(root))) == {x: find(x) for x in own if find(x) != x}
