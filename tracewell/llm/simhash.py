@@ -27,7 +27,7 @@ Nothing is collected but counts.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator, Sequence
 from itertools import combinations
 
 import numpy as np
@@ -103,9 +103,9 @@ def signed(value: int) -> int:
     return value - (1 << 64) if value >> 63 else value
 
 
-def pairs_in_cells(cell: np.ndarray, fp: np.ndarray, radius: int) -> tuple[np.ndarray, np.ndarray]:
-    """Links among fingerprints of the same cell (cell: ascending numbers): all of a small cell, a spanning forest of the
-    links of a large one."""
+def pairs_in_cells(cell: np.ndarray, fp: np.ndarray, radius: int, met: Callable[[np.ndarray, np.ndarray], np.ndarray] | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """Links among fingerprints of the same cell (cell: ascending numbers): all of a small cell, but for those that have met
+    before, and a spanning forest of the links of a large one."""
     table = np.bitwise_count(fp[:, None] ^ PIVOTS[None, :]).astype(np.int8)
     size = np.bincount(cell, minlength=1)
     small = size[cell] <= SMALL_CELL
@@ -121,8 +121,12 @@ def pairs_in_cells(cell: np.ndarray, fp: np.ndarray, radius: int) -> tuple[np.nd
             near = (np.abs(table[a, k : k + 4] - table[b, k : k + 4]) <= radius).all(1)
             a, b = a[near], b[near]
         near = np.bitwise_count(fp[a] ^ fp[b]) <= radius
-        left.append(a[near])
-        right.append(b[near])
+        a, b = a[near], b[near]
+        if met is not None:
+            new = ~met(a, b)
+            a, b = a[new], b[new]
+        left.append(a)
+        right.append(b)
     starts = np.concatenate([[0], np.cumsum(size)])
     for c in np.flatnonzero(size > SMALL_CELL).tolist():
         a, b = _reach(fp[starts[c] : starts[c + 1]], table[starts[c] : starts[c + 1]], radius)
@@ -152,11 +156,14 @@ def _reach(fp: np.ndarray, table: np.ndarray, radius: int) -> tuple[np.ndarray,
     return (np.concatenate(left), np.concatenate(right)) if left else (np.zeros(0, np.int64), np.zeros(0, np.int64))
 
 
-def links(distinct: DataFrame, radius: int = 4, masks: list[int] | None = None) -> DataFrame:
+def links(distinct: DataFrame, radius: int = 4, masks: list[int] | None = None, before: Sequence[int] = ()) -> DataFrame:
     """(a, b): links between different fingerprints of distinct.fp at most radius bits apart: enough of them that every pair
-    which agrees on one of masks is connected; without masks, every pair whatever."""
+    which agrees on one of masks is connected; without masks, every pair whatever. Where distinct has a column part, only links
+    between different parts are returned. A pair that agrees on several masks (those of ``before`` come first) is returned for the
+    first, as far as small cells go."""
     masks = masks or cell_masks(blocks_for(distinct.count(), radius), radius)
-    cells = distinct.select("fp", F.posexplode(F.array(*(F.col("fp").bitwiseAND(F.lit(signed(m))) for m in masks))).alias("family", "key"))
+    own_columns = ["fp", "part"] if "part" in distinct.columns else ["fp"]
+    cells = distinct.select(*own_columns, F.posexplode(F.array(*(F.col("fp").bitwiseAND(F.lit(signed(m))) for m in masks))).alias("family", "key"))
     hot = stored(cells.groupBy("family", "key").count().filter(F.col("count") > CELL_ROWS), "hot-cells")
     n_hot = hot.count()
     if n_hot:
@@ -164,10 +171,12 @@ def links(distinct: DataFrame, radius: int = 4, masks: list[int] | None = None)
         cells = cells.join(hot, ["family", "key"], "left").withColumn("s", F.coalesce(F.ceil(F.col("count") / CELL_ROWS), F.lit(1)).cast("int"))
         own = F.pmod(F.xxhash64("fp"), F.col("s")).cast("int")
         pair = F.transform(F.sequence(F.lit(0), F.col("s") - 1), lambda j: F.least(own, j).cast("long") * F.lit(1 << 31) + F.greatest(own, j))
-        cells = cells.select("family", "key", "fp", F.explode(pair).alias("block"))
+        cells = cells.select("family", "key", *own_columns, F.explode(pair).alias("block"))
     else:
         cells = cells.withColumn("block", F.lit(0).cast("long"))
 
+    order = np.array([*before, *masks], np.uint64)
+
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[np.ndarray] = []
         n_held = 0
@@ -176,13 +185,24 @@ def links(distinct: DataFrame, radius: int = 4, masks: list[int] | None = None)
             new = (np.diff(rows[:3], axis=1) != 0).any(0)
             cell = np.concatenate([[0], np.cumsum(new)])
             fp = rows[3].view(np.uint64)
-            a, b = pairs_in_cells(cell, fp, radius)
+            family = rows[0]
+
+            def met(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+                out = np.zeros(len(a), bool)
+                for k, mask in enumerate(order):
+                    out |= (k < family[a] + len(before)) & (((fp[a] ^ fp[b]) & mask) == 0)
+                return out
+
+            a, b = pairs_in_cells(cell, fp, radius, met)
+            if len(own_columns) > 1:
+                apart = rows[4][a] != rows[4][b]
+                a, b = a[apart], b[apart]
             a, b = rows[3][a], rows[3][b]
             both = np.unique(np.stack([np.minimum(a, b), np.maximum(a, b)], 1), axis=0)
             return pa.RecordBatch.from_arrays([pa.array(both[:, 0]), pa.array(both[:, 1])], ["a", "b"])
 
         for batch in batches:
-            held.append(np.stack([batch.column(k).to_numpy(zero_copy_only=False).astype(np.int64) for k in range(4)]))
+            held.append(np.stack([batch.column(k).to_numpy(zero_copy_only=False).astype(np.int64) for k in range(3 + len(own_columns))]))
             n_held += batch.num_rows
             if n_held >= 200_000:
                 rows = np.concatenate(held, axis=1)
@@ -195,13 +215,59 @@ def links(distinct: DataFrame, radius: int = 4, masks: list[int] | None = None)
         if n_held:
             yield found(np.concatenate(held, axis=1))
 
-    dealt = cells.select("family", "key", "block", "fp").repartition("family", "key", "block").sortWithinPartitions("family", "key", "block")
+    dealt = cells.select("family", "key", "block", *own_columns).repartition("family", "key", "block").sortWithinPartitions("family", "key", "block")
     return dealt.mapInArrow(search, "a long, b long").distinct()
 
 
+def local_roots(u: np.ndarray, v: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(node, root) of the nodes of these edges that are not roots: root is the smallest node connected by them."""
+    nodes, place = np.unique(np.concatenate([u, v]), return_inverse=True)
+    a, b = place[: len(u)], place[len(u) :]
+    label = np.arange(len(nodes))
+    while True:
+        low = np.minimum(label[a], label[b])
+        new = label.copy()
+        np.minimum.at(new, label[a], low)
+        np.minimum.at(new, label[b], low)
+        while (new != new[new]).any():
+            new = new[new]
+        if (new == label).all():
+            break
+        label = new
+    own = label != np.arange(len(nodes))
+    return nodes[own], nodes[label[own]]
+
+
+def contracted(edges: DataFrame, most: int = 1 << 20) -> DataFrame:
+    """Edges (u, v) with the same components: each task replaces what it reads, ``most`` edges at a time, by stars."""
+
+    def shrink(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[np.ndarray] = []
+        n = 0
+
+        def stars() -> pa.RecordBatch:
+            node, root = local_roots(*np.concatenate(held, axis=1))
+            return pa.RecordBatch.from_arrays([pa.array(node), pa.array(root)], ["u", "v"])
+
+        for batch in batches:
+            held.append(np.stack([batch.column(k).to_numpy() for k in range(2)]))
+            n += batch.num_rows
+            if n >= most:
+                yield stars()
+                held, n = [], 0
+        if n:
+            yield stars()
+
+    return edges.mapInArrow(shrink, "u long, v long")
+
+
 def components(edges: DataFrame) -> DataFrame:
-    """(node, root) of every node of edges (a, b): root is the smallest node that it is connected with."""
-    edges = stored(edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).filter("u <> v").distinct(), "edges")
+    """(node, root) of every node of edges (a, b): root is the smallest node that it is connected with.
+
+    Rounds of a large-star and a small-star step until nothing changes; tasks contract their edges first, so that few rounds are
+    left to do."""
+    edges = stored(edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).filter("u <> v"), "edges")
+    edges = stored(contracted(edges).distinct(), "edges")
     state = None
     while True:
         now = edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
@@ -242,24 +308,48 @@ def named_groups(distinct: DataFrame, edges: DataFrame) -> DataFrame:
     return stored(named.join(names, "root").select("fp", "component_id"), "components")
 
 
-def similar_groups(docs: DataFrame, similarity: float = 0.8, shingle: int = 5) -> tuple[DataFrame, DataFrame]:
-    """prints (doc_id, fp) of docs, and (fp, component_id): the smallest doc_id of each fingerprint's group, linked by pairs of at
-    least that estimated Jaccard similarity of shingle sets."""
-    prints = stored(fingerprints(docs, shingle), "fingerprints")
-    distinct = stored(prints.groupBy("fp").agg(F.min("doc_id").alias("least")), "distinct")
-    close = stored(links(distinct, WIDE, sampled_masks(distinct.count())), "close")
-    ends = close.select(F.col("a").alias("fp")).unionByName(close.select(F.col("b").alias("fp"))).distinct()
-    ids = distinct.join(ends, "fp", "left_semi").filter("least IS NOT NULL").select("fp", F.col("least").alias("doc_id"))
-    made = minhash.fingerprints(docs.join(ids, "doc_id", "left_semi")).groupBy("doc_id").agg(F.min("fingerprint").alias("own"))
-    sets = stored(ids.join(made, "doc_id").select("fp", "own"), "sets")
-    pairs = close.join(sets.toDF("a", "own_a"), "a").join(sets.toDF("b", "own_b"), "b")
-
-    def alike(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def with_sets(docs: DataFrame, shingle: int) -> DataFrame:
+    """(doc_id, fp, own): fingerprints beside the MinHash of the shingle set (null of a wordless text)."""
+
+    def compute(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        made = minhash.fingerprinter()
         for batch in batches:
-            found = [minhash.likeness(minhash.undigest(a), minhash.undigest(b)) >= similarity for a, b in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist())]
+            for first in range(0, batch.num_rows, 1024):
+                texts = [t.as_py() for t in batch.column(1).slice(first, 1024)]
+                found = np.fromiter((fingerprint(t, shingle) for t in texts), np.uint64, len(texts))
+                own = pa.array([made.of(made.words(t)) for t in texts], pa.binary())
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(first, 1024), pa.array(found.view(np.int64)), own], ["doc_id", "fp", "own"])
+
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(compute, "doc_id long, fp long, own binary")
+
+
+def alike(pairs: DataFrame, distinct: DataFrame, similarity: float) -> DataFrame:
+    """The pairs (a, b) whose shingle sets (distinct: fp, own) are at least that similar."""
+
+    def choose(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = [minhash.likeness(a, b) >= similarity for a, b in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist())]
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], ["a", "b"]).filter(pa.array(found, pa.bool_()))
 
-    return prints, named_groups(distinct, pairs.select("a", "b", "own_a", "own_b").mapInArrow(alike, "a long, b long"))
+    sets = distinct.select("fp", "own")
+    return pairs.join(sets.toDF("a", "own_a"), "a").join(sets.toDF("b", "own_b"), "b").select("a", "b", "own_a", "own_b").mapInArrow(choose, "a long, b long")
+
+
+def similar_groups(docs: DataFrame, similarity: float = 0.8, shingle: int = 5) -> tuple[DataFrame, DataFrame]:
+    """prints (doc_id, fp) of docs, and (fp, component_id): the smallest doc_id of each fingerprint's group, linked by pairs of at
+    least that estimated Jaccard similarity of shingle sets.
+
+    Two rounds of sampled cells: what the first eighth of the samples has joined is one part in the second round, which looks for links between
+    parts only. A large group of near copies is found once, not once a sample.
+    """
+    prints = stored(with_sets(docs, shingle), "fingerprints")
+    distinct = stored(prints.groupBy("fp").agg(F.min("doc_id").alias("least"), F.min("own").alias("own")), "distinct")
+    masks = sampled_masks(distinct.count())
+    cut = -(-len(masks) // 8)
+    first = stored(alike(links(distinct, WIDE, masks[:cut]), distinct, similarity), "alike")
+    parts = distinct.join(components(first).toDF("fp", "part"), "fp", "left").select("fp", F.coalesce("part", "fp").alias("part"))
+    second = alike(links(stored(parts, "parts"), WIDE, masks[cut:], masks[:cut]), distinct, similarity)
+    return prints.select("doc_id", "fp"), named_groups(distinct, first.unionByName(second))
 
 
 def keep_one(docs: DataFrame, similarity: float = 0.8, shingle: int = 5) -> DataFrame:
