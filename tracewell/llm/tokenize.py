@@ -22,8 +22,9 @@ _L = "A-Za-zªµºÀ-ÖØ-öø-į"
 _N = "0-9²³¹¼-¾"
 _S = "\t\n\r "
 #: The vocabularies' own split patterns (fixed values of the files), with the classes written out for settled characters.
-_BYTE_PIECES = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d| ?[{_L}]+| ?[{_N}]+| ?[^{_S}{_L}{_N}]+|[{_S}]+(?![^{_S}])|[{_S}]+")
-_WORD_PIECES = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d|[{_L}]+|[{_N}]|[^{_S}{_L}{_N}]+")
+#: Words come first, as they are commonest and begin like no other piece.
+_BYTE_PIECES = re.compile(f" ?[{_L}]+| ?[{_N}]+|'s|'t|'re|'ve|'m|'ll|'d| ?[^{_S}{_L}{_N}]+|[{_S}]+(?![^{_S}])|[{_S}]+")
+_WORD_PIECES = re.compile(f"[{_L}]+|[{_N}]|'s|'t|'re|'ve|'m|'ll|'d|[^{_S}{_L}{_N}]+")
 
 
 def vocabulary_path(name_or_path: str) -> str:
@@ -110,16 +111,17 @@ class BatchTokenizer:
         odd = {k for k, text in enumerate(texts) if _UNSETTLED.search(text)}
         find = self.pieces.findall
         pieces = [[] if k in odd else find(text.lower() if self.lower else text) for k, text in enumerate(texts)]
-        for k, own in enumerate(pieces):
-            if own and len(max(own, key=len)) > self.LONGEST_PIECE:
-                odd.add(k)
-                pieces[k] = []
         n = np.fromiter(map(len, pieces), np.int64, len(pieces))
         flat = list(chain.from_iterable(pieces))
         where = np.fromiter(map(self.at.get, flat, repeat(-1)), np.int64, len(flat))
         lacking = np.flatnonzero(where < 0)
         if len(lacking):
             new = list(dict.fromkeys([flat[i] for i in lacking.tolist()]))
+            if max(map(len, new)) > self.LONGEST_PIECE:  # never kept, so always among the new: such texts go whole, the others again
+                odd |= {k for k, own in enumerate(pieces) if own and max(map(len, own)) > self.LONGEST_PIECE}
+                rest = [k for k in range(len(texts)) if k not in odd]
+                out = dict(zip(rest, self.ids([texts[k] for k in rest]))) | dict(zip(sorted(odd), self._whole([texts[k] for k in sorted(odd)])))
+                return [out[k] for k in range(len(texts))]
             if len(self.at) + len(new) > self.table_size:
                 self._clear()
                 new, lacking = list(dict.fromkeys(flat)), np.arange(len(flat))
