@@ -27,7 +27,7 @@ Nothing is collected but counts.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator, Sequence
+from collections.abc import Callable, Iterator
 from itertools import combinations
 
 import numpy as np
@@ -156,11 +156,11 @@ def _reach(fp: np.ndarray, table: np.ndarray, radius: int) -> tuple[np.ndarray,
     return (np.concatenate(left), np.concatenate(right)) if left else (np.zeros(0, np.int64), np.zeros(0, np.int64))
 
 
-def links(distinct: DataFrame, radius: int = 4, masks: list[int] | None = None, before: Sequence[int] = ()) -> DataFrame:
+def links(distinct: DataFrame, radius: int = 4, masks: list[int] | None = None) -> DataFrame:
     """(a, b): links between different fingerprints of distinct.fp at most radius bits apart: enough of them that every pair
     which agrees on one of masks is connected; without masks, every pair whatever. Where distinct has a column part, only links
-    between different parts are returned. A pair that agrees on several masks (those of ``before`` come first) is returned for the
-    first, as far as small cells go."""
+    between different parts are returned. A pair that agrees on several masks is returned for the first,
+    as far as small cells go."""
     masks = masks or cell_masks(blocks_for(distinct.count(), radius), radius)
     own_columns = ["fp", "part"] if "part" in distinct.columns else ["fp"]
     cells = distinct.select(*own_columns, F.posexplode(F.array(*(F.col("fp").bitwiseAND(F.lit(signed(m))) for m in masks))).alias("family", "key"))
@@ -175,7 +175,7 @@ def links(distinct: DataFrame, radius: int = 4, masks: list[int] | None = None,
     else:
         cells = cells.withColumn("block", F.lit(0).cast("long"))
 
-    order = np.array([*before, *masks], np.uint64)
+    order = np.array(masks, np.uint64)
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[np.ndarray] = []
@@ -190,7 +190,7 @@ def links(distinct: DataFrame, radius: int = 4, masks: list[int] | None = None,
             def met(a: np.ndarray, b: np.ndarray) -> np.ndarray:
                 out = np.zeros(len(a), bool)
                 for k, mask in enumerate(order):
-                    out |= (k < family[a] + len(before)) & (((fp[a] ^ fp[b]) & mask) == 0)
+                    out |= (k < family[a]) & (((fp[a] ^ fp[b]) & mask) == 0)
                 return out
 
             a, b = pairs_in_cells(cell, fp, radius, met)
@@ -348,7 +348,7 @@ def similar_groups(docs: DataFrame, similarity: float = 0.8, shingle: int = 5) -
     cut = -(-len(masks) // 8)
     first = stored(alike(links(distinct, WIDE, masks[:cut]), distinct, similarity), "alike")
     parts = distinct.join(components(first).toDF("fp", "part"), "fp", "left").select("fp", F.coalesce("part", "fp").alias("part"))
-    second = alike(links(stored(parts, "parts"), WIDE, masks[cut:], masks[:cut]), distinct, similarity)
+    second = alike(links(stored(parts, "parts"), WIDE, masks[cut:]), distinct, similarity)
     return prints.select("doc_id", "fp"), named_groups(distinct, first.unionByName(second))
 
 
