@@ -16,10 +16,11 @@ Large cells.  A cell is searched breadth first: what is reached leaves the set o
 near copies costs about m comparisons and gives m - 1 links, a spanning forest, and not the square.  Cells above
 ``CELL_ROWS`` are dealt out as pairs of blocks, so that no task holds an unbounded cell.
 
-Similarity.  A shingle similarity of 0.8 puts about ten of 64 bits apart, too many for exact cells.  ``similar_groups``
-deals fingerprints out by sampled bits instead, with as many samples as make a pair ten bits apart meet with probability
-``RECALL``, discards and verifies as above at a wider radius, and keeps links whose shingle sets are as similar as asked
-by their one-permutation MinHash fingerprints, so that documents which merely have close fingerprints stay.
+Similarity.  A shingle similarity of 0.8 puts about ten of 64 bits apart, too many for cells of bits.  ``similar_groups``
+deals documents out by their one-permutation MinHash instead: each of ``BANDS`` bands of eight bins is a cell family, and a
+pair meets in every band that it agrees on.  A pair at similarity 0.8 agrees on a band with probability 0.19 and on none of
+64 with 1.4e-6, however many documents there are.  Every pair of a cell counts as similar only by its own estimate: small
+cells give all their pairs, and in a larger one a document leaves the set of the unreached only when it is similar to one reached.
 
 Components.  Alternating large-star and small-star steps over DataFrames, each round written to the shared folder.
 Nothing is collected but counts.
@@ -39,8 +40,8 @@ from tracewell.llm import minhash
 from tracewell.llm.common import stored
 
 BITS = 64
-#: For similar_groups: the radius, and the probability that a pair EXPECTED bits apart (Jaccard 0.8) shares a sampled cell.
-WIDE, EXPECTED, RECALL = 13, 10, 0.97
+#: For similar_groups: bands of four bytes, eight bins, of a MinHash; those of the first round; rows of a large cell that one task compares.
+BANDS, FIRST_BANDS, BLOCK_ROWS = minhash.BINS * minhash.BITS // 32, 8, 16_384
 #: Rows of a cell (8 bytes each) that one task takes at once.
 CELL_ROWS = 50_000
 #: Cells up to this size are searched together, pair by pair; larger ones breadth first.
@@ -91,14 +92,6 @@ def cell_masks(blocks: int, radius: int) -> list[int]:
     return [sum(own[k] for k in chosen) for chosen in combinations(range(blocks), blocks - radius)]
 
 
-def sampled_masks(n: int) -> list[int]:
-    """Masks of sampled bits: so many bits that a cell has about CELL_MEAN of n fingerprints, so many masks that RECALL holds."""
-    bits = max(8, int(np.ceil(np.log2(max(1, n) / CELL_MEAN))))
-    meets = np.prod([(BITS - EXPECTED - k) / (BITS - k) for k in range(bits)])
-    rng = np.random.default_rng(64)
-    return [sum(1 << int(b) for b in rng.permutation(BITS)[:bits]) for _ in range(int(np.ceil(np.log(1 - RECALL) / np.log(1 - meets))))]
-
-
 def signed(value: int) -> int:
     return value - (1 << 64) if value >> 63 else value
 
@@ -156,14 +149,12 @@ def _reach(fp: np.ndarray, table: np.ndarray, radius: int) -> tuple[np.ndarray,
     return (np.concatenate(left), np.concatenate(right)) if left else (np.zeros(0, np.int64), np.zeros(0, np.int64))
 
 
-def links(distinct: DataFrame, radius: int = 4, masks: list[int] | None = None) -> DataFrame:
-    """(a, b): links between different fingerprints of distinct.fp at most radius bits apart: enough of them that every pair
-    which agrees on one of masks is connected; without masks, every pair whatever. Where distinct has a column part, only links
-    between different parts are returned. A pair that agrees on several masks is returned for the first,
-    as far as small cells go."""
-    masks = masks or cell_masks(blocks_for(distinct.count(), radius), radius)
-    own_columns = ["fp", "part"] if "part" in distinct.columns else ["fp"]
-    cells = distinct.select(*own_columns, F.posexplode(F.array(*(F.col("fp").bitwiseAND(F.lit(signed(m))) for m in masks))).alias("family", "key"))
+def links(distinct: DataFrame, radius: int = 4) -> DataFrame:
+    """(a, b): links between different fingerprints of distinct.fp at most radius bits apart: enough of them that every such
+    pair is connected. A pair that agrees on several masks is returned for the first, as far as small cells go; where its first cell
+    is large it is connected there, so these links are for components and not to be filtered."""
+    masks = cell_masks(blocks_for(distinct.count(), radius), radius)
+    cells = distinct.select("fp", F.posexplode(F.array(*(F.col("fp").bitwiseAND(F.lit(signed(m))) for m in masks))).alias("family", "key"))
     hot = stored(cells.groupBy("family", "key").count().filter(F.col("count") > CELL_ROWS), "hot-cells")
     n_hot = hot.count()
     if n_hot:
@@ -171,7 +162,7 @@ def links(distinct: DataFrame, radius: int = 4, masks: list[int] | None = None)
         cells = cells.join(hot, ["family", "key"], "left").withColumn("s", F.coalesce(F.ceil(F.col("count") / CELL_ROWS), F.lit(1)).cast("int"))
         own = F.pmod(F.xxhash64("fp"), F.col("s")).cast("int")
         pair = F.transform(F.sequence(F.lit(0), F.col("s") - 1), lambda j: F.least(own, j).cast("long") * F.lit(1 << 31) + F.greatest(own, j))
-        cells = cells.select("family", "key", *own_columns, F.explode(pair).alias("block"))
+        cells = cells.select("family", "key", "fp", F.explode(pair).alias("block"))
     else:
         cells = cells.withColumn("block", F.lit(0).cast("long"))
 
@@ -194,15 +185,12 @@ def links(distinct: DataFrame, radius: int = 4, masks: list[int] | None = None)
                 return out
 
             a, b = pairs_in_cells(cell, fp, radius, met)
-            if len(own_columns) > 1:
-                apart = rows[4][a] != rows[4][b]
-                a, b = a[apart], b[apart]
             a, b = rows[3][a], rows[3][b]
             both = np.unique(np.stack([np.minimum(a, b), np.maximum(a, b)], 1), axis=0)
             return pa.RecordBatch.from_arrays([pa.array(both[:, 0]), pa.array(both[:, 1])], ["a", "b"])
 
         for batch in batches:
-            held.append(np.stack([batch.column(k).to_numpy(zero_copy_only=False).astype(np.int64) for k in range(3 + len(own_columns))]))
+            held.append(np.stack([batch.column(k).to_numpy(zero_copy_only=False).astype(np.int64) for k in range(4)]))
             n_held += batch.num_rows
             if n_held >= 200_000:
                 rows = np.concatenate(held, axis=1)
@@ -215,7 +203,7 @@ def links(distinct: DataFrame, radius: int = 4, masks: list[int] | None = None)
         if n_held:
             yield found(np.concatenate(held, axis=1))
 
-    dealt = cells.select("family", "key", "block", *own_columns).repartition("family", "key", "block").sortWithinPartitions("family", "key", "block")
+    dealt = cells.select("family", "key", "block", "fp").repartition("family", "key", "block").sortWithinPartitions("family", "key", "block")
     return dealt.mapInArrow(search, "a long, b long").distinct()
 
 
@@ -335,20 +323,141 @@ def alike(pairs: DataFrame, distinct: DataFrame, similarity: float) -> DataFrame
     return pairs.join(sets.toDF("a", "own_a"), "a").join(sets.toDF("b", "own_b"), "b").select("a", "b", "own_a", "own_b").mapInArrow(choose, "a long, b long")
 
 
+def least_equal(similarity: float) -> int:
+    """How many bins two fingerprints must share for minhash.likeness to be at least that."""
+    chance = 1 / (1 << minhash.BITS)
+    return next(n for n in range(minhash.BINS + 1) if min(1.0, max(0.0, (n / minhash.BINS - chance) / (1 - chance))) >= similarity)
+
+
+def differing(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """In how many bins (of four bits) these rows of 64-bit words differ."""
+    d = x ^ y
+    d |= d >> np.uint64(1)
+    d |= d >> np.uint64(2)
+    d &= np.uint64(0x1111111111111111)
+    return np.bitwise_count(d).sum(-1, dtype=np.int64)
+
+
+def reach_alike(sets: np.ndarray, most: int) -> tuple[np.ndarray, np.ndarray]:
+    """A spanning forest of all links of one cell: pairs whose sets (rows of 64-bit words) differ in at most that many bins."""
+    left, right, rest, wave, half = [], [], np.arange(len(sets)), [], sets.shape[1] // 2
+    while len(rest):
+        if not wave:
+            wave, rest = [int(rest[0])], rest[1:]
+        x = wave.pop()
+        n = differing(sets[rest, :half], sets[x, :half])
+        near = np.flatnonzero(n <= most)
+        near = near[n[near] + differing(sets[rest[near], half:], sets[x, half:]) <= most]
+        if len(near):
+            found = rest[near]
+            left.append(np.full(len(found), x))
+            right.append(found)
+            wave += found.tolist()
+            rest = np.delete(rest, near)
+    return (np.concatenate(left), np.concatenate(right)) if left else (np.zeros(0, np.int64), np.zeros(0, np.int64))
+
+
+def meetings(cell: np.ndarray, fp: np.ndarray, part: np.ndarray, open_cell: int | None = None) -> pa.RecordBatch:
+    """Of rows whose cells stand together, (cell, a, b): the pairs of different parts in cells of at most SMALL_CELL rows, with a
+    null cell, and the rows of larger cells, with a null b. open_cell is a large cell whose first rows went out before."""
+    starts = np.flatnonzero(np.concatenate([[True], cell[1:] != cell[:-1]]))
+    size = np.diff(np.append(starts, len(cell)))
+    large = size > SMALL_CELL
+    large[0] |= cell[0] == open_cell if open_cell is not None else False
+    of = np.repeat(np.arange(len(starts)), size)
+    left = size[of] - (np.arange(len(cell)) - starts[of])  # rows of the cell from this one on
+    rows, pairs = np.flatnonzero(~large[of] & (left > 1)), [np.zeros((0, 2), np.int64)]
+    for shift in range(1, SMALL_CELL):
+        rows = rows[left[rows] > shift]
+        if not len(rows):
+            break
+        apart = part[rows] != part[rows + shift]
+        a, b = fp[rows[apart]], fp[rows[apart] + shift]
+        pairs.append(np.stack([np.minimum(a, b), np.maximum(a, b)], 1))
+    both, many = np.unique(np.concatenate(pairs), axis=0), large[of]
+    n, m = len(both), int(many.sum())
+    return pa.RecordBatch.from_arrays(
+        [pa.array(np.append(np.zeros(n, np.int64), cell[many]), mask=np.arange(n + m) < n), pa.array(np.append(both[:, 0], fp[many])), pa.array(np.append(both[:, 1], np.zeros(m, np.int64)), mask=np.arange(n + m) >= n)],
+        ["cell", "a", "b"],
+    )
+
+
+def alike_links(distinct: DataFrame, bands: range, similarity: float) -> DataFrame:
+    """(a, b): links between rows of distinct (fp, own, part) of different parts that agree on one of these bands and are at least
+    that similar by their MinHash: every such pair is returned or connected by others (also within parts)."""
+
+    def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[np.ndarray] = []
+        n, open_cell = 0, None
+        for batch in batches:
+            held.append(np.stack([batch.column(k).to_numpy() for k in range(3)]))
+            n += batch.num_rows
+            if n >= 200_000:
+                rows = np.concatenate(held, axis=1)
+                cut = int(np.searchsorted(rows[0], rows[0, -1]))
+                if not cut:  # all of one cell
+                    open_cell, cut = int(rows[0, 0]), rows.shape[1]
+                yield meetings(*rows[:, :cut], open_cell)
+                held, n = [rows[:, cut:]], rows.shape[1] - cut
+        if n:
+            yield meetings(*np.concatenate(held, axis=1), open_cell)
+
+    most = minhash.BINS - least_equal(similarity)
+
+    def reach(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[tuple[np.ndarray, np.ndarray]] = []
+
+        def found(rows: np.ndarray, sets: np.ndarray) -> pa.RecordBatch:
+            cuts, out = np.flatnonzero((np.diff(rows[:2], axis=1) != 0).any(0)) + 1, []
+            for fp, own in zip(np.split(rows[2], cuts), np.split(sets, cuts)):
+                a, b = reach_alike(own, most)
+                out.append(np.stack([fp[a], fp[b]]))
+            a, b = np.concatenate(out, axis=1)
+            return pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], ["a", "b"])
+
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            rows = np.stack([batch.column(k).to_numpy().astype(np.int64) for k in range(3)])
+            sets = np.frombuffer(b"".join(batch.column(3).to_pylist()), np.uint64).reshape(batch.num_rows, -1)
+            changes = np.flatnonzero((np.diff(rows[:2], axis=1) != 0).any(0))
+            if held and (held[-1][0][:2, -1] != rows[:2, 0]).any():
+                yield found(np.concatenate([r for r, _ in held], axis=1), np.concatenate([s for _, s in held]))
+                held = []
+            if len(changes):
+                cut = int(changes[-1]) + 1
+                held.append((rows[:, :cut], sets[:cut]))
+                yield found(np.concatenate([r for r, _ in held], axis=1), np.concatenate([s for _, s in held]))
+                held, rows, sets = [], rows[:, cut:], sets[cut:]
+            held.append((rows, sets))
+        if held:
+            yield found(np.concatenate([r for r, _ in held], axis=1), np.concatenate([s for _, s in held]))
+
+    keys = F.array(*(F.xxhash64(F.lit(k), F.substring("own", 4 * k + 1, 4)) for k in bands))
+    dealt = distinct.filter("own IS NOT NULL").select(F.explode(keys).alias("cell"), "fp", "part").repartition("cell").sortWithinPartitions("cell")
+    met = stored(dealt.mapInArrow(meet, "cell long, a long, b long"), "met")
+    pairs = alike(met.filter("b IS NOT NULL").select("a", "b").distinct(), distinct, similarity)
+    members = met.filter("b IS NULL").select("cell", F.col("a").alias("fp")).join(distinct.select("fp", "part"), "fp")
+    cells = members.groupBy("cell").agg(F.count("*").alias("n"), F.min("part").alias("low"), F.max("part").alias("high")).filter("low <> high")
+    own = F.pmod(F.xxhash64("fp"), F.col("s")).cast("long")
+    block = F.transform(F.sequence(F.lit(0).cast("long"), F.col("s") - 1), lambda j: F.least(own, j) * F.lit(1 << 31) + F.greatest(own, j))
+    large = members.join(cells.select("cell", F.ceil(F.col("n") / BLOCK_ROWS).alias("s")), "cell").select("cell", "fp", F.explode(block).alias("block"))
+    large = large.join(distinct.select("fp", "own"), "fp").select("cell", "block", "fp", "own").repartition("cell", "block").sortWithinPartitions("cell", "block")
+    return pairs.unionByName(large.mapInArrow(reach, "a long, b long")).distinct()
+
+
 def similar_groups(docs: DataFrame, similarity: float = 0.8, shingle: int = 5) -> tuple[DataFrame, DataFrame]:
     """prints (doc_id, fp) of docs, and (fp, component_id): the smallest doc_id of each fingerprint's group, linked by pairs of at
     least that estimated Jaccard similarity of shingle sets.
 
-    Two rounds of sampled cells: what the first eighth of the samples has joined is one part in the second round, which looks for links between
-    parts only. A large group of near copies is found once, not once a sample.
+    Two rounds: what the first FIRST_BANDS bands have joined is one part in the second round, which looks for links between parts
+    only. A large group of near copies is found once, not once a band.
     """
     prints = stored(with_sets(docs, shingle), "fingerprints")
     distinct = stored(prints.groupBy("fp").agg(F.min("doc_id").alias("least"), F.min("own").alias("own")), "distinct")
-    masks = sampled_masks(distinct.count())
-    cut = -(-len(masks) // 8)
-    first = stored(alike(links(distinct, WIDE, masks[:cut]), distinct, similarity), "alike")
-    parts = distinct.join(components(first).toDF("fp", "part"), "fp", "left").select("fp", F.coalesce("part", "fp").alias("part"))
-    second = alike(links(stored(parts, "parts"), WIDE, masks[cut:]), distinct, similarity)
+    first = stored(alike_links(distinct.withColumn("part", F.col("fp")), range(FIRST_BANDS), similarity), "alike")
+    parts = distinct.join(components(first).toDF("fp", "part"), "fp", "left").withColumn("part", F.coalesce("part", "fp"))
+    second = alike_links(stored(parts, "parts"), range(FIRST_BANDS, BANDS), similarity)
     return prints.select("doc_id", "fp"), named_groups(distinct, first.unionByName(second))
 
 
