@@ -44,3 +44,14 @@ def test_template_group(spark):
     assert len(copies) > 50 and not kept & set(copies.tolist())
     alone = np.flatnonzero(like.max(1) < 0.7)
     assert set(alone.tolist()) <= kept
+
+
+def test_equal_fingerprints(spark):
+    """Texts whose SimHash one repeated phrase sets alone are told apart by their words, and their copies are found."""
+    rng = np.random.default_rng(6)
+    own = [[f"w{x}" for x in rng.integers(1_000_000, size=300)] for _ in range(3)]
+    near = own[2][:150] + ["changed"] + own[2][151:]
+    texts = [" ".join(o) + " 0" * 400 for o in (*own, near, own[1])]
+    assert len({simhash.fingerprint(t, 5) for t in texts}) == 1
+    found = simhash.keep_one(spark.createDataFrame(list(enumerate(texts)), SCHEMA), 0.8).collect()
+    assert sorted(r["doc_id"] for r in found) == [0, 1, 2]

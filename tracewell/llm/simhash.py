@@ -296,19 +296,19 @@ def named_groups(distinct: DataFrame, edges: DataFrame) -> DataFrame:
     return stored(named.join(names, "root").select("fp", "component_id"), "components")
 
 
-def with_sets(docs: DataFrame, shingle: int) -> DataFrame:
-    """(doc_id, fp, own): fingerprints beside the MinHash of the shingle set (null of a wordless text)."""
+def with_sets(docs: DataFrame) -> DataFrame:
+    """(doc_id, fp, own): the MinHash of the set of five-word shingles (null of a wordless text), and a 64-bit hash of it."""
 
     def compute(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         made = minhash.fingerprinter()
         for batch in batches:
             for first in range(0, batch.num_rows, 1024):
                 texts = [t.as_py() for t in batch.column(1).slice(first, 1024)]
-                found = np.fromiter((fingerprint(t, shingle) for t in texts), np.uint64, len(texts))
                 own = pa.array([made.of(made.words(t)) for t in texts], pa.binary())
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(first, 1024), pa.array(found.view(np.int64)), own], ["doc_id", "fp", "own"])
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(first, 1024), own], ["doc_id", "own"])
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(compute, "doc_id long, fp long, own binary")
+    sets = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(compute, "doc_id long, own binary")
+    return sets.select("doc_id", F.xxhash64("own").alias("fp"), "own")
 
 
 def alike(pairs: DataFrame, distinct: DataFrame, similarity: float) -> DataFrame:
@@ -446,14 +446,15 @@ def alike_links(distinct: DataFrame, bands: range, similarity: float) -> DataFra
     return pairs.unionByName(large.mapInArrow(reach, "a long, b long")).distinct()
 
 
-def similar_groups(docs: DataFrame, similarity: float = 0.8, shingle: int = 5) -> tuple[DataFrame, DataFrame]:
+def similar_groups(docs: DataFrame, similarity: float = 0.8) -> tuple[DataFrame, DataFrame]:
     """prints (doc_id, fp) of docs, and (fp, component_id): the smallest doc_id of each fingerprint's group, linked by pairs of at
-    least that estimated Jaccard similarity of shingle sets.
+    least that estimated Jaccard similarity of sets of five-word shingles. fp stands for the whole MinHash, so that only documents of equal
+    MinHash collapse; their SimHash is not looked at.
 
     Two rounds: what the first FIRST_BANDS bands have joined is one part in the second round, which looks for links between parts
     only. A large group of near copies is found once, not once a band.
     """
-    prints = stored(with_sets(docs, shingle), "fingerprints")
+    prints = stored(with_sets(docs), "fingerprints")
     distinct = stored(prints.groupBy("fp").agg(F.min("doc_id").alias("least"), F.min("own").alias("own")), "distinct")
     first = stored(alike_links(distinct.withColumn("part", F.col("fp")), range(FIRST_BANDS), similarity), "alike")
     parts = distinct.join(components(first).toDF("fp", "part"), "fp", "left").withColumn("part", F.coalesce("part", "fp"))
@@ -464,6 +465,8 @@ def similar_groups(docs: DataFrame, similarity: float = 0.8, shingle: int = 5) -
 def keep_one(docs: DataFrame, similarity: float = 0.8, shingle: int = 5) -> DataFrame:
     """docs with one document of each group of similar ones: the one with the smallest doc_id (of rows repeating that id, one).
     Rows with a null doc_id all stay, since nothing can name them."""
-    prints, named = similar_groups(docs, similarity, shingle)
+    if shingle != minhash.SHINGLE:
+        raise ValueError(f"MinHash sets are of shingles of {minhash.SHINGLE} words")
+    prints, named = similar_groups(docs, similarity)
     kept = prints.join(named, "fp").filter("doc_id = component_id").select("doc_id").distinct()
     return docs.join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id"]).select(docs.columns).unionByName(docs.filter("doc_id IS NULL"))
