@@ -36,7 +36,7 @@ GENERATORS = (
     ("phone", "(?<![0-9A-Za-z+.-])\\(?[0-9]{2,5}\\)?(?:[\\x20./-]{1,2}\\(?[0-9]{2,5}\\)?){1,5}(?![0-9A-Za-z])", "0"),
     ("email", "(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{1,64}+\\x20?(?:[\\[({](?i:at)[\\])}]|\\x20(?i:at)\\x20|@)\\x20?[A-Za-z0-9-]{1,63}+(?:\\x20?(?:\\.|[\\[({](?i:dot)[\\])}]|\\x20(?i:dot)\\x20)\\x20?[A-Za-z0-9-]{1,63}+){1,4}", "at"),
     ("id", "(?<![0-9A-Za-z])(?:[0-9]{3}-[0-9]{2}-[0-9]{4}|[A-Z]{2}[0-9]{2}(?:\\x20?[A-Z0-9]{4}){3,7}(?:\\x20?[A-Z0-9]{1,3})?)(?![0-9A-Za-z])", "0"),
-    ("secret", "(?i)(?<![a-z0-9])(?:password|passwd|passphrase|pwd|token|secret|api[_-]?key|access[_-]?key)[\"']?\\x20?[=:]\\x20?[\"']?[a-z0-9_/+.!#$%-]{6,80}", "=:"),
+    ("secret", "(?i)(?<![a-z0-9])(?:password|passwd|passphrase|pwd|token|secret|api[_-]?key|access[_-]?key)[\"']?\\x20?[=:]\\x20?[\"']?[a-z0-9_/+.!#$%-]{6,}+={0,2}", "=:"),
 )
 KINDS = ("email", "ip", "card", "phone", "id", "secret")
 LEFT, RIGHT = 32, 8
