@@ -462,14 +462,16 @@ def card_verdicts(spark, sf_dir):
 
 
 def _snapshots(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
-    """Models (id, main_github, main_arxiv), a repository tree and its files, and papers' plain text, from documents and pages."""
-    c = cards(spark, sf_dir)
-    owner, repo = F.concat(F.lit("org"), (F.col("doc_id") % 13).cast("string")), F.concat(F.lit("repo"), (F.col("doc_id") % 40).cast("string"))
-    models = c.select("id", F.concat(F.lit("https://github.com/"), owner, F.lit("/"), repo).alias("main_github"), F.concat(F.lit("https://arxiv.org/abs/2401."), F.lpad((F.col("doc_id") % 60).cast("string"), 5, "0")).alias("main_arxiv"))
+    """Models (id, main_github, main_arxiv), a repository tree and its files, and papers' plain text. Every document makes a
+    repository and a paper; every tenth has a second model, a mirror that names the same two."""
+    c, k = cards(spark, sf_dir), F.col("doc_id")
+    owner, repo, paper = F.concat(F.lit("org"), (k % 13).cast("string")), F.concat(F.lit("repo"), k.cast("string")), F.format_string("2401.%05d", k)
+    ids = F.when(k % 10 == 0, F.array("id", F.concat("id", F.lit("-mirror")))).otherwise(F.array("id"))
+    models = c.select(F.explode(ids).alias("id"), F.concat(F.lit("https://github.com/"), owner, F.lit("/"), repo).alias("main_github"), F.concat(F.lit("https://arxiv.org/abs/"), paper).alias("main_arxiv"))
     paths = F.array(*(F.lit(p) for p in ("README.md", "requirements.txt", "train.py", "scripts/go.sh", "src/a.cu")))
-    first = c.groupBy(owner.alias("owner"), repo.alias("repo")).agg(F.min_by("card", "doc_id").alias("card"))
-    files = first.select("owner", "repo", F.posexplode(paths).alias("path_pos", "path"), F.concat("card", F.lit("\ntorch\nflash-attn\nCUDA_VISIBLE_DEVICES=0,1 python train.py with the usual options\n")).alias("content"))
-    papers = c.filter("doc_id < 60").select(F.concat(F.lit("2401."), F.lpad("doc_id", 5, "0")).alias("arxiv_id"), F.concat(F.lit("Abstract\nWe train.\n1 Introduction\nwords\n2 Method\nwords\n3 Training Setup\n"), "card", F.lit("\nReferences\n[1]")).alias("text"))
+    files = c.select(owner.alias("owner"), repo.alias("repo"), "card", F.posexplode(paths).alias("path_pos", "path"))
+    files = files.select("owner", "repo", "path_pos", "path", F.concat("card", F.lit("\ntorch\nflash-attn\nCUDA_VISIBLE_DEVICES=0,1 python train.py with the usual options\n")).alias("content"))
+    papers = c.select(paper.alias("arxiv_id"), F.concat(F.lit("Abstract\nWe train.\n1 Introduction\nwords\n2 Method\nwords\n3 Training Setup\n"), "card", F.lit("\nReferences\n[1]")).alias("text"))
     return models, files.select("owner", "repo", "path", F.col("path_pos").cast("int").alias("path_pos")), files.select("owner", "repo", "path", "content"), papers
 
 
