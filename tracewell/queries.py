@@ -461,6 +461,16 @@ def card_verdicts(spark, sf_dir):
     return out.select("id", "chip_provider", "chip_provider_score", "chip_provider_confidence", F.to_json("chip_providers_all").alias("all"), F.array_join("matched_sections", ",").alias("matched_sections"), F.size("chip_snippets").alias("n_snippets"), "is_derivative", "runtime_library")
 
 
+@query()
+def disclosure_flags_whole(spark, sf_dir):
+    """The flags of disclosure_flags for every section of the whole card, where that query reads its first 400 characters."""
+    parts = cards(spark, sf_dir).withColumn("front", T.front_matter(F.col("card")))
+    front = F.struct(F.lit("yaml_frontmatter").alias("section_type"), F.col("front.yaml").alias("text"))
+    rows = parts.select("doc_id", F.posexplode(F.concat(F.array(front), T.card_sections(F.col("front.body")))).alias("pos", "s"))
+    s = F.col("s.text")
+    return rows.select("doc_id", "pos", "s.section_type", predicates.is_disclosure(s).alias("disclosure"), predicates.is_training_context(s).alias("context"), F.rlike(s, F.lit("(?iUd)" + V.RUNTIME_NOISE)).alias("noise"))
+
+
 def _snapshots(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
     """Models (id, main_github, main_arxiv), a repository tree and its files, and papers' plain text. Every document makes a
     repository and a paper; every tenth has a second model, a mirror that names the same two."""
