@@ -6,7 +6,7 @@ import numpy as np
 import pytest
 import xxhash
 
-from tracewell.llm import minhash, simhash
+from tracewell.llm import components, minhash, simhash
 
 SCHEMA = "doc_id long, text string, fp string, component_id string"  # clashing names on purpose
 
@@ -89,8 +89,11 @@ def test_pairs_in_cells(size):
     rng = np.random.default_rng(size)
     centers = rng.integers(0, 1 << 63, 5, dtype=np.uint64)
     fp = np.unique([int(centers[rng.integers(5)]) ^ sum(1 << int(b) for b in rng.permutation(64)[: rng.integers(0, 6)]) for _ in range(size)]).astype(np.uint64)
-    a, b = simhash.pairs_in_cells(np.zeros(len(fp), np.int64), fp, 4)
+    fp = fp[np.argsort(simhash.pivot_table(fp)[:, 0], kind="stable")]
+    tally = simhash.Tally()
+    a, b = simhash.pairs_in_cells(np.zeros(len(fp), np.int64), fp, simhash.pivot_table(fp), 4, tally=tally)
     assert all(bin(int(fp[x]) ^ int(fp[y])).count("1") <= 4 for x, y in zip(a, b))
+    assert tally.links == len(a) and tally.discarded + tally.verified == tally.window
     parent = list(range(len(fp)))
 
     def find(k):
@@ -105,6 +108,26 @@ def test_pairs_in_cells(size):
     assert all((find(i) == find(j)) == (want[i] == want[j]) for i, j in pairs)
 
 
+@pytest.mark.parametrize("size", [40, 2000])
+def test_pivots_discard(size):
+    """Of unlike fingerprints the window leaves some six in ten, the other pivots discard all but a few, and none that is a link."""
+    rng = np.random.default_rng(size)
+    fp = rng.integers(0, 1 << 63, size, dtype=np.uint64)
+    fp[1::10] = fp[0::10] ^ np.uint64(0b1011)
+    fp = fp[np.argsort(simhash.pivot_table(fp)[:, 0], kind="stable")]
+    tally, every = simhash.Tally(), size * (size - 1) // 2
+    a, _ = simhash.pairs_in_cells(np.zeros(size, np.int64), fp, simhash.pivot_table(fp), 4, tally=tally)
+    print(f"{every} pairs: {tally.window} in the window, {tally.discarded} discarded by pivots, {tally.verified} verified, {tally.links} links")
+    assert len(a) == tally.links >= size // 10
+    assert tally.window < 0.75 * every and tally.verified <= tally.links + 1e-4 * every + 1
+
+
+def test_pivot_columns(spark):
+    rows = spark.createDataFrame([(5,), (-1,), (1 << 62,)], "fp long")
+    for r in simhash.with_table(rows).collect():
+        assert r["pivots"] == simhash.pivot_table(np.array([r["fp"]], np.int64).view(np.uint64))[0].tolist()
+
+
 def test_hot_cells_are_dealt_out(spark, docs, monkeypatch):
     monkeypatch.setattr(simhash, "CELL_ROWS", 7)
     monkeypatch.setattr(simhash, "blocks_for", lambda n, radius: 5)
@@ -116,7 +139,7 @@ def test_hot_cells_are_dealt_out(spark, docs, monkeypatch):
 
 def test_components_of_a_chain(spark):
     edges = [(k, k + 1) for k in range(0, 60)] + [(100, 101), (200, 205), (205, 203)]
-    found = {r["node"]: r["root"] for r in simhash.components(spark.createDataFrame(edges, "a long, b long")).collect()}
+    found = {r["node"]: r["root"] for r in components.components(spark.createDataFrame(edges, "a long, b long")).collect()}
     assert all(found[k] == 0 for k in range(61)) and found[101] == 100 and found[203] == 200 and found[205] == 200
 
 
@@ -131,6 +154,25 @@ def test_keep_one(spark):
     assert found[0].asDict().keys() == {"doc_id", "text", "source"}
 
 
+@pytest.mark.parametrize("turn", [0, 1, 2])
+def test_keep_one_of_repeated_ids(spark, turn):
+    """Of rows that repeat an id with other texts each is judged by its own text, in any order; clashing names do no harm."""
+    rng = np.random.default_rng(4)
+    one, two = (" ".join(words(rng, 200, 5000)) for _ in range(2))
+    rows = [(5, one, 1), (2, two, 2), (5, two, 3)]
+    rows = rows[turn:] + rows[:turn]
+    found = simhash.keep_one(spark.createDataFrame(rows, "doc_id long, text string, fp long").selectExpr("doc_id", "text", "fp", "fp AS first", "fp AS `own.x`")).collect()
+    assert sorted((r["doc_id"], r["text"]) for r in found) == [(2, two), (5, one)]
+    assert [f for f in found[0].__fields__] == ["doc_id", "text", "fp", "first", "own.x"]
+
+
+def test_keep_one_of_nothing(spark):
+    assert simhash.keep_one(spark.createDataFrame([], "doc_id long, text string")).count() == 0
+    rows = [(3, None), (1, " "), (2, ""), (None, None), (9, "one")]
+    found = simhash.keep_one(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sorted(str(r["doc_id"]) for r in found) == ["1", "9", "None"]
+
+
 def test_minhash_estimates():
     rng = np.random.default_rng(4)
     made = minhash.Fingerprinter()
@@ -175,7 +217,7 @@ def test_local_roots():
     for n in (1, 5, 60, 300):
         u, v = rng.integers(-200, 200, (2, n))
         u, v = u[u != v], v[u != v]
-        node, root = simhash.local_roots(u, v) if len(u) else ([], [])
+        node, root = components.local_roots(u, v) if len(u) else ([], [])
         own = sorted({*u.tolist(), *v.tolist()})
         parent = {x: x for x in own}
 

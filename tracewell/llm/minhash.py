@@ -39,7 +39,7 @@ _BIN_KEYS = _mixed(np.arange(BINS, dtype=np.uint64) * _MIX + np.uint64(11))
 
 
 class Fingerprinter:
-    """of(text) -> packed bins as bytes, None for a text without words."""
+    """of(words(text)) -> packed bins as bytes, None for a text without words."""
 
     def __init__(self, table_size: int = 150_000):
         self.table: dict[bytes, int] = {}
@@ -63,14 +63,22 @@ class Fingerprinter:
                 self.table.clear()
             return found
 
-    def of(self, words: np.ndarray) -> bytes | None:
+    def shingles(self, words: np.ndarray) -> np.ndarray:
+        """Hashes of the shingles, repeats included: of all words where there are fewer than SHINGLE."""
         if not len(words):
-            return None
+            return np.zeros(0, np.uint64)
         width = min(SHINGLE, len(words))
         hashes = np.zeros(len(words) - width + 1, np.uint64)
         for k in range(width):  # a polynomial of the words' hashes, so that order counts
             hashes = hashes * _MIX + words[k : len(words) - width + 1 + k]
-        hashes = _mixed(hashes)
+        return _mixed(hashes)
+
+    def of(self, words: np.ndarray) -> bytes | None:
+        return self.packed(self.shingles(words))
+
+    def packed(self, hashes: np.ndarray) -> bytes | None:
+        if not len(hashes):
+            return None
         bins = np.full(BINS, np.iinfo(np.uint64).max, np.uint64)
         np.minimum.at(bins, (hashes >> np.uint64(55)).astype(np.int64), hashes)
         full = np.zeros(BINS, bool)

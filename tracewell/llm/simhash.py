@@ -3,27 +3,24 @@
 Fingerprints.  A document's words are joined to shingles, each is hashed to 64 bits, and a fingerprint bit is set where
 over half of the hashes have it.
 
-Links.  Equal fingerprints collapse first, so a group of copies of any size is one row from there on.  Two distinct
-fingerprints at most ``radius`` bits apart agree on at least ``blocks - radius`` of ``blocks`` disjoint bit blocks; every
-choice of that many blocks is one *cell family*, and a pair meets in the cell of any choice that it agrees on, so no link
-is lost.  (Coordinates of pivots cannot deal the pairs out by themselves: at radius 4 a random pivot separates only two
-pairs in five, so a grid over pivots repeats each row hundreds of times.)  ``blocks`` grows with the number of distinct
-fingerprints so that a cell holds a few.  Inside a cell each fingerprint has its Hamming distances to many fixed
-reference fingerprints, the pivots; by the triangle inequality a pair with a coordinate difference above the radius
-cannot be linked and is discarded; survivors are verified by their differing bits.
+Pivot tables.  Equal fingerprints collapse first, so a group of copies of any size is one row from there on.  Each distinct
+fingerprint gets, once, its Hamming distances to many fixed reference fingerprints, the pivots, and carries them from there
+on.  By the triangle inequality a pair with a coordinate difference above the radius cannot be linked.
+
+Meeting.  Two distinct fingerprints at most ``radius`` bits apart agree on at least ``blocks - radius`` of ``blocks`` disjoint
+bit blocks; every choice of that many blocks is one *cell family*, and a pair meets in the cell of any choice that it agrees
+on, so no link is lost.  (Coordinates of pivots cannot deal the pairs out by themselves: at radius 4 a random pivot separates
+only two pairs in five, so a grid over pivots repeats each row hundreds of times.)  ``blocks`` grows with the number of
+distinct fingerprints so that a cell holds a few.  Inside a cell rows stand in order of their first coordinate: only those in
+a window of the radius on either side are compared at all, the other coordinates discard nearly all that do not belong
+together, and what survives is verified by its differing bits.
 
 Large cells.  A cell is searched breadth first: what is reached leaves the set of the unreached, so a dense group of m
 near copies costs about m comparisons and gives m - 1 links, a spanning forest, and not the square.  Cells above
 ``CELL_ROWS`` are dealt out as pairs of blocks, so that no task holds an unbounded cell.
 
-Similarity.  A shingle similarity of 0.8 puts about ten of 64 bits apart, too many for cells of bits.  ``similar_groups``
-deals documents out by their one-permutation MinHash instead: each of ``BANDS`` bands of eight bins is a cell family, and a
-pair meets in every band that it agrees on.  A pair at similarity 0.8 agrees on a band with probability 0.19 and on none of
-64 with 1.4e-6, however many documents there are.  Every pair of a cell counts as similar only by its own estimate: small
-cells give all their pairs, and in a larger one a document leaves the set of the unreached only when it is similar to one reached.
-
-Components.  Alternating large-star and small-star steps over DataFrames, each round written to the shared folder.
-Nothing is collected but counts.
+Near copies at a shingle similarity (``keep_one``) lie about ten bits apart at 0.8, which no cells of bits can find: see
+``similar``.
 """
 
 from __future__ import annotations
@@ -36,13 +33,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tracewell.llm import minhash
+from tracewell.llm import similar
 from tracewell.llm.common import stored
+from tracewell.llm.components import named_groups
 
 BITS = 64
-#: For similar_groups: bands of four bytes, eight bins, of a MinHash; those of the first round; rows of a large cell that one task compares.
-BANDS, FIRST_BANDS, BLOCK_ROWS = minhash.BINS * minhash.BITS // 32, 8, 16_384
-#: Rows of a cell (8 bytes each) that one task takes at once.
+#: Rows of a cell (a fingerprint and its table) that one task takes at once.
 CELL_ROWS = 50_000
 #: Cells up to this size are searched together, pair by pair; larger ones breadth first.
 SMALL_CELL = 48
@@ -96,65 +92,94 @@ def signed(value: int) -> int:
     return value - (1 << 64) if value >> 63 else value
 
 
-def pairs_in_cells(cell: np.ndarray, fp: np.ndarray, radius: int, met: Callable[[np.ndarray, np.ndarray], np.ndarray] | None = None) -> tuple[np.ndarray, np.ndarray]:
-    """Links among fingerprints of the same cell (cell: ascending numbers): all of a small cell, but for those that have met
-    before, and a spanning forest of the links of a large one."""
-    table = np.bitwise_count(fp[:, None] ^ PIVOTS[None, :]).astype(np.int8)
+def pivot_table(fp: np.ndarray) -> np.ndarray:
+    """The Hamming distances of each fingerprint to the pivots, a row each."""
+    return np.bitwise_count(fp[:, None] ^ PIVOTS[None, :]).astype(np.int8)
+
+
+def with_table(distinct: DataFrame) -> DataFrame:
+    """distinct with the column pivots, the same distances."""
+    return distinct.withColumn("pivots", F.array(*(F.bit_count(F.col("fp").bitwiseXOR(F.lit(signed(int(p))))).cast("tinyint") for p in PIVOTS)))
+
+
+class Tally:
+    """Pairs that stood in the window of the first coordinate, that other coordinates discarded, that were verified, and that are links."""
+
+    def __init__(self) -> None:
+        self.window = self.discarded = self.verified = self.links = 0
+
+    def add(self, window: int, verified: int, links: int) -> None:
+        self.window += window
+        self.discarded += window - verified
+        self.verified += verified
+        self.links += links
+
+
+def survivors(table: np.ndarray, a: np.ndarray, b: np.ndarray, radius: int) -> np.ndarray:
+    """Of these pairs (b may be all against one a) the places of those that no coordinate discards."""
+    near = np.arange(len(b))
+    for k in range(0, table.shape[1], 4):
+        if not len(near):
+            break
+        own = table[a[near], k : k + 4] if a.ndim else table[a, k : k + 4]
+        near = near[(np.abs(own - table[b[near], k : k + 4]) <= radius).all(1)]
+    return near
+
+
+def pairs_in_cells(cell: np.ndarray, fp: np.ndarray, table: np.ndarray, radius: int, met: Callable[[np.ndarray, np.ndarray], np.ndarray] | None = None, tally: Tally | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """Links among fingerprints of the same cell (cell: ascending numbers; within one, rows ascend by their first coordinate):
+    all of a small cell, but for those that have met before, and a spanning forest of the links of a large one."""
+    tally = tally or Tally()
     size = np.bincount(cell, minlength=1)
-    small = size[cell] <= SMALL_CELL
-    left, right = [], []
-    rows = np.flatnonzero(small)
+    a = np.flatnonzero((size[cell] <= SMALL_CELL) & (size[cell] > 1))
+    left, right = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
     for shift in range(1, SMALL_CELL):
-        a = rows[: len(rows) - shift]
-        a = a[cell[a] == cell[rows[shift:]]] if len(a) else a
+        a = a[a + shift < len(cell)]
+        a = a[(cell[a] == cell[a + shift]) & (table[a + shift, 0] - table[a, 0] <= radius)]  # beyond the window for good
         if not len(a):
             break
-        b = a + shift  # rows of a cell stand together
-        for k in range(0, len(PIVOTS), 4):
-            near = (np.abs(table[a, k : k + 4] - table[b, k : k + 4]) <= radius).all(1)
-            a, b = a[near], b[near]
-        near = np.bitwise_count(fp[a] ^ fp[b]) <= radius
-        a, b = a[near], b[near]
+        near = survivors(table, a, a + shift, radius)
+        linked = a[near][np.bitwise_count(fp[a[near]] ^ fp[a[near] + shift]) <= radius]
+        tally.add(len(a), len(near), len(linked))
         if met is not None:
-            new = ~met(a, b)
-            a, b = a[new], b[new]
-        left.append(a)
-        right.append(b)
+            linked = linked[~met(linked, linked + shift)]
+        left.append(linked)
+        right.append(linked + shift)
     starts = np.concatenate([[0], np.cumsum(size)])
     for c in np.flatnonzero(size > SMALL_CELL).tolist():
-        a, b = _reach(fp[starts[c] : starts[c + 1]], table[starts[c] : starts[c + 1]], radius)
-        left.append(a + starts[c])
-        right.append(b + starts[c])
-    return (np.concatenate(left), np.concatenate(right)) if left else (np.zeros(0, np.int64), np.zeros(0, np.int64))
+        x, y = _reach(fp[starts[c] : starts[c + 1]], table[starts[c] : starts[c + 1]], radius, tally)
+        left.append(x + starts[c])
+        right.append(y + starts[c])
+    return np.concatenate(left), np.concatenate(right)
 
 
-def _reach(fp: np.ndarray, table: np.ndarray, radius: int) -> tuple[np.ndarray, np.ndarray]:
-    left, right, rest, wave = [], [], np.arange(len(fp)), []
+def _reach(fp: np.ndarray, table: np.ndarray, radius: int, tally: Tally) -> tuple[np.ndarray, np.ndarray]:
+    left, right, rest, wave = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], np.arange(len(fp)), []
+    first = table[:, 0]
     while len(rest):
         if not wave:
-            wave, rest = [int(rest[0])], rest[1:]
+            wave, rest, first = [int(rest[0])], rest[1:], first[1:]
         x = wave.pop()
-        near = np.arange(len(rest))
-        for k in range(0, len(PIVOTS), 4):
-            if not len(near):
-                break
-            near = near[(np.abs(table[rest[near], k : k + 4] - table[x, k : k + 4]) <= radius).all(1)]
-        near = near[np.bitwise_count(fp[rest[near]] ^ fp[x]) <= radius]
-        if len(near):
-            found = rest[near]
+        low = int(np.searchsorted(first, table[x, 0] - radius, "left"))
+        high = int(np.searchsorted(first, table[x, 0] + radius, "right"))
+        near = low + survivors(table, np.array(x), rest[low:high], radius)
+        linked = near[np.bitwise_count(fp[rest[near]] ^ fp[x]) <= radius]
+        tally.add(high - low, len(near), len(linked))
+        if len(linked):
+            found = rest[linked]
             left.append(np.full(len(found), x))
             right.append(found)
             wave += found.tolist()
-            rest = np.delete(rest, near)
-    return (np.concatenate(left), np.concatenate(right)) if left else (np.zeros(0, np.int64), np.zeros(0, np.int64))
+            rest, first = np.delete(rest, linked), np.delete(first, linked)
+    return np.concatenate(left), np.concatenate(right)
 
 
 def links(distinct: DataFrame, radius: int = 4) -> DataFrame:
-    """(a, b): links between different fingerprints of distinct.fp at most radius bits apart: enough of them that every such
-    pair is connected. A pair that agrees on several masks is returned for the first, as far as small cells go; where its first cell
-    is large it is connected there, so these links are for components and not to be filtered."""
+    """(a, b): links between different fingerprints of distinct (fp, pivots) at most radius bits apart: enough of them that every
+    such pair is connected. A pair that agrees on several masks is returned for the first, as far as small cells go; where its
+    first cell is large it is connected there, so these links are for components and not to be filtered."""
     masks = cell_masks(blocks_for(distinct.count(), radius), radius)
-    cells = distinct.select("fp", F.posexplode(F.array(*(F.col("fp").bitwiseAND(F.lit(signed(m))) for m in masks))).alias("family", "key"))
+    cells = distinct.select("fp", "pivots", F.posexplode(F.array(*(F.col("fp").bitwiseAND(F.lit(signed(m))) for m in masks))).alias("family", "key"))
     hot = stored(cells.groupBy("family", "key").count().filter(F.col("count") > CELL_ROWS), "hot-cells")
     n_hot = hot.count()
     if n_hot:
@@ -162,21 +187,19 @@ def links(distinct: DataFrame, radius: int = 4) -> DataFrame:
         cells = cells.join(hot, ["family", "key"], "left").withColumn("s", F.coalesce(F.ceil(F.col("count") / CELL_ROWS), F.lit(1)).cast("int"))
         own = F.pmod(F.xxhash64("fp"), F.col("s")).cast("int")
         pair = F.transform(F.sequence(F.lit(0), F.col("s") - 1), lambda j: F.least(own, j).cast("long") * F.lit(1 << 31) + F.greatest(own, j))
-        cells = cells.select("family", "key", "fp", F.explode(pair).alias("block"))
+        cells = cells.select("family", "key", "fp", "pivots", F.explode(pair).alias("block"))
     else:
         cells = cells.withColumn("block", F.lit(0).cast("long"))
 
     order = np.array(masks, np.uint64)
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[np.ndarray] = []
+        held: list[tuple[np.ndarray, np.ndarray]] = []
         n_held = 0
 
-        def found(rows: np.ndarray) -> pa.RecordBatch:
-            new = (np.diff(rows[:3], axis=1) != 0).any(0)
-            cell = np.concatenate([[0], np.cumsum(new)])
-            fp = rows[3].view(np.uint64)
-            family = rows[0]
+        def found(rows: np.ndarray, table: np.ndarray) -> pa.RecordBatch:
+            cell = np.concatenate([[0], np.cumsum((np.diff(rows[:3], axis=1) != 0).any(0))])
+            fp, family = rows[3].view(np.uint64), rows[0]
 
             def met(a: np.ndarray, b: np.ndarray) -> np.ndarray:
                 out = np.zeros(len(a), bool)
@@ -184,95 +207,30 @@ def links(distinct: DataFrame, radius: int = 4) -> DataFrame:
                     out |= (k < family[a]) & (((fp[a] ^ fp[b]) & mask) == 0)
                 return out
 
-            a, b = pairs_in_cells(cell, fp, radius, met)
+            a, b = pairs_in_cells(cell, fp, table, radius, met)
             a, b = rows[3][a], rows[3][b]
             both = np.unique(np.stack([np.minimum(a, b), np.maximum(a, b)], 1), axis=0)
             return pa.RecordBatch.from_arrays([pa.array(both[:, 0]), pa.array(both[:, 1])], ["a", "b"])
 
         for batch in batches:
-            held.append(np.stack([batch.column(k).to_numpy(zero_copy_only=False).astype(np.int64) for k in range(4)]))
+            rows = np.stack([batch.column(k).to_numpy(zero_copy_only=False).astype(np.int64) for k in range(4)])
+            held.append((rows, batch.column(4).flatten().to_numpy().reshape(-1, len(PIVOTS))))
             n_held += batch.num_rows
             if n_held >= 200_000:
-                rows = np.concatenate(held, axis=1)
+                rows, table = np.concatenate([r for r, _ in held], axis=1), np.concatenate([t for _, t in held])
                 changes = np.flatnonzero((np.diff(rows[:3], axis=1) != 0).any(0))
                 if len(changes):
                     cut = int(changes[-1]) + 1
-                    yield found(rows[:, :cut])
-                    rows = rows[:, cut:]
-                held, n_held = [rows], rows.shape[1]
+                    yield found(rows[:, :cut], table[:cut])
+                    rows, table = rows[:, cut:], table[cut:]
+                held, n_held = [(rows, table)], rows.shape[1]
         if n_held:
-            yield found(np.concatenate(held, axis=1))
+            yield found(np.concatenate([r for r, _ in held], axis=1), np.concatenate([t for _, t in held]))
 
-    dealt = cells.select("family", "key", "block", "fp").repartition("family", "key", "block").sortWithinPartitions("family", "key", "block")
+    dealt = cells.select("family", "key", "block", "fp", "pivots").repartition("family", "key", "block").sortWithinPartitions("family", "key", "block", F.get("pivots", F.lit(0)))
     return dealt.mapInArrow(search, "a long, b long").distinct()
 
 
-def local_roots(u: np.ndarray, v: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(node, root) of the nodes of these edges that are not roots: root is the smallest node connected by them."""
-    nodes, place = np.unique(np.concatenate([u, v]), return_inverse=True)
-    a, b = place[: len(u)], place[len(u) :]
-    label = np.arange(len(nodes))
-    while True:
-        low = np.minimum(label[a], label[b])
-        new = label.copy()
-        np.minimum.at(new, label[a], low)
-        np.minimum.at(new, label[b], low)
-        while (new != new[new]).any():
-            new = new[new]
-        if (new == label).all():
-            break
-        label = new
-    own = label != np.arange(len(nodes))
-    return nodes[own], nodes[label[own]]
-
-
-def contracted(edges: DataFrame, most: int = 1 << 20) -> DataFrame:
-    """Edges (u, v) with the same components: each task replaces what it reads, ``most`` edges at a time, by stars."""
-
-    def shrink(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[np.ndarray] = []
-        n = 0
-
-        def stars() -> pa.RecordBatch:
-            node, root = local_roots(*np.concatenate(held, axis=1))
-            return pa.RecordBatch.from_arrays([pa.array(node), pa.array(root)], ["u", "v"])
-
-        for batch in batches:
-            held.append(np.stack([batch.column(k).to_numpy() for k in range(2)]))
-            n += batch.num_rows
-            if n >= most:
-                yield stars()
-                held, n = [], 0
-        if n:
-            yield stars()
-
-    return edges.mapInArrow(shrink, "u long, v long")
-
-
-def components(edges: DataFrame) -> DataFrame:
-    """(node, root) of every node of edges (a, b): root is the smallest node that it is connected with.
-
-    Rounds of a large-star and a small-star step until nothing changes; tasks contract their edges first, so that few rounds are
-    left to do."""
-    edges = stored(edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).filter("u <> v"), "edges")
-    edges = stored(contracted(edges).distinct(), "edges")
-    state = None
-    while True:
-        now = edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
-        if now == state or not now[0]:
-            break
-        state = now
-        both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        large = both.filter("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).filter("u <> v").distinct()
-        least = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = large.join(least, "u")
-        small = small.select("u", F.col("m").alias("v")).unionByName(small.filter("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v")))
-        edges = stored(small.distinct(), "edges")
-    stars = edges.groupBy("u").agg(F.min("v").alias("root")).withColumnRenamed("u", "node")
-    return stars.unionByName(edges.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct())
-
-
 def near_duplicates(docs: DataFrame, radius: int = 4, shingle: int = 4, seed: int = 42) -> DataFrame:
     """One row per row of docs: doc_id, fingerprint (16 hex digits), component_id, the smallest doc_id among all documents
     reachable over links of at most radius differing bits, its own included.
@@ -282,191 +240,22 @@ def near_duplicates(docs: DataFrame, radius: int = 4, shingle: int = 4, seed: in
     gives an empty result. Other columns of docs are not looked at.
     """
     prints = stored(fingerprints(docs, shingle, seed), "fingerprints")
-    distinct = stored(prints.groupBy("fp").agg(F.min("doc_id").alias("least")), "distinct")
-    named = named_groups(distinct, links(distinct, radius))
+    distinct = stored(with_table(prints.groupBy("fp").agg(F.min("doc_id").alias("least"))), "distinct")
+    named = named_groups(distinct.select("fp", "least"), links(distinct, radius))
     return prints.join(named, "fp", "left").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
-def named_groups(distinct: DataFrame, edges: DataFrame) -> DataFrame:
-    """(fp, component_id) of every row of distinct (fp, least): the smallest ``least`` among the connected."""
-    roots = components(edges)
-    named = distinct.join(roots.withColumnRenamed("node", "fp"), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
-    named = stored(named, "named")
-    names = stored(named.groupBy("root").agg(F.min("least").alias("component_id")), "names")
-    return stored(named.join(names, "root").select("fp", "component_id"), "components")
-
-
-def with_sets(docs: DataFrame) -> DataFrame:
-    """(doc_id, fp, own): the MinHash of the set of five-word shingles (null of a wordless text), and a 64-bit hash of it."""
-
-    def compute(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        made = minhash.fingerprinter()
-        for batch in batches:
-            for first in range(0, batch.num_rows, 1024):
-                texts = [t.as_py() for t in batch.column(1).slice(first, 1024)]
-                own = pa.array([made.of(made.words(t)) for t in texts], pa.binary())
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(first, 1024), own], ["doc_id", "own"])
-
-    sets = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(compute, "doc_id long, own binary")
-    return sets.select("doc_id", F.xxhash64("own").alias("fp"), "own")
-
-
-def alike(pairs: DataFrame, distinct: DataFrame, similarity: float) -> DataFrame:
-    """The pairs (a, b) whose shingle sets (distinct: fp, own) are at least that similar."""
-
-    def choose(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            found = [minhash.likeness(a, b) >= similarity for a, b in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist())]
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], ["a", "b"]).filter(pa.array(found, pa.bool_()))
-
-    sets = distinct.select("fp", "own")
-    return pairs.join(sets.toDF("a", "own_a"), "a").join(sets.toDF("b", "own_b"), "b").select("a", "b", "own_a", "own_b").mapInArrow(choose, "a long, b long")
-
-
-def least_equal(similarity: float) -> int:
-    """How many bins two fingerprints must share for minhash.likeness to be at least that."""
-    chance = 1 / (1 << minhash.BITS)
-    return next(n for n in range(minhash.BINS + 1) if min(1.0, max(0.0, (n / minhash.BINS - chance) / (1 - chance))) >= similarity)
-
-
-def differing(x: np.ndarray, y: np.ndarray) -> np.ndarray:
-    """In how many bins (of four bits) these rows of 64-bit words differ."""
-    d = x ^ y
-    d |= d >> np.uint64(1)
-    d |= d >> np.uint64(2)
-    d &= np.uint64(0x1111111111111111)
-    return np.bitwise_count(d).sum(-1, dtype=np.int64)
-
-
-def reach_alike(sets: np.ndarray, most: int) -> tuple[np.ndarray, np.ndarray]:
-    """A spanning forest of all links of one cell: pairs whose sets (rows of 64-bit words) differ in at most that many bins."""
-    left, right, rest, wave, half = [], [], np.arange(len(sets)), [], sets.shape[1] // 2
-    while len(rest):
-        if not wave:
-            wave, rest = [int(rest[0])], rest[1:]
-        x = wave.pop()
-        n = differing(sets[rest, :half], sets[x, :half])
-        near = np.flatnonzero(n <= most)
-        near = near[n[near] + differing(sets[rest[near], half:], sets[x, half:]) <= most]
-        if len(near):
-            found = rest[near]
-            left.append(np.full(len(found), x))
-            right.append(found)
-            wave += found.tolist()
-            rest = np.delete(rest, near)
-    return (np.concatenate(left), np.concatenate(right)) if left else (np.zeros(0, np.int64), np.zeros(0, np.int64))
-
-
-def meetings(cell: np.ndarray, fp: np.ndarray, part: np.ndarray, open_cell: int | None = None) -> pa.RecordBatch:
-    """Of rows whose cells stand together, (cell, a, b): the pairs of different parts in cells of at most SMALL_CELL rows, with a
-    null cell, and the rows of larger cells, with a null b. open_cell is a large cell whose first rows went out before."""
-    starts = np.flatnonzero(np.concatenate([[True], cell[1:] != cell[:-1]]))
-    size = np.diff(np.append(starts, len(cell)))
-    large = size > SMALL_CELL
-    large[0] |= cell[0] == open_cell if open_cell is not None else False
-    of = np.repeat(np.arange(len(starts)), size)
-    left = size[of] - (np.arange(len(cell)) - starts[of])  # rows of the cell from this one on
-    rows, pairs = np.flatnonzero(~large[of] & (left > 1)), [np.zeros((0, 2), np.int64)]
-    for shift in range(1, SMALL_CELL):
-        rows = rows[left[rows] > shift]
-        if not len(rows):
-            break
-        apart = part[rows] != part[rows + shift]
-        a, b = fp[rows[apart]], fp[rows[apart] + shift]
-        pairs.append(np.stack([np.minimum(a, b), np.maximum(a, b)], 1))
-    both, many = np.unique(np.concatenate(pairs), axis=0), large[of]
-    n, m = len(both), int(many.sum())
-    return pa.RecordBatch.from_arrays(
-        [pa.array(np.append(np.zeros(n, np.int64), cell[many]), mask=np.arange(n + m) < n), pa.array(np.append(both[:, 0], fp[many])), pa.array(np.append(both[:, 1], np.zeros(m, np.int64)), mask=np.arange(n + m) >= n)],
-        ["cell", "a", "b"],
-    )
-
-
-def alike_links(distinct: DataFrame, bands: range, similarity: float) -> DataFrame:
-    """(a, b): links between rows of distinct (fp, own, part) of different parts that agree on one of these bands and are at least
-    that similar by their MinHash: every such pair is returned or connected by others (also within parts)."""
-
-    def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[np.ndarray] = []
-        n, open_cell = 0, None
-        for batch in batches:
-            held.append(np.stack([batch.column(k).to_numpy() for k in range(3)]))
-            n += batch.num_rows
-            if n >= 200_000:
-                rows = np.concatenate(held, axis=1)
-                cut = int(np.searchsorted(rows[0], rows[0, -1]))
-                if not cut:  # all of one cell
-                    open_cell, cut = int(rows[0, 0]), rows.shape[1]
-                yield meetings(*rows[:, :cut], open_cell)
-                held, n = [rows[:, cut:]], rows.shape[1] - cut
-        if n:
-            yield meetings(*np.concatenate(held, axis=1), open_cell)
-
-    most = minhash.BINS - least_equal(similarity)
-
-    def reach(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[tuple[np.ndarray, np.ndarray]] = []
-
-        def found(rows: np.ndarray, sets: np.ndarray) -> pa.RecordBatch:
-            cuts, out = np.flatnonzero((np.diff(rows[:2], axis=1) != 0).any(0)) + 1, []
-            for fp, own in zip(np.split(rows[2], cuts), np.split(sets, cuts)):
-                a, b = reach_alike(own, most)
-                out.append(np.stack([fp[a], fp[b]]))
-            a, b = np.concatenate(out, axis=1)
-            return pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], ["a", "b"])
+def keep_one(docs: DataFrame, similarity: float = 0.8, shingle: int = 5) -> DataFrame:
+    """docs with one document of each group of near copies: shingle sets at least that similar, directly or through others.
 
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            rows = np.stack([batch.column(k).to_numpy().astype(np.int64) for k in range(3)])
-            sets = np.frombuffer(b"".join(batch.column(3).to_pylist()), np.uint64).reshape(batch.num_rows, -1)
-            changes = np.flatnonzero((np.diff(rows[:2], axis=1) != 0).any(0))
-            if held and (held[-1][0][:2, -1] != rows[:2, 0]).any():
-                yield found(np.concatenate([r for r, _ in held], axis=1), np.concatenate([s for _, s in held]))
-                held = []
-            if len(changes):
-                cut = int(changes[-1]) + 1
-                held.append((rows[:, :cut], sets[:cut]))
-                yield found(np.concatenate([r for r, _ in held], axis=1), np.concatenate([s for _, s in held]))
-                held, rows, sets = [], rows[:, cut:], sets[cut:]
-            held.append((rows, sets))
-        if held:
-            yield found(np.concatenate([r for r, _ in held], axis=1), np.concatenate([s for _, s in held]))
-
-    keys = F.array(*(F.xxhash64(F.lit(k), F.substring("own", 4 * k + 1, 4)) for k in bands))
-    dealt = distinct.filter("own IS NOT NULL").select(F.explode(keys).alias("cell"), "fp", "part").repartition("cell").sortWithinPartitions("cell")
-    met = stored(dealt.mapInArrow(meet, "cell long, a long, b long"), "met")
-    pairs = alike(met.filter("b IS NOT NULL").select("a", "b").distinct(), distinct, similarity)
-    members = met.filter("b IS NULL").select("cell", F.col("a").alias("fp")).join(distinct.select("fp", "part"), "fp")
-    cells = members.groupBy("cell").agg(F.count("*").alias("n"), F.min("part").alias("low"), F.max("part").alias("high")).filter("low <> high")
-    own = F.pmod(F.xxhash64("fp"), F.col("s")).cast("long")
-    block = F.transform(F.sequence(F.lit(0).cast("long"), F.col("s") - 1), lambda j: F.least(own, j) * F.lit(1 << 31) + F.greatest(own, j))
-    large = members.join(cells.select("cell", F.ceil(F.col("n") / BLOCK_ROWS).alias("s")), "cell").select("cell", "fp", F.explode(block).alias("block"))
-    large = large.join(distinct.select("fp", "own"), "fp").select("cell", "block", "fp", "own").repartition("cell", "block").sortWithinPartitions("cell", "block")
-    return pairs.unionByName(large.mapInArrow(reach, "a long, b long")).distinct()
-
-
-def similar_groups(docs: DataFrame, similarity: float = 0.8) -> tuple[DataFrame, DataFrame]:
-    """prints (doc_id, fp) of docs, and (fp, component_id): the smallest doc_id of each fingerprint's group, linked by pairs of at
-    least that estimated Jaccard similarity of sets of five-word shingles. fp stands for the whole MinHash, so that only documents of equal
-    MinHash collapse; their SimHash is not looked at.
-
-    Two rounds: what the first FIRST_BANDS bands have joined is one part in the second round, which looks for links between parts
-    only. A large group of near copies is found once, not once a band.
+    The one with the smallest doc_id stays (rows that repeat that id with other texts: the one with the smallest text hash; rows
+    that repeat id and text count once). Rows with a null doc_id all stay, since nothing can name them. Texts without a word,
+    null ones too, are copies of one another. An empty table gives an empty result. Columns stay as they are, whatever their names.
     """
-    prints = stored(with_sets(docs), "fingerprints")
-    distinct = stored(prints.groupBy("fp").agg(F.min("doc_id").alias("least"), F.min("own").alias("own")), "distinct")
-    first = stored(alike_links(distinct.withColumn("part", F.col("fp")), range(FIRST_BANDS), similarity), "alike")
-    parts = distinct.join(components(first).toDF("fp", "part"), "fp", "left").withColumn("part", F.coalesce("part", "fp"))
-    second = alike_links(stored(parts, "parts"), range(FIRST_BANDS, BANDS), similarity)
-    return prints.select("doc_id", "fp"), named_groups(distinct, first.unionByName(second))
-
-
-def keep_one(docs: DataFrame, similarity: float = 0.8, shingle: int = 5) -> DataFrame:
-    """docs with one document of each group of similar ones: the one with the smallest doc_id (of rows repeating that id, one).
-    Rows with a null doc_id all stay, since nothing can name them."""
-    if shingle != minhash.SHINGLE:
-        raise ValueError(f"MinHash sets are of shingles of {minhash.SHINGLE} words")
-    prints, named = similar_groups(docs, similarity)
-    kept = prints.join(named, "fp").filter("doc_id = component_id").select("doc_id").distinct()
-    return docs.join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id"]).select(docs.columns).unionByName(docs.filter("doc_id IS NULL"))
+    if shingle != similar.minhash.SHINGLE:
+        raise ValueError(f"the sets are of shingles of {similar.minhash.SHINGLE} words")
+    _, groups = similar.similar_groups(docs, similarity)
+    kept = groups.filter("first IS NOT NULL").select(F.col("first.doc_id").alias("__kept_id"), F.col("first.text_hash").alias("__kept_hash")).distinct()
+    rows = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("__row"), F.col("doc_id").cast("long").alias("__id"), similar.text_hash().alias("__hash"))
+    named = rows.join(kept, (F.col("__id") == F.col("__kept_id")) & (F.col("__hash") == F.col("__kept_hash")), "left_semi").dropDuplicates(["__id", "__hash"])
+    return named.select("__row.*").unionByName(docs.filter("doc_id IS NULL"))
