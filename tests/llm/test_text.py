@@ -68,6 +68,25 @@ def test_line_dedup(spark):
     assert linededup.dedup(df.limit(0)).count() == 0 and linededup.dedup(df).columns == [*df.columns, "n_lines", "n_removed"]
 
 
+def test_line_dedup_with_clashing_names(spark):
+    names = ("n_lines", "n_removed", "__h", "h", "first", "own", "row", "drops", "line", "a.b")
+    rows = [(k, f"own {k}\nfooter", f"s{k}", *range(len(names))) for k in range(12)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string, " + ", ".join(f"`{n}` int" for n in names))
+    found = linededup.dedup(df)
+    assert found.columns == ["doc_id", "text", "source", *names[2:], "n_lines", "n_removed"]
+    for r in found.collect():
+        assert r["text"] == f"own {r['doc_id']}" + ("\nfooter" if r["doc_id"] == 0 else "") and (r["n_lines"], r["n_removed"], r["h"]) == (2, int(r["doc_id"] > 0), 3)
+    for r in linededup.judged(df).collect():
+        assert r["row"]["n_lines"] == 0 and r["row"]["n_removed"] == 1 and r["n_lines"] == 2
+
+
+def test_many_boilerplate_lines(spark):
+    text = "\n".join(f"x{k % 50}" if k % 3 else f"own{k}" for k in range(30_000))
+    rows = [(k, "\n".join(f"x{j}" for j in range(50)), f"s{k}") for k in range(10)] + [(99, text, "s")]
+    (found,) = linededup.dedup(spark.createDataFrame(rows, "doc_id long, text string, source string")).filter("doc_id = 99").collect()
+    assert found["text"].split("\n") == [f"own{k}" for k in range(0, 30_000, 3)] and found["n_removed"] == 20_000
+
+
 def test_language(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet")
     extra = spark.createDataFrame([(-1, None, None), (-2, "123 !!", "en"), (None, "the and of", "en"), (-3, "", "fr")], "doc_id long, text string, lang string")
@@ -177,7 +196,8 @@ def brute_judge(url, rules, patterns):
 def test_urls(spark):
     parts = ["example.org", "a.example.org", "EXAMPLE.Org", "org", "notexample.org", "x.com", "com", "casino.net", "www.poker.io:80", "a-porn-b.de", "é.org", ""]
     paths = ["", "/", "/es/", "/es", "/en/1", "/en/123", "/fr/x", "/de/", "/wp-login.php", "/cgi-bin/do/login?x", "?q=/es/", "#/de/", "/x-xxx-y"]
-    urls = [f"{s}{h}{p}" for s in ("http://", "HTTPS://", "") for h in parts for p in paths] + [None, "", "://", "http://a\nb.org/es/", "http://b.com/x", "http://b.com/x"]
+    odd = [f"http://a.net/{w}{c}/x" for w in ("poker", "casino", "xxx") for c in "\u212a\u0130\u017fé"] + ["http://x.\u212aom/fr/", "http://poKer\u0130.net/poker/", "http://a.net/POKER/"]
+    urls = odd + [f"{s}{h}{p}" for s in ("http://", "HTTPS://", "") for h in parts for p in paths] + [None, "", "://", "http://a\nb.org/es/", "http://b.com/x", "http://b.com/x"]
     df = spark.createDataFrame([(k, u, "v") for k, u in enumerate(urls)], "page_id long, url string, verdict string")
     found = {r["page_id"]: (r["host"], r["path"], r["rule"], r["verdict"]) for r in urlfilter.judge(df).collect()}
     assert len(found) == len(urls)

@@ -10,9 +10,12 @@ from pyspark.sql import functions as F
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir, set here only where the session has none."""
+    """The folder that driver and executors share: spark.checkpoint.dir. Where the session has none, a temporary one in local mode, as in
+    tests; on a cluster an error, since executors cannot see a folder of the driver's machine."""
     there = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not there:
+        if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         there = f"file://{tempfile.mkdtemp(prefix='tracewell-')}"
         spark.sparkContext.setCheckpointDir(there)
     return there.rstrip("/")

@@ -98,32 +98,38 @@ def find(docs: DataFrame, benchmark: DataFrame, window: int = 10) -> DataFrame:
     rows without hits. Other columns are not looked at.
     """
     index, widths = prefix_index(docs, benchmark, window)
-    rows = docs.select(F.col("doc_id"), F.xxhash64(F.coalesce("text", F.lit(""))).alias("text_hash"), F.monotonically_increasing_id().alias("row"), words(F.col("text")).alias("all"))
+    rows = docs.select(F.col("doc_id"), F.xxhash64(F.coalesce("text", F.lit(""))).alias("text_hash"), words(F.col("text")).alias("all"))
     parts = []
     blocks = in_blocks(index, index.count())
     for k, block in enumerate(blocks):
-        own = shingles(rows, widths, "doc_id", "text_hash", "row", sentinel=k == 0).join(F.broadcast(block), "key", "left" if k == 0 else "inner")
+        own = shingles(rows, widths, "doc_id", "text_hash", sentinel=k == 0).join(F.broadcast(block), "key", "left" if k == 0 else "inner")
         start = F.col("at") - F.col("lead")
         there = F.col("own").isNotNull() & (start >= 0) & (start + F.size("own") <= F.size("all"))
         there = there & (F.slice("all", F.greatest(start, F.lit(0)) + 1, F.greatest(F.size("own"), F.lit(0))) == F.col("own"))
         there = F.coalesce(there, F.lit(False))
         own = own.filter((F.col("at") == -1) | there) if k == 0 else own.filter(there)
         hit = F.when(there, F.struct(start.alias("start"), F.size("own").alias("length")))
-        parts.append(own.select("doc_id", "text_hash", "row", F.size("all").cast("long").alias("n_words"), hit.alias("hit"), F.when(there, F.col("items")).alias("items")))
+        parts.append(own.select("doc_id", "text_hash", (F.col("at") == -1).cast("long").alias("rows"), F.size("all").cast("long").alias("n_words"), hit.alias("hit"), F.when(there, F.col("items")).alias("items")))
     found = parts[0]
     for more in parts[1:]:
         found = found.unionByName(more)
-    found = found.groupBy("row", "doc_id", "text_hash").agg(F.max("n_words").alias("n_words"), F.collect_set("hit").alias("hits"), F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items"))
+    # rows of equal id and text are judged once, and given back as many times as there are
+    found = found.groupBy("doc_id", "text_hash").agg(F.sum("rows").alias("rows"), F.max("n_words").alias("n_words"), F.collect_set("hit").alias("hits"), F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items"))
     n_hit = F.size(F.array_distinct(F.flatten(F.transform("hits", lambda h: F.sequence(h["start"], h["start"] + h["length"] - 1)))))
-    found = found.select("doc_id", "text_hash", "n_words", F.when(F.size("hits") > 0, n_hit).otherwise(0).cast("long").alias("n_hit"), F.size("items").cast("long").alias("n_items"), F.sha2(F.array_join("items", ",").cast("binary"), 256).alias("items_sha256"))
-    return found.withColumn("contaminated", F.col("n_hit") > 0)
+    found = found.select("doc_id", "text_hash", "rows", "n_words", F.when(F.size("hits") > 0, n_hit).otherwise(0).cast("long").alias("n_hit"), F.size("items").cast("long").alias("n_items"), F.sha2(F.array_join("items", ",").cast("binary"), 256).alias("items_sha256"))
+    found = found.withColumn("contaminated", F.col("n_hit") > 0).withColumn("copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("rows"))))
+    return found.select("doc_id", "text_hash", "n_words", "n_hit", "n_items", "items_sha256", "contaminated")
 
 
 def clean(docs: DataFrame, benchmark: DataFrame, window: int = 10) -> DataFrame:
-    """docs without the rows that have an occurrence of a window."""
-    bad = find(docs, benchmark, window).filter("contaminated").select(F.col("doc_id").alias("bad_id"), F.col("text_hash").alias("bad_hash")).distinct()
+    """docs without the rows that have an occurrence of a window, all columns as they are.
+
+    A null text has none. Each row is judged by its own text, whatever rows repeat its doc_id or have none; repeated rows go or stay
+    together. Empty tables: no rows, or all of docs.
+    """
+    bad = find(docs, benchmark, window).filter("contaminated").select(F.col("doc_id").alias("__bad_id"), F.col("text_hash").alias("__bad_hash")).distinct()
     own = F.xxhash64(F.coalesce(docs["text"], F.lit("")))
-    return docs.join(bad, docs["doc_id"].eqNullSafe(bad["bad_id"]) & (own == bad["bad_hash"]), "left_anti")
+    return docs.join(bad, docs["doc_id"].eqNullSafe(bad["__bad_id"]) & (own == bad["__bad_hash"]), "left_anti")
 
 
 ORACLE_SQL = r"""

@@ -1,8 +1,10 @@
 """Language identification by multinomial naive Bayes over hashed character n-grams.
 
 Features are the 1-, 2- and 3-grams of a text's letters in lower case, every run of other characters as one space, hashed
-to BUCKETS.  Training sums n-gram counts by language over a bounded sample of labelled rows, with the sums made by
-aggregation; the log-probability matrix, BUCKETS times the number of languages, is broadcast with the scoring function.
+to BUCKETS.  Training sums n-gram counts by language over a sample of labelled rows, bounded for each language by itself so
+that rare ones are learnt too, with the sums made by aggregation; the priors are the shares of all labelled rows.  The
+log-probability matrix, BUCKETS times the number of languages (LANGUAGES at most), is broadcast with the scoring function.
+A text above a million characters is cut at white space near every million, and no n-gram crosses a cut.
 Scoring takes a batch as one array of code points: n-gram hashes, a gather from the matrix, and sums by document.
 
 The score is the posterior of the best language, with log-likelihoods scaled to that of EVIDENCE n-grams at most: n-grams of
@@ -20,8 +22,10 @@ from pyspark.sql import functions as F
 
 BUCKETS = 1 << 16
 ORDERS = (1, 2, 3)
-#: Rows that training reads, about: a hash of doc_id picks them from all labelled ones.
-TRAIN_ROWS = 12_000
+#: Rows that training reads, about, shared out evenly among languages (each LEAST_ROWS, or all it has): a hash of doc_id picks them.
+TRAIN_ROWS, LEAST_ROWS = 12_000, 100
+#: Labels that are learnt at most, the commonest: 256 KB of broadcast matrix each.
+LANGUAGES = 400
 EVIDENCE = 60
 UNKNOWN = "und"
 #: The pipeline rejects documents with a score under this, and those of no language.
@@ -75,39 +79,51 @@ def _letters(points: np.ndarray) -> np.ndarray:
     return out
 
 
-def chunks(texts: list[str], most: int = _CHARS) -> Iterator[tuple[int, list[str]]]:
-    """Runs of texts of about most characters with the place of the first."""
-    first, size = 0, 0
+def pieces(text: str, most: int = _CHARS) -> Iterator[str]:
+    """The text, cut behind the last white space of every most characters (or there, where these have none)."""
+    at = 0
+    while len(text) - at > most:
+        cut = max(text.rfind(" ", at, at + most), text.rfind("\n", at, at + most)) + 1
+        cut = cut if cut > at else at + most
+        yield text[at:cut]
+        at = cut
+    yield text[at:] if at else text
+
+
+def chunks(texts: list[str], most: int = _CHARS) -> Iterator[tuple[list[int], list[str]]]:
+    """Pieces of texts, of about most characters together, and the place of each one's text."""
+    places, part, size = [], [], 0
     for k, t in enumerate(texts):
-        size += len(t)
-        if size >= most:
-            yield first, texts[first : k + 1]
-            first, size = k + 1, 0
-    if first < len(texts):
-        yield first, texts[first:]
+        for piece in pieces(t, most):
+            places.append(k)
+            part.append(piece)
+            size += len(piece)
+            if size >= most:
+                yield places, part
+                places, part, size = [], [], 0
+    if part:
+        yield places, part
 
 
 class Model:
-    def __init__(self, languages: list[str], logs: np.ndarray):
-        self.languages, self.logs = languages, logs  # logs: BUCKETS x languages, float32
+    def __init__(self, languages: list[str], logs: np.ndarray, priors: np.ndarray):
+        self.languages, self.logs, self.priors = languages, logs, priors  # logs: BUCKETS x languages, float32
 
     def predict(self, texts: list[str | None]) -> tuple[list[str], list[float]]:
-        labels, scores = [], []
-        for _, part in chunks([t or "" for t in texts]):
-            bucket, owner, letters = grams(part)
-            sums = np.zeros((len(part), len(self.languages)))
+        sums, n, letters = np.zeros((len(texts), len(self.languages))), np.zeros(len(texts)), np.zeros(len(texts), np.int64)
+        for places, part in chunks([t or "" for t in texts]):
+            bucket, owner, own = grams(part)
+            at = np.array(places)
             for k in range(len(self.languages)):
-                sums[:, k] = np.bincount(owner, self.logs[:, k][bucket], minlength=len(part))
-            n = np.bincount(owner, minlength=len(part))
-            scaled = sums * (np.minimum(n, EVIDENCE) / np.maximum(n, 1))[:, None]
-            scaled -= scaled.max(1, keepdims=True)
-            posterior = np.exp(scaled)
-            posterior /= posterior.sum(1, keepdims=True)
-            best = posterior.argmax(1)
-            for k in range(len(part)):
-                labels.append(self.languages[best[k]] if letters[k] else UNKNOWN)
-                scores.append(float(posterior[k, best[k]]) if letters[k] else 0.0)
-        return labels, scores
+                np.add.at(sums[:, k], at, np.bincount(owner, self.logs[:, k][bucket], minlength=len(part)))
+            np.add.at(n, at, np.bincount(owner, minlength=len(part)))
+            np.add.at(letters, at, own)
+        scaled = sums * (np.minimum(n, EVIDENCE) / np.maximum(n, 1))[:, None] + self.priors
+        posterior = np.exp(scaled - scaled.max(1, keepdims=True, initial=-np.inf))
+        posterior /= posterior.sum(1, keepdims=True)
+        best = posterior.argmax(1)
+        known = letters > 0
+        return [self.languages[k] if x else UNKNOWN for k, x in zip(best.tolist(), known)], np.where(known, posterior[np.arange(len(texts)), best], 0.0).tolist()
 
 
 def held_out(column: str = "doc_id"):
@@ -117,17 +133,20 @@ def held_out(column: str = "doc_id"):
 def train(docs: DataFrame, rows: int = TRAIN_ROWS) -> Model:
     """A model of docs' labelled texts. docs must be the rows that may be learnt from; rows without lang are left out."""
     labelled = docs.filter("lang IS NOT NULL AND text IS NOT NULL AND doc_id IS NOT NULL")
-    n = labelled.select("doc_id").count()
-    if n > rows:
-        labelled = labelled.filter(F.pmod(F.xxhash64("doc_id", F.lit("langid")), F.lit(1 << 20)) < int((1 << 20) * rows / n))
+    there = {r["lang"]: r["n"] for r in labelled.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").limit(LANGUAGES).collect()}
+    if not there:
+        return Model([UNKNOWN], np.zeros((BUCKETS, 1), np.float32), np.zeros(1))
+    each = max(LEAST_ROWS, rows // len(there))
+    share = F.create_map(*(F.lit(x) for lang, n in there.items() for x in (lang, min(1 << 20, -(-(1 << 20) * each // n)))))
+    labelled = labelled.filter(F.pmod(F.xxhash64("doc_id", F.lit("langid")), F.lit(1 << 20)) < F.element_at(share, F.col("lang")))
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums: dict[str, np.ndarray] = {}
         for batch in batches:
             langs = batch.column(0).to_pylist()
-            for first, part in chunks(batch.column(1).to_pylist()):
+            for places, part in chunks(batch.column(1).to_pylist()):
                 bucket, owner, _ = grams(part)
-                own = langs[first : first + len(part)]
+                own = [langs[k] for k in places]
                 for lang in dict.fromkeys(own):
                     mine = np.array([x == lang for x in own])
                     sums[lang] = sums.get(lang, 0) + np.bincount(bucket[mine[owner]], minlength=BUCKETS)
@@ -137,17 +156,18 @@ def train(docs: DataFrame, rows: int = TRAIN_ROWS) -> Model:
 
     counts = labelled.select("lang", "text").mapInArrow(count, "lang string, bucket long, n long").groupBy("lang", "bucket").agg(F.sum("n").alias("n"))
     found = counts.toArrow()  # at most BUCKETS rows a language
-    languages = sorted(set(found.column("lang").to_pylist())) or [UNKNOWN]
+    languages = sorted(there)
     logs = np.full((BUCKETS, len(languages)), 0.5)
     place = {x: k for k, x in enumerate(languages)}
     logs[found.column("bucket").to_numpy(), [place[x] for x in found.column("lang").to_pylist()]] += found.column("n").to_numpy()
-    return Model(languages, np.log(logs / logs.sum(0)).astype(np.float32))
+    own = np.array([there[x] for x in languages], float)
+    return Model(languages, np.log(logs / logs.sum(0)).astype(np.float32), np.log(own / own.sum()))
 
 
 def predict(docs: DataFrame, model: Model, *keep: str) -> DataFrame:
     """The columns keep of docs with lang_pred and score. A text that is null or has no letter: "und", score 0."""
     fields = [docs.schema[c] for c in keep]
-    shared = docs.sparkSession.sparkContext.broadcast((model.languages, model.logs))
+    shared = docs.sparkSession.sparkContext.broadcast((model.languages, model.logs, model.priors))
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = Model(*shared.value)
@@ -171,16 +191,19 @@ def identify(docs: DataFrame) -> DataFrame:
 
 
 def keep_known(docs: DataFrame, least: float = LEAST_SCORE) -> DataFrame:
-    """docs without the rows that have no language: no letter, or a score under least. All columns stay as they are."""
+    """docs without the rows that have no language: no letter (null and empty texts too), or a score under least. All columns stay as they
+    are. Each row is judged by its own text, repeated ones alike; an empty table gives an empty result, and one without any lang nothing
+    but what has no letter: its one answer has a score of 1.
+    """
     model = train(docs.filter(~held_out()))
     fields = ", ".join(f"`{docs.schema[c].name}` {docs.schema[c].dataType.simpleString()}" for c in docs.columns)
-    shared = docs.sparkSession.sparkContext.broadcast((model.languages, model.logs))
+    shared = docs.sparkSession.sparkContext.broadcast((model.languages, model.logs, model.priors))
     at = docs.columns.index("text")
 
     def choose(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = Model(*shared.value)
         for batch in batches:
-            labels, scores = own.predict(batch.column(at).to_pylist())
-            yield batch.filter(pa.array([x != UNKNOWN and s >= least for x, s in zip(labels, scores)], pa.bool_()))
+            _, scores = own.predict(batch.column(at).to_pylist())  # 0 without a letter
+            yield batch.filter(pa.array([s >= least for s in scores], pa.bool_()))
 
     return docs.mapInArrow(choose, fields)

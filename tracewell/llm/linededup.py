@@ -38,23 +38,35 @@ def boilerplate(docs: DataFrame, sites: int, site: str) -> DataFrame:
     return stored(likely.filter(F.col("about") > 2 * sites).select("h", "first").unionByName(likely.join(exact, "h", "left_semi").select("h", "first")), "boilerplate")
 
 
-def dedup(docs: DataFrame, sites: int = 10, site: str = "source") -> DataFrame:
-    """docs with boilerplate lines taken out of text, and n_lines and n_removed besides.
+def judged(docs: DataFrame, sites: int = 10, site: str = "source") -> DataFrame:
+    """One row per row of docs: row (its columns as a struct), text (without its boilerplate lines), n_lines and n_removed.
 
     Lines are cut at LF and compared without white space around them; blank lines always stay. A null text stays null and
     has no lines; a null site counts as one site of its own; a null doc_id counts as no smallest one, so such rows lose
     their boilerplate lines unless only they have them. Rows repeating a doc_id are handled alike. An empty table gives an
-    empty result. Other columns pass through.
+    empty result. No name of a column of docs can clash.
+    """
+    keyed = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"), F.col("doc_id"), F.col("text"), F.col(f"`{site}`").alias("site"), F.xxhash64(F.coalesce("text", F.lit(""))).alias("own"))
+    marks = boilerplate(keyed.select("doc_id", "text", "site"), sites, "site")
+    rows = lines(keyed.select("doc_id", "text", "site", "own"), "site", "own").join(marks, "h").filter(~F.col("doc_id").eqNullSafe(F.col("first")))
+    drops = rows.groupBy(F.col("doc_id").alias("drop_id"), F.col("own").alias("drop_own")).agg(F.array_sort(F.collect_set("at")).alias("drops"))
+    joined = keyed.join(drops, F.col("doc_id").eqNullSafe(F.col("drop_id")) & (F.col("own") == F.col("drop_own")), "left").select("row", "text", "drops", F.split("text", "\n", -1).alias("all"))
+    # between two dropped lines the ones that stay are a slice, so a text's work is that of its lines
+    joined = joined.withColumn("before", F.concat(F.array(F.lit(-1)), F.col("drops"))).withColumn("until", F.concat(F.col("drops"), F.array(F.size("all"))))
+    kept = F.flatten(F.zip_with("before", "until", lambda x, y: F.slice("all", x + 2, y - x - 1)))
+    return joined.select(
+        "row", F.when(F.col("drops").isNull(), F.col("text")).otherwise(F.array_join(kept, "\n")).alias("text"), F.when(F.col("text").isNull(), 0).otherwise(F.size("all")).cast("long").alias("n_lines"), F.coalesce(F.size("drops"), F.lit(0)).cast("long").alias("n_removed")
+    )
+
+
+def dedup(docs: DataFrame, sites: int = 10, site: str = "source") -> DataFrame:
+    """docs with boilerplate lines taken out of text, and n_lines and n_removed besides (instead of columns of docs so named).
+
+    Nulls, repeated rows and empty tables: as in ``judged``. Other columns pass through.
     """
-    marks = boilerplate(docs, sites, site)
-    own = F.xxhash64(F.coalesce("text", F.lit("")))
-    keyed = docs.withColumn("__h", own)
-    rows = lines(keyed, site, "__h").join(marks, "h").filter(~F.col("doc_id").eqNullSafe(F.col("first")))
-    drops = rows.groupBy(F.col("doc_id").alias("__id"), F.col("__h").alias("__t")).agg(F.collect_set("at").alias("__drop"))
-    joined = keyed.join(drops, keyed["doc_id"].eqNullSafe(drops["__id"]) & (keyed["__h"] == drops["__t"]), "left")
-    kept = F.array_join(F.filter(F.split("text", "\n", -1), lambda line, k: ~F.array_contains("__drop", k)), "\n")
-    out = joined.withColumn("n_lines", F.when(F.col("text").isNull(), 0).otherwise(F.size(F.split("text", "\n", -1))).cast("long")).withColumn("n_removed", F.when(F.col("__drop").isNull(), 0).otherwise(F.size("__drop")).cast("long"))
-    return out.withColumn("text", F.when(F.col("__drop").isNull(), F.col("text")).otherwise(kept)).select(*docs.columns, "n_lines", "n_removed")
+    added = ("n_lines", "n_removed")
+    own = [F.col("text") if c.lower() == "text" else F.col(f"row.`{c}`").alias(c) for c in docs.columns if c.lower() not in added]
+    return judged(docs, sites, site).select(*own, *added)
 
 
 ORACLE_SQL = r"""

@@ -3,8 +3,8 @@
 A document's ids (with the end id) are first cut into full windows; what is left over, shorter than a window, is a piece
 to be packed.  Pieces are dealt out by a hash of their content, and each task packs its stream in chunks: longest piece
 first, into the open sequence with the least room that still holds it.  Open sequences stand in a segment tree over
-remaining capacity, so the tightest one is found in log2(window) steps.  Sequences that a chunk leaves with much room are
-opened again for the next chunk; after the last, the emptiest are dissolved into the room of the others, cutting pieces
+remaining capacity, so the tightest one is found in log2(window) steps.  The emptiest sequences that a chunk
+leaves, half a chunk of pieces at most, are opened again for the next one; after the last, the emptiest are dissolved into the room of the others, cutting pieces
 where they must be, so a task ends with about as many sequences as its ids need.
 
 A task holds one chunk (``CHUNK_PIECES`` pieces of less than a window), however many rows its partition has.
@@ -168,12 +168,12 @@ def pack(docs: DataFrame, vocabulary: str = "word_bpe_49k.json", end_id: int = 1
                 open_pieces = []
                 yield emit(dissolve(found, window, width))
             else:
-                full = [window * width * (1 - REOPEN) <= sum(len(p[2]) for p in s) for s in found]
-                again = [p for s, f in zip(found, full) if not f for p in s]
-                if len(again) > CHUNK_PIECES // 2:  # pieces that leave gaps among themselves: no use in waiting for better
-                    full, again = [True] * len(found), []
-                yield emit([s for s, f in zip(found, full) if f])
-                open_pieces = again
+                found.sort(key=lambda s: sum(len(p[2]) for p in s))  # the emptiest are opened again, as far as half a chunk of pieces goes
+                again, keep = 0, 0
+                while keep < len(found) and again + len(found[keep]) <= CHUNK_PIECES // 2 and sum(len(p[2]) for p in found[keep]) < window * width * (1 - REOPEN):
+                    again, keep = again + len(found[keep]), keep + 1
+                yield emit(found[keep:])
+                open_pieces = [p for s in found[:keep] for p in s]
 
         for batch in batches:
             whole = []

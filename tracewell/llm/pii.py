@@ -239,14 +239,48 @@ def detect(docs: DataFrame, model: Model | None = None) -> DataFrame:
     as_span = lambda kind: lambda s: F.struct(s["start"].alias("start"), F.lit(KINDS.index(kind)).alias("kind_no"), F.lit(kind).alias("kind"), s["end"].alias("end"))
     base = F.array_sort(F.concat(*(F.transform(F.filter(f"base_{kind}", _valid(kind)), as_span(kind)) for kind in BASE)))
     rows = rows.withColumn("base", base)
-    scored = [F.filter(F.transform(f"more_{k}", _rated(model, kind)), _selected(model.thresholds.get(kind, 1.0))) for k, (kind, _, _) in enumerate(GENERATORS)]
+    scored = [F.filter(F.transform(F.transform(f"more_{k}", _described), _rated(model, kind)), _selected(model.thresholds.get(kind, 1.0))) for k, (kind, _, _) in enumerate(GENERATORS)]
     rows = rows.withColumn("more", F.concat(*scored))
+    fixed = F.transform("base", lambda s: F.struct(s["start"].alias("start"), s["kind_no"].alias("kind_no"), s["kind"].alias("kind"), s["end"].alias("end"), F.lit(BASE_RANK).alias("p")))
+    rows = rows.withColumn("every", F.when(F.size("more") > 0, F.array_sort(F.concat(fixed, "more"))))
+    plain = F.transform("added", lambda s: F.struct(s["start"].alias("start"), s["kind_no"].alias("kind_no"), s["kind"].alias("kind"), s["end"].alias("end")))
+    return with_selected(rows).select("doc_id", "base", F.array_sort(F.concat("base", plain)).alias("spans"))
+
+
+#: A base span's rank among candidates: before any probability.
+BASE_RANK = 2.0
+SCORED = "array<struct<start:int,kind_no:int,kind:string,end:int,p:double>>"
+
+
+def with_prefix_max(rows: DataFrame, values: str, name: str) -> DataFrame:
+    """rows with the array column name: the largest of the elements of values (not negative) up to each, in work near the number of
+    elements: by blocks of 256 of them."""
+    least, most = F.lit(-1), lambda a, x: F.greatest(a, x)
+    numbers = F.sequence(F.lit(0), F.greatest(F.ceil(F.size(values) / 256).cast("int") - 1, F.lit(0)))
+    rows = rows.withColumn("__parts", F.transform(numbers, lambda b: F.slice(values, b * 256 + 1, 256)))
+    rows = rows.withColumn("__tops", F.transform("__parts", lambda part: F.aggregate(part, least, most)))
+    before = F.transform("__tops", lambda _, k: F.aggregate(F.slice("__tops", F.lit(1), k), least, most))
+    within = lambda part, high: F.transform(part, lambda _, k: F.greatest(high, F.aggregate(F.slice(part, 1, k + 1), least, most)))
+    return rows.withColumn(name, F.flatten(F.zip_with("__parts", before, within))).drop("__parts", "__tops")
+
+
+def with_selected(rows: DataFrame) -> DataFrame:
+    """rows with added: of every (spans in order of start, p the probability or BASE_RANK; null: none) those that overlap no base span,
+    nor a likelier one (ties: the earlier start, then kind) of those that overlap no base span.
+
+    The spans are cut to runs where one begins behind the ends of all before it; only spans of a run are compared with one another.
+    """
     apart = lambda a, b: (a["end"] <= b["start"]) | (b["end"] <= a["start"])
-    rows = rows.withColumn("more", F.filter("more", lambda s: F.forall("base", lambda b: apart(s, b))))
     ahead = lambda a, b: (a["p"] > b["p"]) | ((a["p"] == b["p"]) & ((a["start"] < b["start"]) | ((a["start"] == b["start"]) & (a["kind_no"] < b["kind_no"]))))
-    rows = rows.withColumn("added", F.filter("more", lambda s: ~F.exists("more", lambda o: ahead(o, s) & ~apart(o, s))))
-    plain = F.transform("added", lambda s: F.struct(s["start"].alias("start"), s["kind_no"].alias("kind_no"), s["kind"].alias("kind"), s["end"].alias("end")))
-    return rows.select("doc_id", "base", F.array_sort(F.concat("base", plain)).alias("spans"))
+    base = lambda s: s["p"] == F.lit(BASE_RANK)
+    rows = with_prefix_max(rows.withColumn("__stops", F.transform("every", lambda s: s["end"])), "__stops", "__high")
+    open_ = F.zip_with("every", F.concat(F.array(F.lit(-1)), F.slice("__high", F.lit(1), F.greatest(F.size("every") - 1, F.lit(0)))), lambda s, high: high <= s["start"])
+    rows = rows.withColumn("__firsts", F.filter(F.transform(open_, lambda own, k: F.when(own, k)), lambda k: k.isNotNull()))
+    ends = F.concat(F.slice("__firsts", F.lit(2), F.size("__firsts")), F.array(F.size("every")))
+    runs = F.zip_with("__firsts", ends, lambda low, high: F.slice("every", low + 1, high - low))
+    runs = F.transform(runs, lambda run: F.filter(run, lambda s: ~base(s) & F.forall(run, lambda o: ~base(o) | apart(o, s))))
+    kept = F.flatten(F.transform(runs, lambda run: F.filter(run, lambda s: ~F.exists(run, lambda o: ahead(o, s) & ~apart(o, s)))))
+    return rows.withColumn("added", F.coalesce(kept, F.array().cast(SCORED))).drop("__stops", "__high", "__firsts")
 
 
 def _valid(kind: str):
@@ -257,8 +291,14 @@ def _selected(threshold: float):
     return lambda s: s["p"] >= F.lit(threshold)
 
 
+def _described(span: Column) -> Column:
+    """The features stand in an array, so that the trees' many splits do not compute them again."""
+    return F.struct(span["start"].alias("start"), span["end"].alias("end"), F.array(*(f.cast("double") for f in features(span))).alias("x"))
+
+
 def _rated(model: Model, kind: str):
-    return lambda s: F.struct(s["start"].alias("start"), F.lit(KINDS.index(kind)).alias("kind_no"), F.lit(kind).alias("kind"), s["end"].alias("end"), model.probability(features(s)).alias("p"))
+    own = lambda s: [F.get(s["x"], F.lit(k)) for k in range(len(FEATURES))]
+    return lambda s: F.struct(s["start"].alias("start"), F.lit(KINDS.index(kind)).alias("kind_no"), F.lit(kind).alias("kind"), s["end"].alias("end"), model.probability(own(s)).alias("p"))
 
 
 def joined(spans: Column) -> Column:

@@ -17,8 +17,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 BUCKETS, DIMENSIONS, ORDERS, LAGS = 1 << 17, 12, (3, 4, 5), 8
-#: Labelled rows that training reads at most, about; a hash of doc_id picks them.
-TRAIN_ROWS = 5_000
+#: Labelled documents that training reads at most, about, and their characters; a hash of doc_id picks them.
+TRAIN_ROWS, TRAIN_CHARS = 5_000, 60_000_000
 EPOCHS, BATCH, RATE, SEED = 6, 16, 0.8, 5
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 
@@ -139,13 +139,25 @@ def held_out(column: str = "doc_id"):
     return F.coalesce(F.crc32(F.col(column).cast("string").cast("binary")) % 3 == 1, F.lit(False))
 
 
-def train(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS) -> Scorer:
-    """A scorer from about rows labelled documents outside the held-out third; ids with differing labels are left out."""
+def train(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS, chars: int = TRAIN_CHARS) -> Scorer:
+    """A scorer from about rows labelled documents outside the held-out third, chars characters together at most; ids with differing
+    labels are left out, and of rows that repeat an id one is taken."""
     known = labels.filter("doc_id IS NOT NULL AND quality IN (0, 1)").filter(~held_out()).groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(F.min("quality").alias("low"), F.max("quality").alias("high")).filter("low = high").select("doc_id", F.col("low").alias("label"))
     n = known.count()
     if n > rows:
         known = known.filter(F.pmod(F.xxhash64("doc_id", F.lit("quality")), F.lit(1 << 20)) < int((1 << 20) * rows / n))
-    sample = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(F.broadcast(known), "doc_id").toArrow().sort_by("doc_id")  # about rows texts
+    own = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(F.broadcast(known), "doc_id")
+    own = own.select("doc_id", "label", F.xxhash64(F.coalesce("text", F.lit(""))).alias("own"), F.coalesce(F.length("text"), F.lit(0)).alias("size"), "text")
+    least = own.groupBy("doc_id").agg(F.min(F.struct("own", "size")).alias("least"), F.min(F.xxhash64("doc_id", F.lit("order"))).alias("turn")).collect()  # about rows rows
+    chosen, total = [], 0
+    for r in sorted(least, key=lambda r: (r["turn"], r["doc_id"])):
+        if total + r["least"]["size"] <= chars:
+            chosen.append((r["doc_id"], r["least"]["own"]))
+            total += r["least"]["size"]
+    if not chosen:
+        return fit([], [])
+    taken = docs.sparkSession.createDataFrame(chosen, "doc_id long, own long")
+    sample = own.join(F.broadcast(taken), ["doc_id", "own"]).dropDuplicates(["doc_id", "own"]).select("doc_id", "text", "label").toArrow().sort_by("doc_id")
     return fit(sample.column("text").to_pylist(), sample.column("label").to_pylist())
 
 

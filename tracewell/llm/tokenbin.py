@@ -1,12 +1,13 @@
 """Token ids as flat binary files with document offsets, written in document order and read back memory-mapped.
 
-A folder holds, for each part of the document order, ``part-NNNNNN.ids`` (unsigned integers, 16 bits where the vocabulary
-allows, else 32), ``part-NNNNNN.offsets`` (64-bit: where each document's ids begin in the part, and the part's end) and
-``part-NNNNNN.docs`` (64-bit document ids, with nulls as the smallest integer), and ``index.json``: width, and of each part
-its documents, ids and *base*, the ids of all parts before it, a prefix sum of the parts' counts.  All are little-endian.
+A folder holds, for each part of the document order, ``NAME.ids`` (unsigned integers, 16 bits where the vocabulary allows,
+else 32), ``NAME.offsets`` (64-bit: where each document's ids begin in the part, and the part's end) and ``NAME.docs`` (64-bit
+document ids, with nulls as the smallest integer), and ``index.json``: width, and of each part its name, documents, ids and
+*base*, the ids of all parts before it, a prefix sum of the parts' counts.  All are little-endian.
 
 One shuffle: rows go to the part of their doc_id's range, sorted there; each task tokenizes its rows as a stream and
-writes its own files under a name of its attempt, then renames them, so a repeated or speculative task does no harm.
+writes its own files under a name of its attempt.  The index names the files of the attempts whose results Spark took; files
+of failed or speculative attempts stay unread and are never moved over others.
 """
 
 from __future__ import annotations
@@ -14,7 +15,6 @@ from __future__ import annotations
 import json
 import zlib
 from collections.abc import Iterator
-from contextlib import suppress
 
 import numpy as np
 import pyarrow as pa
@@ -64,12 +64,12 @@ def write(docs: DataFrame, uri: str, vocabulary: str = "byte_bpe_50k.json", end_
         context, tokenizer = TaskContext.get(), tokenize.tokenizer(vocabulary)
         kind = "<u2" if max(tokenizer.n_vocab, end_id + 1) <= 1 << 16 else "<u4"
         system, path = filesystem(uri)
-        name, attempt = f"part-{context.partitionId():06d}", f".attempt-{context.taskAttemptId()}"
+        name = f"part-{context.partitionId():06d}-{context.taskAttemptId()}"
         n_docs = n_ids = 0
         files: dict = {}
         for batch in batches:
             if not files:
-                files = {x: system.open_output_stream(f"{path}/{name}.{x}{attempt}") for x in ("ids", "offsets", "docs")}
+                files = {x: system.open_output_stream(f"{path}/{name}.{x}") for x in ("ids", "offsets", "docs")}
                 files["offsets"].write(np.zeros(1, "<u8").tobytes())
             for block in tokenize.blocks(t.as_py() for t in batch.column(1)):
                 found = [np.append(ids, np.uint32(end_id)).astype(kind) for ids in tokenizer.ids(block)]
@@ -78,21 +78,18 @@ def write(docs: DataFrame, uri: str, vocabulary: str = "byte_bpe_50k.json", end_
                 n_ids += sum(map(len, found))
             files["docs"].write(batch.column(0).fill_null(NULL_ID).to_numpy().astype("<i8").tobytes())
             n_docs += batch.num_rows
-        for x, f in files.items():
+        for f in files.values():
             f.close()
-            with suppress(FileNotFoundError):
-                system.delete_file(f"{path}/{name}.{x}")
-            system.move(f"{path}/{name}.{x}{attempt}", f"{path}/{name}.{x}")
         if n_docs:
-            yield pa.RecordBatch.from_pylist([{"part": context.partitionId(), "n_docs": n_docs, "n_ids": n_ids, "width": int(kind[2:])}])
+            yield pa.RecordBatch.from_pylist([{"part": context.partitionId(), "name": name, "n_docs": n_docs, "n_ids": n_ids, "width": int(kind[2:])}])
 
     system, path = filesystem(uri)
     system.create_dir(path, recursive=True)
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", part_of("doc_id", bounds).alias("part"))
     rows = rows.repartitionById(len(bounds) + 1, "part").sortWithinPartitions("doc_id", "text").drop("part")
-    done = sorted(rows.mapInArrow(put, "part long, n_docs long, n_ids long, width long").collect())  # one row a part
+    done = sorted(rows.mapInArrow(put, "part long, name string, n_docs long, n_ids long, width long").collect())  # one row a part
     bases = np.concatenate([[0], np.cumsum([r["n_ids"] for r in done])]).astype(int).tolist()
-    index = {"width": done[0]["width"] if done else 2, "parts": [{"name": f"part-{r['part']:06d}", "base": b, "n_docs": r["n_docs"], "n_ids": r["n_ids"]} for r, b in zip(done, bases)]}
+    index = {"width": done[0]["width"] if done else 2, "parts": [{"name": r["name"], "base": b, "n_docs": r["n_docs"], "n_ids": r["n_ids"]} for r, b in zip(done, bases)]}
     with system.open_output_stream(f"{path}/index.json") as f:
         f.write(json.dumps(index).encode())
     return index

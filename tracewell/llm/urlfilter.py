@@ -35,7 +35,7 @@ class Rule:
 def host_rule(verdict: str, text: str) -> Rule:
     """A rule written as host/path; the path may go on after its end."""
     host, _, path = text.partition("/")
-    ended = [*re.findall("[a-z0-9]+", host), *re.findall("[a-z0-9]+(?=[^a-zA-Z0-9])", path.lower())]
+    ended = [*re.findall("[a-z0-9]+", host), *(t.lower() for t in re.findall("[a-zA-Z0-9]+(?=[^a-zA-Z0-9])", path))]
     return Rule(verdict, text, "\\A(?:[^/]*\\.)?" + re.escape(host) + re.escape("/" + path), tuple(ended))
 
 
@@ -64,7 +64,8 @@ def parts(url: Column) -> tuple[Column, Column]:
 
 
 def tokens(url: Column) -> Column:
-    return F.array_distinct(F.split(F.lower(url), "[^a-z0-9]+"))  # has the empty token where a URL begins or ends without
+    """In the letters that the rules run on: lower case of A to Z only. The empty token is among them where a URL begins or ends without."""
+    return F.array_distinct(F.split(ascii_lower(url), "[^a-z0-9]+"))
 
 
 def judge(pages: DataFrame, host_rules: tuple[Rule, ...] = HOST_RULES, patterns: tuple[Rule, ...] = PATTERNS) -> DataFrame:
