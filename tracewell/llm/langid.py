@@ -196,7 +196,8 @@ def keep_known(docs: DataFrame, least: float = LEAST_SCORE) -> DataFrame:
     but what has no letter: its one answer has a score of 1.
     """
     model = train(docs.filter(~held_out()))
-    fields = ", ".join(f"`{docs.schema[c].name}` {docs.schema[c].dataType.simpleString()}" for c in docs.columns)
+    plain = docs.toDF(*(f"c{k}" for k in range(len(docs.columns))))  # names with dots don't pass
+    fields = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in plain.schema.fields)
     shared = docs.sparkSession.sparkContext.broadcast((model.languages, model.logs, model.priors))
     at = docs.columns.index("text")
 
@@ -206,4 +207,4 @@ def keep_known(docs: DataFrame, least: float = LEAST_SCORE) -> DataFrame:
             _, scores = own.predict(batch.column(at).to_pylist())  # 0 without a letter
             yield batch.filter(pa.array([s >= least for s in scores], pa.bool_()))
 
-    return docs.mapInArrow(choose, fields)
+    return plain.mapInArrow(choose, fields).toDF(*docs.columns)
