@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from tracewell.functions import fixed_values as V
 from tracewell.functions.expr import found, noisy_or, py_round, spans, window
-from tracewell.functions.literals import FOLDING, required
+from tracewell.functions.literals import FOLDING, gate, passes, required
 from tracewell.operators import scan
 
 PIECES = ["CUDA", "cuda ", "torch.cuda", " A100", "h100\n", "TPU v4", "😀", "é", "É", "\r", "　", "昇腾", "海光 DCU", "ascend 910B", "Kunlun P800 chip", "MUSA university", "hip-hop", "hip ", "ſtrong", "K100 AI", "mlx training", "g4ad.xlarge", "p3.2xlarge", "maca sequence", "maca", ".", "|", " trained on ", " not ", "dtk sdk", "C550 MetaX", "\x85", "flash_attn"]
@@ -62,6 +62,17 @@ def test_required_literals():
                         assert any(x in text.lower() for x in own), (p, text)
 
 
+def test_gates():
+    """No match without the gate's literals."""
+    for levels in V.SIGNALS.values():
+        for patterns in levels.values():
+            for p in patterns:
+                own = gate(p)
+                for text in texts(40, 7):
+                    if not any(c in text for c in FOLDING) and re.search(p, text, re.IGNORECASE):
+                        assert passes(own, text.lower()), (p, text)
+
+
 def test_rounding(spark):
     rng = random.Random(1)
     values = [k / 200 for k in range(400)] + [rng.random() * 40 for _ in range(400)] + [0.125, 2.675, 1.005, 0.5, 1234.565]

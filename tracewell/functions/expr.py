@@ -3,10 +3,14 @@
 from __future__ import annotations
 
 from collections.abc import Iterable
+from functools import reduce
+from operator import and_, or_
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from tracewell.functions.literals import FOLDING, Gate, gate
+
 SPAN = "array<struct<start:int,end:int>>"
 
 
@@ -33,22 +37,40 @@ def all_groups(text: Column | str, pattern: str, number: int = 0, flags: str = "
     return F.regexp_extract_all(text, F.lit(rx(pattern, flags)), F.lit(number))
 
 
+def may_match(text: Column, pattern: str) -> Column:
+    """Whether the text has the literals that the pattern, in any case, cannot match without (or a letter that folds to one of theirs)."""
+    own = gate(pattern)
+    if own is None:
+        return F.lit(True)
+
+    def test(own: Gate, low: Column) -> Column:
+        if isinstance(own, str):
+            return F.contains(low, F.lit(own))
+        return reduce(and_ if own[0] == "and" else or_, (test(g, low) for g in own[1:]))
+
+    return F.exists(F.array(F.lower(text)), lambda low: test(own, low)) | F.rlike(text, F.lit(f"[{''.join(FOLDING)}]"))
+
+
 def spans(text: Column, pattern: str, most: int | None = None, flags: str = "iUd") -> Column:
     """Start and end (code points) of all matches, or the first ``most``; patterns must not match the empty string.
 
-    The text between matches and the matches themselves give lengths, whose running sums are the offsets; each of the two
-    expressions is evaluated once a row.
+    The text between matches and the matches themselves give lengths, whose running sums are the offsets. A text without the pattern's
+    literals is not searched, and one without matches not cut.
     """
-    gaps = F.transform(F.split(text, rx(pattern, flags), -1), lambda g: F.length(g))
-    own = F.transform(all_groups(text, pattern, 0, flags), lambda m: F.length(m))
-    start = F.struct(F.lit(0).alias("at"), F.array().cast(SPAN).alias("out"))
+    none = F.array().cast(SPAN)
+    start = F.struct(F.lit(0).alias("at"), none.alias("out"))
 
     def step(a: Column, x: Column) -> Column:
         begin = a["at"] + x["gap"]
         return F.struct((begin + x["own"]).alias("at"), F.concat(a["out"], F.array(F.struct(begin.alias("start"), (begin + x["own"]).alias("end")))).alias("out"))
 
-    pairs = F.filter(F.zip_with(gaps, own, lambda g, m: F.struct(g.alias("gap"), m.alias("own"))), lambda x: x["own"].isNotNull())
-    return F.aggregate(pairs if most is None else F.slice(pairs, 1, most), start, step, lambda a: a["out"])
+    def offsets(found: Column) -> Column:
+        gaps, own = F.transform(F.split(text, rx(pattern, flags), -1), lambda g: F.length(g)), F.transform(found, lambda m: F.length(m))
+        pairs = F.filter(F.zip_with(gaps, own, lambda g, m: F.struct(g.alias("gap"), m.alias("own"))), lambda x: x["own"].isNotNull())
+        return F.aggregate(pairs if most is None else F.slice(pairs, 1, most), start, step, lambda a: a["out"])
+
+    found = F.get(F.transform(F.array(all_groups(text, pattern, 0, flags)), lambda m: F.when(F.size(m) > 0, offsets(m)).otherwise(none)), F.lit(0))
+    return F.when(text.isNull() | may_match(text, pattern), found).otherwise(none)
 
 
 def window(text: Column, begin: Column, end: Column) -> Column:

@@ -45,3 +45,45 @@ def _of(items) -> frozenset[str] | None:
 def required(pattern: str) -> frozenset[str] | None:
     """Lower-case literals of which every match has at least one (look-aheads included); null where there are none."""
     return _of(P.parse(pattern, re.IGNORECASE))
+
+
+#: A literal, or ("and" | "or", parts).
+Gate = str | tuple
+
+
+def _gate(items) -> Gate | None:
+    parts, run = [], ""
+    for op, arg in [*items, (None, None)]:
+        if op is C.LITERAL:
+            run += chr(arg).lower()
+            continue
+        if run:
+            parts.append(run)
+            run = ""
+        own = None
+        if op is C.SUBPATTERN:
+            own = _gate(arg[-1])
+        elif op is C.BRANCH:
+            each = [_gate(a) for a in arg[1]]
+            own = ("or", *dict.fromkeys(each)) if all(each) else None
+        elif op in (C.MAX_REPEAT, C.MIN_REPEAT, C.POSSESSIVE_REPEAT) and arg[0] > 0:
+            own = _gate(arg[2])
+        elif op is C.ASSERT and arg[0] > 0:
+            own = _gate(arg[1])
+        if own:
+            parts.append(own)
+    parts = list(dict.fromkeys(parts))
+    return None if not parts else parts[0] if len(parts) == 1 else ("and", *parts)
+
+
+@lru_cache(maxsize=None)
+def gate(pattern: str) -> Gate | None:
+    """What the lower-cased text of every match has: literals joined by "and" and "or"; null where nothing can be said."""
+    return _gate(P.parse(pattern, re.IGNORECASE))
+
+
+def passes(gate: Gate | None, low: str) -> bool:
+    """Whether a lower-cased text has what the gate asks for."""
+    if gate is None or isinstance(gate, str):
+        return gate is None or gate in low
+    return (all if gate[0] == "and" else any)(passes(g, low) for g in gate[1:])

@@ -9,8 +9,9 @@ from tracewell.functions import fixed_values as V
 from tracewell.functions.expr import rx
 from tracewell.functions.ordered import first_per_key, top_n_per_bucket
 
-#: Times that each suffix class is stripped; the tests show the result stable.
-STRIPS = 4
+#: Times that each suffix class is stripped. A pass takes all matches out; a pattern that ends at a word boundary takes a whole chain of
+#: suffixes joined by "_" at once, as only its last one ends there, so that nothing of a chain of any length is left.
+STRIPS = 2
 
 
 def parse_years(text: str) -> set[int]:
@@ -36,6 +37,24 @@ def year_month(created: Column, modified: Column) -> tuple[Column, Column]:
     return both["year"], both["month"]
 
 
+def year_only(created: Column, modified: Column) -> Column:
+    """The year of the first of two timestamps that has one; null where neither has."""
+
+    def own(value: Column) -> Column:
+        text = F.trim(value)
+        return F.when((text != "") & (text != "None"), F.substring(text, 1, 4).try_cast("int"))
+
+    return F.coalesce(own(created), own(modified))
+
+
+def requested_order(chosen: DataFrame) -> DataFrame:
+    """chosen (year, month, perhaps quarter, rank) with pos, the order in which a run handles ids: by bucket, then rank.
+
+    pos is the ordering itself, a struct, so that no partition of the table decides on it and no row needs a number."""
+    bucket = F.coalesce(F.col("quarter") if "quarter" in chosen.columns else F.col("month"), F.lit(0))
+    return chosen.withColumn("pos", F.struct(F.coalesce("year", F.lit(0)).alias("year"), bucket.cast("int").alias("bucket"), F.col("rank").alias("rank")))
+
+
 def quarter(month: Column) -> Column:
     return F.floor((month - 1) / 3).cast("int") + 1
 
@@ -44,6 +63,7 @@ def family_stem(model_id: Column) -> Column:
     """The id without precision, variant, version, date, size and rate suffixes of its name; ids without "/" stay."""
     name = F.regexp_extract(model_id, rx("\\A[^/]*/(.*)\\z", "sd"), 1)
     for pattern, flags in ((V.PRECISION_SUFFIX, "iUd"), (V.VARIANT_SUFFIX, "iUd"), (V.VERSION_SUFFIX, "Ud"), (V.DATE_SUFFIX, "Ud"), (V.SIZE_SUFFIX, "Ud"), (V.RATE_SUFFIX, "iUd")):
+        pattern = f"(?:{pattern[:-2]})+\\b" if pattern.endswith("\\b") else pattern
         for _ in range(STRIPS):
             name = F.regexp_replace(name, rx(pattern, flags), "")
     name = F.regexp_replace(name, rx("[-_.\\s]+$", "Ud"), "")

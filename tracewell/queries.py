@@ -42,9 +42,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def keeper(spark: SparkSession) -> Callable[[DataFrame], DataFrame]:
-    """Writes a table to the shared folder (the session's, or one of its own where it has none) and reads it back."""
+    """Writes a table to the shared folder and reads it back. Where the session names none: a temporary one in local mode, else an error."""
     shared = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not shared:
+        if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         shared = f"file://{tempfile.mkdtemp(prefix='tracewell-')}"
         spark.sparkContext.setCheckpointDir(shared)
 
@@ -271,13 +273,13 @@ _SUMS = " UNION ALL ".join(
 
 @query(f"WITH c AS {{CARD}}, s AS ({_SUMS}) SELECT doc_id, vendor, score::DOUBLE AS score FROM s WHERE score > 0")
 def signal_scan(spark, sf_dir):
-    rows = cards(spark, sf_dir).repartition("doc_id").select("doc_id", F.explode(scan.signal_hits("card", None, PLAIN_SIGNALS)).alias("h"))
+    rows = scan.dealt(cards(spark, sf_dir), "doc_id").select("doc_id", F.explode(scan.signal_hits("card", None, PLAIN_SIGNALS)).alias("h"))
     return rows.groupBy("doc_id", F.col("h.vendor").alias("vendor")).agg(F.sum("h.base").cast("double").alias("score"))
 
 
 @query(f"WITH c AS {{CARD}}, s AS ({_SUMS}), o AS (SELECT doc_id, vendor, score, row_number() OVER (PARTITION BY doc_id ORDER BY score DESC, CASE vendor {' '.join(f'WHEN {chr(39)}{v}{chr(39)} THEN {k}' for k, v in enumerate(V.SIGNALS))} END) AS r FROM s WHERE score > 0) SELECT doc_id, CASE WHEN score >= 6 THEN vendor ELSE 'unknown' END AS vendor, CASE WHEN score >= 6 THEN least(1.0, printf('%.2f', score / 30)::DOUBLE) ELSE 0.0 END::DOUBLE AS confidence FROM o WHERE r = 1")
 def argmax_threshold(spark, sf_dir):
-    rows = cards(spark, sf_dir).repartition("doc_id").select("doc_id", F.explode(scan.signal_hits("card", None, PLAIN_SIGNALS)).alias("h"))
+    rows = scan.dealt(cards(spark, sf_dir), "doc_id").select("doc_id", F.explode(scan.signal_hits("card", None, PLAIN_SIGNALS)).alias("h"))
     sums = rows.groupBy("doc_id", F.col("h.vendor").alias("vendor")).agg(F.sum("h.base").cast("double").alias("score"), F.min("h.vendor_pos").alias("first"))
     best, wins = scan.ranked_scores(sums, "doc_id").filter("rank = 1"), F.col("score") >= V.MIN_SCORE
     return best.select("doc_id", F.when(wins, F.col("vendor")).otherwise("unknown").alias("vendor"), F.when(wins, F.least(F.lit(1.0), py_round(F.col("score") / V.CONFIDENCE_DIVISOR, 2))).otherwise(0.0).alias("confidence"))
@@ -296,11 +298,11 @@ def context_multiplier(spark, sf_dir):
 
 
 @query(f"""
-WITH c AS {{CARD}}, s AS (SELECT doc_id, substr(card, 1, 400) AS s FROM c)
+WITH c AS {{CARD}}, s AS (SELECT doc_id, card AS s FROM c)
 SELECT doc_id, s <> '' AND NOT regexp_matches(s, {_RE(V.CONDITIONAL)}) AND ((regexp_matches(s, {_RE(V.EXPLICIT_TRAINING)}) AND regexp_matches(s, {_RE(V.HARDWARE_LITERAL)})) OR regexp_matches(s, {_RE(V.HARDWARE_DURATION)})) AS disclosure,
 s <> '' AND NOT regexp_matches(s, {_RE(V.CONDITIONAL)}) AND (regexp_matches(s, {_RE(V.EXPLICIT_TRAINING)}) OR regexp_matches(s, {_RE(V.LAUNCHER)})) AS context, regexp_matches(s, {_RE(V.RUNTIME_NOISE)}) AS noise FROM s""")
 def disclosure_flags(spark, sf_dir):
-    s = F.substring("card", 1, 400)
+    s = F.col("card")
     one = F.array(F.struct(F.lit(None).cast("string").alias("provider"), s.alias("snippet"), F.lit("").alias("source")))
     rows = cards(spark, sf_dir)
     return rows.select("doc_id", predicates.is_disclosure(s).alias("disclosure"), predicates.is_training_context(s).alias("context"), (predicates.runtime_only(one) | (predicates.has_evidence(one) & F.rlike(s, F.lit("(?iUd)" + V.RUNTIME_NOISE)))).alias("noise"))
@@ -430,9 +432,9 @@ def label_normalise(spark, sf_dir):
 _WORDS = r"list_filter(regexp_extract_all(regexp_replace(regexp_replace(lower(trim({0})), '[`*|_>#]', ' ', 'g'), '\s+', ' ', 'g'), '[\p{{L}}\p{{N}}_\p{{M}}]+'), lambda w: w NOT IN (" + ", ".join(f"'{w}'" for w in V.STOPWORDS) + "))"
 
 
-@query("WITH t AS (SELECT conv_id, turn, text, substr(text, 1, 60) || ' entirely unseen additions' AS quote FROM conversations), w AS (SELECT conv_id, turn, " + _WORDS.format("quote") + " AS q, " + _WORDS.format("text") + " AS o FROM t) SELECT conv_id, turn, CASE WHEN len(q) > 0 THEN len(list_filter(q, lambda x: list_contains(o, x))) / len(q) ELSE 0 END::DOUBLE AS overlap FROM w")
+@query("WITH t AS (SELECT conv_id, turn, text, text || ' entirely unseen additions ' || role AS quote FROM conversations), w AS (SELECT conv_id, turn, " + _WORDS.format("quote") + " AS q, " + _WORDS.format("text") + " AS o FROM t) SELECT conv_id, turn, CASE WHEN len(q) > 0 THEN len(list_filter(q, lambda x: list_contains(o, x))) / len(q) ELSE 0 END::DOUBLE AS overlap FROM w")
 def quote_overlap(spark, sf_dir):
-    quote = F.concat(F.substring("text", 1, 60), F.lit(" entirely unseen additions"))
+    quote = F.concat("text", F.lit(" entirely unseen additions "), "role")
     return table(spark, sf_dir, "conversations").select("conv_id", "turn", fusion.quote_overlap(quote, F.col("text")).cast("double").alias("overlap"))
 
 
@@ -463,7 +465,7 @@ def card_verdicts(spark, sf_dir):
 
 @query()
 def disclosure_flags_whole(spark, sf_dir):
-    """The flags of disclosure_flags for every section of the whole card, where that query reads its first 400 characters."""
+    """The flags of disclosure_flags for every section of the card by itself."""
     parts = cards(spark, sf_dir).withColumn("front", T.front_matter(F.col("card")))
     front = F.struct(F.lit("yaml_frontmatter").alias("section_type"), F.col("front.yaml").alias("text"))
     rows = parts.select("doc_id", F.posexplode(F.concat(F.array(front), T.card_sections(F.col("front.body")))).alias("pos", "s"))
