@@ -46,11 +46,13 @@ def judged(docs: DataFrame, sites: int = 10, site: str = "source") -> DataFrame:
     their boilerplate lines unless only they have them. Rows repeating a doc_id are handled alike. An empty table gives an
     empty result. No name of a column of docs can clash.
     """
-    keyed = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"), F.col("doc_id"), F.col("text"), F.col(f"`{site}`").alias("site"), F.xxhash64(F.coalesce("text", F.lit(""))).alias("own"))
-    marks = boilerplate(keyed.select("doc_id", "text", "site"), sites, "site")
-    rows = lines(keyed.select("doc_id", "text", "site", "own"), "site", "own").join(marks, "h").filter(~F.col("doc_id").eqNullSafe(F.col("first")))
+    own = F.xxhash64(F.coalesce("text", F.lit(""))).alias("own")
+    keyed = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"), own)
+    plain = docs.select("doc_id", "text", F.col(f"`{site}`").alias("site"), own)
+    marks = boilerplate(plain, sites, "site")
+    rows = lines(plain, "site", "own").join(marks, "h").filter(~F.col("doc_id").eqNullSafe(F.col("first")))
     drops = rows.groupBy(F.col("doc_id").alias("drop_id"), F.col("own").alias("drop_own")).agg(F.array_sort(F.collect_set("at")).alias("drops"))
-    joined = keyed.join(drops, F.col("doc_id").eqNullSafe(F.col("drop_id")) & (F.col("own") == F.col("drop_own")), "left").select("row", "text", "drops", F.split("text", "\n", -1).alias("all"))
+    joined = keyed.join(drops, F.col("row.doc_id").eqNullSafe(F.col("drop_id")) & (F.col("own") == F.col("drop_own")), "left").select("row", F.col("row.text").alias("text"), "drops", F.split("row.text", "\n", -1).alias("all"))
     # between two dropped lines the ones that stay are a slice, so a text's work is that of its lines
     joined = joined.withColumn("before", F.concat(F.array(F.lit(-1)), F.col("drops"))).withColumn("until", F.concat(F.col("drops"), F.array(F.size("all"))))
     kept = F.flatten(F.zip_with("before", "until", lambda x, y: F.slice("all", x + 2, y - x - 1)))
