@@ -1,0 +1,130 @@
+"""The command line over a small snapshot folder, the order of a run, and family stems of any length."""
+
+import random
+import re
+
+import pytest
+from pyspark.sql import functions as F
+
+from tracewell.functions import fixed_values as V
+from tracewell.operators import links, selection
+from tracewell.operators.inherit import inherit
+from tracewell.plans import commands, pipeline
+from tracewell.sources import readers
+
+CARD = "---\nlicense: mit\n---\n# M\nCode in this repository: https://github.com/o/m.\n## Training\nWe trained it on 64 A100 GPUs with NCCL for 20 days of training.\n"
+VAGUE = "# v\nIt was trained on our cluster, see the notes.\n"
+CATALOG = "id,downloads,likes,pipeline_tag,created_at,last_modified,tags,card_data\n" + "".join(f"{i},{d},1,t,{day},,,\n" for i, d, day in (("o/m", 50, "2024-07-15"), ("o/m-AWQ", 40, "2024-07-16"), ("q/n", 30, "2024-03-01"), ("r/v", 90, "2023-01-01")))
+
+
+@pytest.fixture(scope="module")
+def folder(spark, tmp_path_factory):
+    path = tmp_path_factory.mktemp("snapshots")
+    (path / "catalog.csv").write_text(CATALOG)
+    (path / "truth.csv").write_text("who,id,position,method,provider,chip,source note\nx,o/m,1,a,Nvidia,A100,\nx,q/n,1,a,Google,TPU,\nx,r/v,1,b,Nvidia,,\n")
+    make = lambda rows, schema, name: spark.createDataFrame(rows, schema).write.parquet(f"{path}/{name}")
+    make([("o/m", CARD), ("o/m-AWQ", "---\nbase_model: o/m\n---\n# quantized"), ("q/n", "# n\nnothing"), ("r/v", VAGUE)], "id string, modelcard string", "cards")
+    make([], "owner string, repo string, path string, path_pos int", "repo_tree")
+    make([], "owner string, repo string, path string, content string", "repo_file")
+    make([], "arxiv_id string, html string", "paper_html")
+    make([], "arxiv_id string, text string", "paper_text")
+    make([], "owner string, slug string, owner_pos int, item_type string, item_id string", "collection_item")
+    return str(path)
+
+
+def test_ids(spark, folder, tmp_path):
+    commands.main(["ids", f"{folder}/catalog.csv", f"{tmp_path}/ids", "--top", "2", "--years", "2023-2024"])
+    assert [r["id"] for r in readers.id_list(spark, f"{tmp_path}/ids").orderBy("pos").collect()] == ["r/v", "q/n", "o/m", "o/m-AWQ"]
+    commands.main(["ids", f"{folder}/catalog.csv", f"{tmp_path}/few", "--top", "2", "--deduplicate"])
+    assert [r["id"] for r in readers.id_list(spark, f"{tmp_path}/few").orderBy("pos").collect()] == ["r/v", "o/m"]
+    with pytest.raises(SystemExit):
+        commands.main(["ids", "a", "b", "--years", "2023", "--quarters", "2023"])
+
+
+def test_both_snapshot_report(spark, folder, tmp_path, capsys):
+    out = str(tmp_path)
+    a = commands.parser().parse_args(["both", folder, out, "--monthly-top", "1", "--years", "2024", "--alltime-top", "3", "--ground-truth", f"{folder}/truth.csv"])
+    assert tuple(commands.both(spark, a).first()) == (2, 3, 4, 1)
+    read = lambda run: {r["id"] for r in spark.read.json(f"{out}/runs/results/run={run}").collect()}
+    assert read("top1_per_month") == {"q/n", "o/m"} and read("top3") == {"r/v", "o/m", "o/m-AWQ"}
+    record = {r["id"]: r["conclusion"] for r in spark.read.json(f"{out}/results").collect()}
+    assert (record["o/m"]["correct"], record["o/m"]["expected_provider"], record["q/n"]["correct"], record["o/m-AWQ"]["correct"]) == (1, "nvidia", 0, -1)
+    (tmp_path / "list.txt").write_text("o/m\n# no\n\nq/n\n")
+    commands.main(["snapshot", f"{out}/results", f"{out}/copies", "--suffix", "x", "--ids-file", f"{out}/list.txt"])
+    assert {r["id"] for r in spark.read.json(f"{out}/copies/results/run=x").collect()} == {"o/m", "q/n"}
+    a = commands.parser().parse_args(["report", f"{out}/results", f"{out}/copies/results/run=x", "--ground-truth", f"{folder}/truth.csv"])
+    tables = commands.report(spark, a)
+    matrix = {r["slice"]: (r["correct"], r["missed"], r["total"]) for r in tables[f"{out}/results: outcomes"].collect()}
+    assert matrix["__ALL__"] == (1, 2, 3) and tables["changed"].count() == 0
+    assert {r["id"] for r in tables[f"{out}/results: misses"].collect()} == {"q/n", "r/v"}
+    commands.main(["report", f"{out}/results", "--ground-truth", f"{folder}/truth.csv"])
+    assert "outcomes" in capsys.readouterr().out
+
+
+def test_recorded_answers_reach_the_results(spark, folder, tmp_path):
+    """A reviewer's text about a card that tells of training is parsed, checked against the card and applied."""
+    vague = spark.createDataFrame([("r/v", VAGUE + "\nTraining ran on 16 H100 cards we rent.\n")], "id string, modelcard string")
+    rows = vague.select("id", "modelcard", F.lit(True).alias("needs_llm"))
+    answers = spark.createDataFrame([("r/v", 'training_evidence: "Training ran on 16 H100 cards we rent"\nconclusion: nvidia\nconfidence: high')], "id string, answer string")
+    from tracewell.operators import fusion
+
+    seen = []
+    keep = fusion.apply_answers
+    try:
+        fusion.apply_answers = lambda r, a: seen.append(a.collect()) or r
+        fusion.reviewed(rows, answers)
+    finally:
+        fusion.apply_answers = keep
+    assert [tuple(r) for r in seen[0]] == [("r/v", "nvidia", 0.8)]
+    answers.write.parquet(f"{tmp_path}/answers")
+    commands.main(["run", folder, f"{tmp_path}/out", "--answers", f"{tmp_path}/answers", "--ground-truth", f"{folder}/truth.csv"])
+    assert spark.read.json(f"{tmp_path}/out/results").count() == 4
+
+
+@pytest.mark.parametrize("parts", [1, 7])
+def test_order_of_a_run(spark, parts):
+    """By bucket and rank, in any number of partitions; inheritance reads that order."""
+    rows = [(f"m{k}", 2020 + k % 3, k * 7 % 12 + 1, k * 37 % 101) for k in range(80)]
+    catalog = spark.createDataFrame(rows, "id string, year int, month int, n int").withColumn("rank", F.struct("n", "id")).repartition(parts)
+    chosen = pipeline.choose_ids(catalog, 3, "2020-2022")
+    found = [r["id"] for r in chosen.repartition(parts).orderBy("pos").collect()]
+    by_month = {}
+    for r in sorted(rows, key=lambda r: (r[3], r[0])):
+        by_month.setdefault(r[1:3], []).append(r[0])
+    want = [i for m in sorted(by_month) for i in by_month[m][:3]]
+    assert found == want
+    known = {i: k % 5 == 0 for k, i in enumerate(want)}
+    base = {i: want[(k * 11 + 3) % len(want)] for k, i in enumerate(want)}
+    df = spark.createDataFrame([(i, "nvidia" if known[i] else "unknown", 0.9 if known[i] else 0.0, "modelcard" if known[i] else None, not known[i], base[i], None) for i in want], "id string, chip_provider string, chip_provider_confidence double, chip_provider_source string, is_derivative boolean, base_model string, runtime_library string")
+    out = {r["id"]: (r["chip_provider"], r["chip_provider_confidence"]) for r in inherit(df.join(chosen.select("id", "pos"), "id").repartition(parts), lambda d: d).collect()}
+    state = {i: ("nvidia", 0.9) if known[i] else ("unknown", 0.0) for i in want}
+    for i in want:
+        chip, conf = state[base[i]]
+        if not known[i] and chip != "unknown" and conf >= 0.3:
+            state[i] = (chip, min(conf, 0.7))
+    assert out == state
+
+
+def test_family_stems_by_plain_loop(spark):
+    """Each class is stripped until nothing is left of it, however long the chain."""
+    rng = random.Random(3)
+    pieces = ["FP8", "Q4_K_M", "8bit", "4_bit", "int4", "Instruct", "Chat", "v1.5", "v2", "2024", "20240501", "7B", "0.5B", "12Hz", "24kHz", "AWQ", "GGUF", "VL", "x", "Q8", "RC2"]
+    names = ["Model" + "".join(rng.choice("-_") + rng.choice(pieces) for _ in range(rng.randint(0, 9))) for _ in range(1500)] + ["M" + "_FP8" * 30, "M" + "-Q4_8bit" * 12, "M_12Hz_12Hz_12Hz_12Hz_12Hz_12Hz"]
+
+    def stem(name):
+        for pattern, flags in ((V.PRECISION_SUFFIX, re.I), (V.VARIANT_SUFFIX, re.I), (V.VERSION_SUFFIX, 0), (V.DATE_SUFFIX, 0), (V.SIZE_SUFFIX, 0), (V.RATE_SUFFIX, re.I)):
+            while (less := re.sub(pattern, "", name, flags=flags)) != name:
+                name = less
+        return re.sub(r"[-_.\s]+$", "", name)
+
+    found = spark.createDataFrame([(n,) for n in names], "n string").select("n", selection.family_stem(F.concat(F.lit("o/"), "n")).alias("stem")).collect()
+    assert [(r["n"], r["stem"]) for r in found] == [(n, f"o/{stem(n)}") for n in names]
+
+
+def test_years_namespaces_slugs(spark):
+    rows = spark.createDataFrame([("2024", None), ("None", "2023-01"), ("", "x"), ("2020-99", "2021")], "a string, b string")
+    assert [r[0] for r in rows.select(selection.year_only(F.col("a"), F.col("b"))).collect()] == [2024, 2023, None, 2020]
+    ids = spark.createDataFrame([("a/x",), ("a/y",), ("b/z",), ("bert",)], "id string")
+    assert {r["owner"] for r in links.namespaces(ids).collect()} == {"a", "b", "bert"}
+    lists = spark.createDataFrame([("a", "s1", 0), ("b", "s1", 0), ("b", "s2", 1)], "owner string, slug string, owner_pos int")
+    assert sorted(r["slug"] for r in links.slugs(lists).collect()) == ["s1", "s2"]
