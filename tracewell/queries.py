@@ -482,7 +482,9 @@ def _snapshots(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame,
     models = c.select(F.explode(ids).alias("id"), F.concat(F.lit("https://github.com/"), owner, F.lit("/"), repo).alias("main_github"), F.concat(F.lit("https://arxiv.org/abs/"), paper).alias("main_arxiv"))
     paths = F.array(*(F.lit(p) for p in ("README.md", "requirements.txt", "train.py", "scripts/go.sh", "src/a.cu")))
     files = c.select(owner.alias("owner"), repo.alias("repo"), "card", F.posexplode(paths).alias("path_pos", "path"))
-    files = files.select("owner", "repo", "path_pos", "path", F.concat("card", F.lit("\ntorch\nflash-attn\nCUDA_VISIBLE_DEVICES=0,1 python train.py with the usual options\n")).alias("content"))
+    # the readme has the whole card, other files what stands before its usage
+    own = F.when(F.col("path") == "README.md", F.col("card")).otherwise(F.substring_index("card", "\n## Usage", 1))
+    files = files.select("owner", "repo", "path_pos", "path", F.concat(own, F.lit("\ntorch\nflash-attn\nCUDA_VISIBLE_DEVICES=0,1 python train.py with the usual options\n")).alias("content"))
     papers = c.select(paper.alias("arxiv_id"), F.concat(F.lit("Abstract\nWe train.\n1 Introduction\nwords\n2 Method\nwords\n3 Training Setup\n"), "card", F.lit("\nReferences\n[1]")).alias("text"))
     return models, files.select("owner", "repo", "path", F.col("path_pos").cast("int").alias("path_pos")), files.select("owner", "repo", "path", "content"), papers
 
