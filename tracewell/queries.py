@@ -331,6 +331,84 @@ def link_rank(spark, sf_dir):
     return best.select("l_orderkey", "l_linenumber", ranking.confidence(F.col("score"), F.coalesce("second", F.lit(-10)), F.col("count")).alias("confidence"))
 
 
+# --- candidate links --------------------------------------------------------------------------------------------------
+
+#: Of every document a model, a repository and a paper (one in 17 has none), told in turn beside an introduction, in a bibtex fence, in a
+#: table, in an install line, beside another's work, and beside the model's name; in one half of the cards first, in the other last.
+_OWNER = "CASE doc_id % 4 WHEN 0 THEN 'Qwen' WHEN 1 THEN 'timm' WHEN 2 THEN 'facebook' ELSE concat('org', cast(doc_id % 13 AS VARCHAR)) END"
+_REPO = (
+    "concat('https://github.com/', CASE doc_id % 7 WHEN 0 THEN 'QwenLM' WHEN 1 THEN 'huggingface' WHEN 2 THEN 'facebookresearch' ELSE concat('org', cast(doc_id % 13 AS VARCHAR)) END, '/', "
+    "CASE doc_id % 5 WHEN 0 THEN concat('Model-', cast(doc_id AS VARCHAR)) WHEN 1 THEN concat('Modal-', cast(doc_id AS VARCHAR)) WHEN 2 THEN 'tools' WHEN 3 THEN concat('model', cast(doc_id AS VARCHAR), '-code') ELSE 'model-dataset' END)"
+)
+_PAPER = "concat('https://arxiv.org/abs/2401.', lpad(cast(doc_id % 100000 AS VARCHAR), 5, '0'))"
+_OTHER = "https://github.com/huggingface/transformers"
+_TOLD = (
+    f"CASE WHEN doc_id % 17 = 0 THEN '' ELSE concat(chr(10), CASE doc_id % 6 WHEN 0 THEN concat('Source code: ', {_REPO}, ' and our paper ', {_PAPER}) "
+    f"WHEN 1 THEN concat('```bibtex', chr(10), '@misc(x, url = (', {_REPO}, '), note = (', {_PAPER}, '))', chr(10), '```') WHEN 2 THEN concat('| ', {_REPO}, ' | ', {_PAPER}, ' |') "
+    f"WHEN 3 THEN concat('pip install git+', {_REPO}, ' --upgrade', chr(10), 'based on ', {_PAPER}) WHEN 4 THEN concat('Look at ', {_REPO}, ' (inspired by ', {_PAPER}, ')') ELSE concat({_REPO}, ' has Model-', cast(doc_id AS VARCHAR), '-7b and ', {_PAPER}) END, chr(10), '{_OTHER}', chr(10)) END"
+)
+_TOLD_CARD = f"CASE WHEN doc_id % 2 = 0 THEN concat({_TOLD}, coalesce(text, '')) ELSE concat(coalesce(text, ''), {_TOLD}) END"
+
+_AROUND = "substr(card, greatest(spot - {0}, 0) + 1, greatest(least(spot + {1}, length(card)) - greatest(spot - {0}, 0), 0))"
+_TERM = lambda *terms: (" + ".join(f"CASE WHEN {c} THEN {n} ELSE 0 END" for c, n, _ in terms), "concat_ws('; ', " + ", ".join(f"CASE WHEN {c} THEN '{r}' END" for c, _, r in terms) + ")")
+_PLACE_TERMS = {
+    "very early": ("share < 0.15", 2, "very early in card"), "early": ("share >= 0.15 AND share < 0.35", 1, "early in card"),
+    "bibtex": ("fence >= 0 AND fence <= spot AND spot <= closed", -3, "inside bibtex"), "row": ("regexp_matches(trim(line, chr(9) || chr(10) || chr(13) || ' '), '^[|].*[|]')", {"repo": -2, "paper": -1}, "inside table row"),
+}
+_SAME_NAME = "own_name <> '' AND repo <> '' AND (contains(repo, own_name) OR contains(own_name, repo))"
+_REPO_POINTS, _REPO_REASONS = _TERM(
+    ("pip >= 0 AND contains(substr(card, pip + 1, length(pip_line) + 100), link) AND abs(spot - pip) < 200", -3, "only in pip install context"), (_SAME_NAME, 4, "model name in repo name"),
+    # the one kind of name that is not contained and has a ratio over .6
+    (f"NOT ({_SAME_NAME}) AND starts_with(repo, 'modal')", 2, "fuzzy model name match"), ("own_org = org", 3, "org exact match"),
+    ("own_org <> org AND (own_org, org) IN (" + ", ".join(f"('{k}', '{o}')" for k, v in V.ORG_ALIASES.items() for o in v) + ")", 3, "org alias match"), _PLACE_TERMS["very early"], _PLACE_TERMS["early"],
+    (f"regexp_matches({_AROUND.format(200, 222)}, {_RE(V.INTRO)})", 3, "intro keyword context"), (_PLACE_TERMS["row"][0], -2, _PLACE_TERMS["row"][2]), _PLACE_TERMS["bibtex"],
+)
+_PAPER_POINTS, _PAPER_REASONS = _TERM(
+    (f"regexp_matches({_AROUND.format(200, 260)}, {_RE(V.OUR_PAPER)})", 4, "our paper context"), (f"contains(lower({_AROUND.format(300, 300)}), 'model-' || doc_id || '-7b')", 3, "model name near link"),
+    _PLACE_TERMS["very early"], _PLACE_TERMS["early"], _PLACE_TERMS["bibtex"], (_PLACE_TERMS["row"][0], -1, _PLACE_TERMS["row"][2]), (f"regexp_matches({_AROUND.format(200, 260)}, {_RE(V.THIRD_PARTY)})", -2, "third-party reference context"),
+)
+_SCORES_SQL = f"""
+c AS (SELECT doc_id, {_TOLD_CARD} AS card, lower({_OWNER}) AS own_org, 'model' || doc_id AS own_name, {_REPO} AS r, {_PAPER} AS p FROM documents),
+l AS (SELECT *, 'repo' AS kind, 0 AS link_pos, r AS link FROM c WHERE doc_id % 17 > 0 UNION ALL SELECT *, 'repo', 1, '{_OTHER}' FROM c WHERE doc_id % 17 > 0 UNION ALL SELECT *, 'paper', 0, p FROM c WHERE doc_id % 17 > 0),
+a AS (SELECT *, strpos(card, link) - 1 AS spot, strpos(card, '```bibtex') - 1 AS fence, regexp_replace(lower(split_part(link, '/', 4)), '[^a-z0-9]', '', 'g') AS org, regexp_replace(lower(split_part(link, '/', 5)), '[^a-z0-9]', '', 'g') AS repo,
+  regexp_extract(card, {_RE(V.PIP_INSTALL)}) AS pip_line FROM l),
+b AS (SELECT *, spot / length(card) AS share, CASE WHEN pip_line <> '' THEN strpos(card, pip_line) - 1 ELSE -1 END AS pip, string_split(substr(card, 1, spot), chr(10))[-1] || string_split(substr(card, spot + 1), chr(10))[1] AS line,
+  CASE WHEN strpos(substr(card, fence + 4), '```') > 0 THEN fence + 2 + strpos(substr(card, fence + 4), '```') ELSE length(card) END AS closed FROM a),
+s AS (SELECT doc_id, kind, link_pos, link, repo, (CASE WHEN kind = 'repo' THEN {_REPO_POINTS} ELSE {_PAPER_POINTS} END)::INT AS score, CASE WHEN kind = 'repo' THEN {_REPO_REASONS} ELSE {_PAPER_REASONS} END AS reasons FROM b)"""
+
+
+def _told(spark: SparkSession, sf_dir: str) -> DataFrame:
+    sql = lambda e: F.expr(e.replace("VARCHAR", "STRING"))
+    rows = table(spark, sf_dir, "documents").select("doc_id", F.concat(sql(_OWNER), F.lit("/Model-"), F.col("doc_id").cast("string"), F.lit("-7b-instruct")).alias("id"), sql(_TOLD_CARD).alias("modelcard"))
+    return rows.withColumns({"github_links": links.repo_links(F.col("modelcard")), "arxiv_links": links.paper_links(F.col("modelcard"))})
+
+
+@query(f"WITH {_SCORES_SQL} SELECT doc_id, kind, link_pos::INT AS link_pos, link, score, reasons FROM s")
+def link_scores(spark, sf_dir):
+    """Every candidate link with its points and their reasons."""
+    rows = _told(spark, sf_dir)
+    both = ranking.repo_candidates(rows).withColumn("kind", F.lit("repo")).unionByName(ranking.paper_candidates(rows).withColumn("kind", F.lit("paper")))
+    return both.select(F.regexp_extract("id", "Model-(\\d+)", 1).cast("long").alias("doc_id"), "kind", "link_pos", "link", "score", F.array_join("reasons", "; ").alias("reasons"))
+
+
+@query(f"""WITH {_SCORES_SQL},
+k AS (SELECT *, count(*) OVER (PARTITION BY doc_id, kind) AS n, row_number() OVER w AS place, lead(score) OVER w AS second FROM s WINDOW w AS (PARTITION BY doc_id, kind ORDER BY score DESC, link_pos)),
+m AS (SELECT doc_id, kind, link, CASE WHEN n = 1 THEN least(1.0::DOUBLE, 0.7::DOUBLE + greatest(0, score) * 0.03::DOUBLE) ELSE printf('%.2f', least(1.0::DOUBLE, greatest(0.1::DOUBLE, 0.5::DOUBLE + least(0.3::DOUBLE, (score - second) * 0.06::DOUBLE) + least(0.15::DOUBLE, greatest(0, score) * 0.015::DOUBLE))))::DOUBLE END AS own,
+  kind = 'repo' AND regexp_matches(repo, {_RE(V.DATASET_REPO)}) AS data_set FROM k WHERE place = 1),
+f AS (SELECT doc_id, kind, link, CASE WHEN data_set THEN least(own, 0.5) ELSE own END AS confidence FROM m)
+SELECT d.doc_id, CASE WHEN r.link IS NOT NULL AND d.doc_id % 3 = 0 THEN '{_OTHER}' ELSE r.link END AS main_github, coalesce(r.confidence, 0)::DOUBLE AS main_github_confidence, CASE WHEN r.link IS NOT NULL THEN CASE WHEN d.doc_id % 3 = 0 THEN 'llm' ELSE 'heuristic' END END AS main_github_source,
+  r.link IS NOT NULL AND r.confidence < 0.6 AS review, p.link AS main_arxiv, coalesce(p.confidence, 0)::DOUBLE AS main_arxiv_confidence
+FROM documents d LEFT JOIN f r ON r.doc_id = d.doc_id AND r.kind = 'repo' LEFT JOIN f p ON p.doc_id = d.doc_id AND p.kind = 'paper'""")
+def link_answers(spark, sf_dir):
+    """The best candidate of each kind and its confidence, which of them are to be reviewed, and recorded answers: of those only a candidate counts."""
+    rows = _told(spark, sf_dir)
+    best = ranking.choose(ranking.choose(rows, ranking.repo_candidates(rows), "github"), ranking.paper_candidates(rows), "arxiv")
+    queue = ranking.review_queue(best, "github").select("id", F.lit(True).alias("review"))
+    answers = rows.select("id", F.when(F.col("doc_id") % 3 == 0, _OTHER).otherwise("https://github.com/not/there").alias("answer"))
+    out = ranking.take_answers(best, answers, "github").join(queue, "id", "left")
+    return out.select("doc_id", "main_github", "main_github_confidence", "main_github_source", F.coalesce("review", F.lit(False)).alias("review"), "main_arxiv", "main_arxiv_confidence")
+
+
 @query("SELECT l_orderkey, 1 - list_product(list_transform(list_sort(list(l_discount)), lambda x: 1 - x)) AS combined FROM lineitem GROUP BY l_orderkey")
 def noisy_or_by_order(spark, sf_dir):
     rows = table(spark, sf_dir, "lineitem").groupBy("l_orderkey").agg(F.array_sort(F.collect_list("l_discount")).alias("c"))
