@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tracewell.functions import fixed_values as V
-from tracewell.functions.expr import table_of
+from tracewell.functions.expr import py_round, table_of
 from tracewell.functions.ordered import first_per_key
 from tracewell.operators.text import py_strip
 
@@ -57,7 +57,7 @@ def outcome_matrix(rows: DataFrame) -> DataFrame:
 
 
 def share(n: Column, d: Column) -> Column:
-    return F.when(d > 0, F.format_string("%d/%d (%.1f%%)", n, d, 100 * n / d)).otherwise(F.format_string("%d/0 (—)", n))
+    return F.when(d > 0, F.format_string("%d/%d (%.1f%%)", n, d, py_round(100 * n / d, 1))).otherwise(F.format_string("%d/0 (—)", n))
 
 
 def run_diff(a: DataFrame, b: DataFrame) -> DataFrame:

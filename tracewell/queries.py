@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tracewell.functions import fixed_values as V
-from tracewell.functions.expr import noisy_or, py_round
+from tracewell.functions.expr import noisy_or, py_round, spans
 from tracewell.functions.ordered import append_new
 from tracewell.operators import evaluate, fusion, links, predicates, ranking, scan, selection, verdicts
 from tracewell.operators import text as T
@@ -409,6 +409,59 @@ def link_answers(spark, sf_dir):
     return out.select("doc_id", "main_github", "main_github_confidence", "main_github_source", F.coalesce("review", F.lit(False)).alias("review"), "main_arxiv", "main_arxiv_confidence")
 
 
+_ANY = "[0-9]+|https?://[a-z]+"
+
+
+@query(rf"""
+WITH c AS (SELECT doc_id, {_TOLD_CARD} AS card FROM documents), m AS (SELECT doc_id, card, regexp_extract_all(card, '(?i){_ANY}') AS own, string_split_regex(card, '(?i){_ANY}') AS gaps FROM c),
+k AS (SELECT *, unnest(range(len(own))) AS k FROM m),
+s AS (SELECT doc_id, card, k, list_sum(list_transform(gaps[1:k + 1], lambda x: length(x))) + coalesce(list_sum(list_transform(own[1:k], lambda x: length(x))), 0) AS low, length(own[k + 1]) AS n FROM k),
+w AS (SELECT *, string_split(substr(card, 1, low::BIGINT), chr(10))[-1] || string_split(substr(card, low::BIGINT + 1), chr(10))[1] AS line FROM s)
+SELECT doc_id, low::INT AS low, (low + n)::INT AS high, regexp_matches(line, '^\s*[|](?:.*[|])?\s*$') AS in_table,
+  '...' || regexp_replace(replace(substr(card, greatest(low - 100, 0)::BIGINT + 1, (least(low + n + 100, length(card)) - greatest(low - 100, 0))::BIGINT), chr(10), ' '), '^\s+|\s+$', '', 'g') || '...' AS snippet FROM w""")
+def match_offsets(spark, sf_dir):
+    """All matches of a pattern with their places, whether in a table's row, and their surroundings."""
+    rows = scan.dealt(_told(spark, sf_dir).select("doc_id", F.col("modelcard").alias("card")), "doc_id").withColumn("s", F.explode(spans(F.col("card"), _ANY)))
+    low, high = F.col("s.start"), F.col("s.end")
+    return rows.select("doc_id", low.alias("low"), high.alias("high"), T.is_table_line(T.line_at(F.col("card"), low)).alias("in_table"), scan.snippet_of(F.col("card"), low, high, 100, True).alias("snippet"))
+
+
+@query(r"""
+WITH c AS {CARD}, b AS (SELECT doc_id, regexp_replace(substr(card, 4, strpos(substr(card, 4), chr(10) || '---') - 1), '^\s+|\s+$', '', 'g') AS yaml, substr(card, strpos(substr(card, 4), chr(10) || '---') + 7) AS body FROM c),
+l AS (SELECT doc_id, unnest(string_split(body, chr(10))) AS line, generate_subscripts(string_split(body, chr(10)), 1) AS k FROM b),
+n AS (SELECT doc_id, line, k, sum(CASE WHEN starts_with(line, '#') THEN 1 ELSE 0 END) OVER (PARTITION BY doc_id ORDER BY k) AS s FROM l),
+t AS (SELECT doc_id, s, regexp_replace(string_agg(line, chr(10) ORDER BY k), '^\s+|\s+$', '', 'g') AS text, first(line ORDER BY k) AS head FROM n GROUP BY doc_id, s),
+o AS (SELECT doc_id, s, text, CASE WHEN head = '## Training' THEN 0 WHEN head = '## Usage' THEN 2 ELSE 3 END AS place, CASE WHEN head = '## Training' THEN 'TRAINING' WHEN head = '## Usage' THEN 'COMPATIBILITY' ELSE 'BODY' END AS name FROM t WHERE text <> '')
+SELECT doc_id, string_agg('=== [' || name || '] ===' || chr(10) || text, chr(10) || chr(10) ORDER BY place, s) || chr(10) || chr(10) || '=== [YAML FRONTMATTER] ===' || chr(10) || substr(first(yaml), 1, 800) AS told FROM o JOIN b USING (doc_id) GROUP BY doc_id""")
+def labelled_text(spark, sf_dir):
+    front = T.front_matter(F.col("card"))
+    return cards(spark, sf_dir).select("doc_id", T.labelled_text(front["yaml"], T.card_sections(front["body"])).alias("told"))
+
+
+_RENDER = "concat(repeat(coalesce(html, ''), cast(20 AS INT)), CASE page_id % 3 WHEN 0 THEN '<h2 id=\"s\">3 Training &amp; <i>Setup</i></h2>' WHEN 1 THEN '<h3>Thanks</h3>' ELSE '' END)"
+_HEAD_KINDS = " OR ".join(f"regexp_matches(lower(x), {_RE(p)})" for p in (V.PAPER_TRAINING_HEADING, V.PAPER_METHOD_HEADING, V.PAPER_RESULTS_HEADING))
+
+
+@query(rf"""
+WITH h AS (SELECT page_id, {_RENDER} AS h FROM pages), t AS (SELECT page_id, regexp_extract_all(h, '(?is)<h[2-3][^>]*>(.*?)</h[2-3]>', 1) AS heads, trim(regexp_replace(replace(replace(replace(replace(replace(regexp_replace(h, '<[^>]+>', ' ', 'g'), '&amp;', '&'), '&lt;', '<'), '&gt;', '>'), '&nbsp;', ' '), '&#x27;', ''''), '\s+', ' ', 'g')) AS plain FROM h)
+SELECT page_id, length(plain) >= 15000 AND len(list_filter(list_transform(heads, lambda y: regexp_replace(regexp_replace(y, '<[^>]+>', ' ', 'g'), '\s+', ' ', 'g')), lambda x: {_HEAD_KINDS})) > 0 AS ok FROM t""")
+def render_ok(spark, sf_dir):
+    return table(spark, sf_dir, "pages").select("page_id", T.render_ok(F.expr(_RENDER)).alias("ok"))
+
+
+@query(f"SELECT doc_id, split_part({_REPO}, '/', 4) AS owner, split_part({_REPO}, '/', 5) AS repo, '2401.' || lpad((doc_id % 100000)::VARCHAR, 5, '0') AS paper FROM documents")
+def url_parts(spark, sf_dir):
+    sql = lambda e: F.expr(e.replace("VARCHAR", "STRING"))
+    own = links.repo_of_url(F.concat(sql(_REPO), F.lit(".git/")))
+    return table(spark, sf_dir, "documents").select("doc_id", own["owner"].alias("owner"), own["repo"].alias("repo"), links.paper_id(F.concat(F.replace(sql(_PAPER), F.lit("/abs/"), F.lit("/pdf/")), F.lit("v3.pdf"))).alias("paper"))
+
+
+@query("SELECT o_orderkey AS pos, o_custkey::VARCHAR AS id, c_name AS name FROM orders LEFT JOIN (SELECT * FROM customer WHERE c_custkey % 3 > 0) ON c_custkey = o_custkey")
+def explicit_ids(spark, sf_dir):
+    catalog = table(spark, sf_dir, "customer").filter("c_custkey % 3 > 0").select(F.col("c_custkey").cast("string").alias("id"), F.col("c_name").alias("name"))
+    return selection.by_ids(table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("pos"), F.col("o_custkey").cast("string").alias("id")), catalog).select("pos", "id", "name")
+
+
 @query("SELECT l_orderkey, 1 - list_product(list_transform(list_sort(list(l_discount)), lambda x: 1 - x)) AS combined FROM lineitem GROUP BY l_orderkey")
 def noisy_or_by_order(spark, sf_dir):
     rows = table(spark, sf_dir, "lineitem").groupBy("l_orderkey").agg(F.array_sort(F.collect_list("l_discount")).alias("c"))
@@ -501,6 +554,18 @@ def mismatches(spark, sf_dir):
     return evaluate.mismatches(evaluate.flag(_predictions(spark, sf_dir, 7), _truth(spark, sf_dir)))
 
 
+@query("SELECT l_orderkey, printf('%d/%d (%.1f%%)', n, d, 100.0::DOUBLE * n / d) AS share FROM (SELECT l_orderkey, count(*) FILTER (WHERE l_quantity > 25) AS n, 16 AS d FROM lineitem GROUP BY l_orderkey)")
+def shares(spark, sf_dir):
+    rows = table(spark, sf_dir, "lineitem").groupBy("l_orderkey").agg(F.count_if(F.col("l_quantity") > 25).alias("n"))
+    return rows.select("l_orderkey", evaluate.share(F.col("n"), F.lit(16)).alias("share"))
+
+
+@query(f"WITH {_TRUTH}, {_PRED.format('p', 7)}, s AS (SELECT id, expected, pred, {_OUTCOME} AS o FROM truth JOIN p USING (id)) SELECT id, pred, o AS outcome FROM s WHERE o <> 'correct'")
+def failures_and_misses(spark, sf_dir):
+    rows = evaluate.scored(_predictions(spark, sf_dir, 7), _truth(spark, sf_dir))
+    return evaluate.failures(rows).unionByName(evaluate.misses(rows)).select("id", "pred", "outcome")
+
+
 @query("WITH t AS (SELECT s_suppkey, CASE s_suppkey % 5 WHEN 0 THEN ' Nvidia ' WHEN 1 THEN 'Huawei' WHEN 2 THEN 'muxi' WHEN 3 THEN 'Other' ELSE 'google' END AS p FROM supplier) SELECT s_suppkey, CASE s_suppkey % 5 WHEN 0 THEN 'nvidia' WHEN 1 THEN 'huawei_ascend' WHEN 2 THEN 'metax' WHEN 3 THEN 'other' ELSE 'google_tpu' END AS label FROM t")
 def label_normalise(spark, sf_dir):
     p = F.get(F.array(*(F.lit(x) for x in (" Nvidia ", "Huawei", "muxi", "Other", "google"))), (F.col("s_suppkey") % 5).cast("int"))
