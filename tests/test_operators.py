@@ -157,3 +157,8 @@ def test_whole_run(spark, tmp_path):
     assert found["o/m-AWQ"]["chip_provider_source"] == "base_model" and found["o/m-AWQ"]["chip_provider_confidence"] == 0.7
     written = {r["id"]: r for r in spark.read.json(f"{tmp_path}/out/results").collect()}
     assert written["o/m"]["conclusion"]["chip_provider"] == "nvidia" and written["o/m"]["github_resolution"]["selected_link"] == "https://github.com/o/m" and written["o/m"]["year"] == 2024
+
+
+def test_share_rounds_half_to_even(spark):
+    rows = spark.createDataFrame([(1, 16), (3, 16), (0, 0)], "n long, d long").select(evaluate.share(F.col("n"), F.col("d")).alias("s"))
+    assert [r["s"] for r in rows.collect()] == [f"1/16 ({100 / 16:.1f}%)", f"3/16 ({300 / 16:.1f}%)", "0/0 (—)"]
