@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tracewell.llm import decontam, langid, linededup, minhash, packing, pii, quality, simhash, tokenbin, urlfilter
+from tracewell.llm import decontam, filteraudit, langid, linededup, lloyd, minhash, neardup, packing, pii, quality, simhash, tokenbin, urlfilter
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -55,13 +55,28 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urlfilter.judge(table(spark, sf_dir, "pages"))
 
 
+def op11_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neardup.near_duplicates(table(spark, sf_dir, "documents"), similarity=0.85)
+
+
+def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filteraudit.audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op13_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lloyd.cluster(table(spark, sf_dir, "embeddings"), k=8, rounds=10, seed="3")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
-    for f in (op1_simhash, op2_packing, op3_token_files, op4_decontamination, op5_line_dedup, op6_language, op7_quality, op8_pii, op9_minhash, op10_url_filter)
+    for f in (op1_simhash, op2_packing, op3_token_files, op4_decontamination, op5_line_dedup, op6_language, op7_quality, op8_pii, op9_minhash, op10_url_filter, op11_minhash_dedup, op12_filter_audit, op13_centroids)
 }
 
 ORACLE_SQL: dict[str, str] = {
     "op4_decontamination": decontam.ORACLE_SQL,
     "op5_line_dedup": linededup.ORACLE_SQL,
     "op10_url_filter": urlfilter.oracle_sql(),
+    "op11_minhash_dedup": neardup.ORACLE_SQL,
+    "op12_filter_audit": filteraudit.ORACLE_SQL,
+    "op13_centroids": lloyd.oracle_sql(k=8, rounds=10, seed="3"),
 }

@@ -22,7 +22,7 @@ others but not one another, so that they are repeated only as often as the other
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -102,11 +102,12 @@ def jaccard_many(x: np.ndarray, others: list[np.ndarray]) -> np.ndarray:
 
 
 class Judge:
-    """Decides on pairs by their estimate and, between sure and doubt, by their sets."""
+    """Decides on pairs by their estimate and, between sure and doubt, by their sets, ascending hashes of this kind. Where it confirms, no
+    estimate makes a link: the sets decide on every pair that is not far below."""
 
-    def __init__(self, similarity: float):
-        self.similarity = similarity
-        self.sure = minhash.BINS - least_equal(min(1.0, similarity + SURE))  # so many bins may differ
+    def __init__(self, similarity: float, kind: type = np.uint32, confirm: bool = False):
+        self.similarity, self.kind = similarity, kind
+        self.sure = -1 if confirm else minhash.BINS - least_equal(min(1.0, similarity + SURE))  # so many bins may differ
         self.doubt = minhash.BINS - least_equal(max(0.0, similarity - DOUBT))
 
     def reached(self, x: int, rest: np.ndarray, own: np.ndarray, sets: list[np.ndarray] | None) -> np.ndarray:
@@ -217,15 +218,15 @@ def estimated(pairs: DataFrame, distinct: DataFrame, judge: Judge) -> DataFrame:
     return pairs.join(own.toDF("a", "own_a"), "a").join(own.toDF("b", "own_b"), "b").select("a", "b", "own_a", "own_b").mapInArrow(choose, "a long, b long, sure boolean")
 
 
-def exact(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
-    """The pairs (a, b) whose sets (fp, shingles) are at least that similar."""
+def exact(pairs: DataFrame, sets: DataFrame, judge: Judge) -> DataFrame:
+    """The pairs (a, b) whose sets (fp, shingles) are similar."""
 
     def choose(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             good = []
             for x, y in zip(batch.column(2), batch.column(3)):
-                x, y = (np.frombuffer(v.as_py(), np.uint32) for v in (x, y))
-                good.append(bool(jaccard_many(x, [y])[0] >= similarity))
+                x, y = (np.frombuffer(v.as_py(), judge.kind) for v in (x, y))
+                good.append(bool(jaccard_many(x, [y])[0] >= judge.similarity))
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], ["a", "b"]).filter(pa.array(good, pa.bool_()))
 
     return pairs.join(sets.toDF("a", "set_a"), "a").join(sets.toDF("b", "set_b"), "b").select("a", "b", "set_a", "set_b").mapInArrow(choose, "a long, b long")
@@ -252,7 +253,7 @@ def in_large_cells(cells: DataFrame, judge: Judge) -> DataFrame:
                 continue
             rows = np.stack([batch.column(k).to_numpy() for k in range(4)])
             own = as_words(batch.column(4).to_pylist())
-            sets = [np.frombuffer(s, np.uint32) for s in batch.column(5).to_pylist()] if exactly else []
+            sets = [np.frombuffer(s, judge.kind) for s in batch.column(5).to_pylist()] if exactly else []
             changes = np.flatnonzero((np.diff(rows[:2], axis=1) != 0).any(0))
             if held and (held[-1][0][:2, -1] != rows[:2, 0]).any():
                 yield found()
@@ -300,19 +301,18 @@ def blocks(members: DataFrame) -> DataFrame:
     return placed.select("cell", "fp", "part", F.explode(F.when(F.col("part") == F.col("top"), of_top).otherwise(F.concat(with_top, with_others))).alias("block"))
 
 
-def exact_links(distinct: DataFrame, prints: DataFrame, judge: Judge) -> DataFrame:
-    """(a, b): links between rows of distinct (fp, own, n_bytes, part) of different parts that share any band and whose sets (in prints:
-    fp, shingles) are similar: every such pair is returned or connected by others."""
+def exact_links(distinct: DataFrame, sets_of: Callable[[DataFrame], DataFrame], judge: Judge) -> DataFrame:
+    """(a, b): links between rows of distinct (fp, own, n_bytes, part) of different parts that share any band and whose sets (sets_of gives
+    fp, shingles, a row each, of a table of fp) are similar: every such pair is returned or connected by others."""
     met = stored(met_in_bands(distinct, range(BANDS)), "met")
     judged = stored(estimated(met.filter("b IS NOT NULL").select("a", "b").distinct(), distinct, judge), "estimated")
     members = met.filter("b IS NULL").select("cell", F.col("a").alias("fp")).join(distinct.select("fp", "part", "n_bytes"), "fp")
     placed = stored(blocks(members), "placed")
     doubtful = judged.filter("NOT sure").select("a", "b")
     needed = placed.select("fp").unionByName(doubtful.select(F.col("a").alias("fp"))).unionByName(doubtful.select(F.col("b").alias("fp"))).distinct()
-    # one row a fingerprint before the join, so that many copies of one do not meet in a task
-    sets = stored(prints.groupBy("fp").agg(F.first("shingles").alias("shingles")).join(needed, "fp", "left_semi"), "sets")
+    sets = stored(sets_of(needed), "sets")
     large = placed.join(distinct.select("fp", "own"), "fp").join(sets, "fp")
-    found = judged.filter("sure").select("a", "b").unionByName(exact(doubtful, sets, judge.similarity))
+    found = judged.filter("sure").select("a", "b").unionByName(exact(doubtful, sets, judge))
     return found.unionByName(in_large_cells(large, judge)).distinct()
 
 
@@ -325,7 +325,9 @@ def similar_groups(docs: DataFrame, similarity: float = 0.8) -> tuple[DataFrame,
     distinct = stored(prints.groupBy("fp", "own").agg(F.min(named).alias("least"), F.max(F.length("shingles") + 256).cast("long").alias("n_bytes")), "distinct")
     first = stored(sure_links(distinct, judge), "sure")
     parts = distinct.select("fp", "own", "n_bytes").join(components(first).toDF("fp", "part"), "fp", "left").withColumn("part", F.coalesce("part", "fp"))
-    second = exact_links(stored(parts, "parts"), prints, judge)
+    # one row a fingerprint before the join, so that many copies of one do not meet in a task
+    sets_of = lambda needed: prints.groupBy("fp").agg(F.first("shingles").alias("shingles")).join(needed, "fp", "left_semi")
+    second = exact_links(stored(parts, "parts"), sets_of, judge)
     return prints, named_groups(distinct.select("fp", "least"), first.unionByName(second)).withColumnRenamed("component_id", "first")
 
 
