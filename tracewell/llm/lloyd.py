@@ -251,14 +251,17 @@ def moved(held: DataFrame, centroids: np.ndarray) -> np.ndarray:
                     mine = nearest == c
                     sums[c] += weight[mine] @ own.tree.points[mine]
         some = np.flatnonzero(n)
-        yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(n[some]), pa.array(list(sums[some]), pa.list_(pa.int64()))], ["cluster", "n", "sums"])
-
-    part = held.mapInArrow(add, "cluster long, n long, sums array<long>")
-    whole = lambda c: F.sum(c.cast("decimal(38,0)"))
-    rows = part.groupBy("cluster").agg(whole(F.col("n")).alias("n"), *(whole(F.col("sums")[k]).alias(f"s{k}") for k in range(DIMENSIONS))).collect()  # a row a centroid
+        table = np.concatenate([n[some, None], sums[some]], axis=1)  # the count, then a sum a component
+        yield pa.RecordBatch.from_arrays([pa.array(np.repeat(some, table.shape[1])), pa.array(np.tile(np.arange(table.shape[1]), len(some))), pa.array(table.reshape(-1))], ["cluster", "place", "total"])
+
+    part = held.mapInArrow(add, "cluster long, place long, total long")
+    totals = part.groupBy("cluster", "place").agg(F.sum(F.col("total").cast("decimal(38,0)")).alias("total")).collect()  # a row a centroid and component
+    found: dict[int, dict[int, int]] = {}
+    for r in totals:
+        found.setdefault(r["cluster"], {})[r["place"]] = int(r["total"])
     new = centroids.copy()
-    for r in rows:
-        new[r["cluster"]] = [int(r[f"s{k}"]) // int(r["n"]) for k in range(DIMENSIONS)]
+    for c, own in found.items():
+        new[c] = [own[k] // own[0] for k in range(1, len(own))]
     return new
 
 
