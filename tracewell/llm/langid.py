@@ -2,8 +2,9 @@
 
 Features are the 1-, 2- and 3-grams of a text's letters in lower case, every run of other characters as one space, hashed
 to BUCKETS.  Training sums n-gram counts by language over a sample of labelled rows, bounded for each language by itself so
-that rare ones are learnt too, with the sums made by aggregation; the priors are the shares of all labelled rows.  The
-log-probability matrix, BUCKETS times the number of languages (LANGUAGES at most), is broadcast with the scoring function.
+that rare ones are learnt too, with the sums made by aggregation; the priors are the shares of all labelled rows.  Every label is
+learnt: the log-probability matrix is cut into blocks of BLOCK_LANGUAGES columns, of which the driver holds one at a time; each is
+broadcast, and scoring passes a document from block to block with its best language so far and the sum of all.
 A text above a million characters is cut at white space near every million, and no n-gram crosses a cut.
 Scoring takes a batch as one array of code points: n-gram hashes, a gather from the matrix, and sums by document.
 
@@ -20,12 +21,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tracewell.llm.common import stored
+
 BUCKETS = 1 << 16
 ORDERS = (1, 2, 3)
 #: Rows that training reads, about, shared out evenly among languages (each LEAST_ROWS, or all it has): a hash of doc_id picks them.
 TRAIN_ROWS, LEAST_ROWS = 12_000, 100
-#: Labels that are learnt at most, the commonest: 256 KB of broadcast matrix each.
-LANGUAGES = 400
+#: Languages of one broadcast block, 256 KB each.
+BLOCK_LANGUAGES = 128
 EVIDENCE = 60
 UNKNOWN = "und"
 #: The pipeline rejects documents with a score under this, and those of no language.
@@ -105,25 +108,62 @@ def chunks(texts: list[str], most: int = _CHARS) -> Iterator[tuple[list[int], li
         yield places, part
 
 
+#: Languages, their log-probabilities (BUCKETS x languages, float32) and the logarithms of their shares.
+Block = tuple[list[str], np.ndarray, np.ndarray]
+
+
+def rated(texts: list[str | None], block: Block) -> tuple[np.ndarray, np.ndarray]:
+    """Scaled log-likelihoods with priors of texts in a block's languages, and which texts have letters."""
+    languages, logs, priors = block
+    sums, n, letters = np.zeros((len(texts), len(languages))), np.zeros(len(texts)), np.zeros(len(texts), np.int64)
+    for places, part in chunks([t or "" for t in texts]):
+        bucket, owner, own = grams(part)
+        at = np.array(places)
+        for k in range(len(languages)):
+            np.add.at(sums[:, k], at, np.bincount(owner, logs[:, k][bucket], minlength=len(part)))
+        np.add.at(n, at, np.bincount(owner, minlength=len(part)))
+        np.add.at(letters, at, own)
+    return sums * (np.minimum(n, EVIDENCE) / np.maximum(n, 1))[:, None] + priors, letters > 0
+
+
+#: What a document takes from block to block: its best value, whose it is, and the sum of all, as a share of the best.
+State = tuple[np.ndarray, np.ndarray, np.ndarray]
+
+
+def fresh(n: int) -> State:
+    return np.full(n, -np.inf), np.full(n, UNKNOWN, object), np.zeros(n)
+
+
+def merged(state: State, languages: list[str], values: np.ndarray) -> State:
+    """The state after a block; of equal values the earlier language counts."""
+    best, name, total = state
+    if not len(best):
+        return state
+    own, high = values.max(1), np.maximum(best, values.max(1))
+    total = total * np.exp(best - high) + np.exp(values - high[:, None]).sum(1)
+    return high, np.where(own > best, np.array(languages, object)[values.argmax(1)], name), total
+
+
 class Model:
-    def __init__(self, languages: list[str], logs: np.ndarray, priors: np.ndarray):
-        self.languages, self.logs, self.priors = languages, logs, priors  # logs: BUCKETS x languages, float32
+    """blocks: broadcasts of the model's blocks, languages in ascending order."""
+
+    def __init__(self, blocks: list):
+        self.blocks = blocks
+
+    @property
+    def languages(self) -> list[str]:
+        return [x for block in self.blocks for x in block.value[0]]
 
     def predict(self, texts: list[str | None]) -> tuple[list[str], list[float]]:
-        sums, n, letters = np.zeros((len(texts), len(self.languages))), np.zeros(len(texts)), np.zeros(len(texts), np.int64)
-        for places, part in chunks([t or "" for t in texts]):
-            bucket, owner, own = grams(part)
-            at = np.array(places)
-            for k in range(len(self.languages)):
-                np.add.at(sums[:, k], at, np.bincount(owner, self.logs[:, k][bucket], minlength=len(part)))
-            np.add.at(n, at, np.bincount(owner, minlength=len(part)))
-            np.add.at(letters, at, own)
-        scaled = sums * (np.minimum(n, EVIDENCE) / np.maximum(n, 1))[:, None] + self.priors
-        posterior = np.exp(scaled - scaled.max(1, keepdims=True, initial=-np.inf))
-        posterior /= posterior.sum(1, keepdims=True)
-        best = posterior.argmax(1)
-        known = letters > 0
-        return [self.languages[k] if x else UNKNOWN for k, x in zip(best.tolist(), known)], np.where(known, posterior[np.arange(len(texts)), best], 0.0).tolist()
+        state = fresh(len(texts))
+        for block in self.blocks:
+            values, known = rated(texts, block.value)
+            state = merged(state, block.value[0], values)
+        return told(state, known)
+
+
+def told(state: State, known: np.ndarray) -> tuple[list[str], list[float]]:
+    return [x if k else UNKNOWN for x, k in zip(state[1].tolist(), known)], np.where(known, 1 / np.maximum(state[2], 1), 0.0).tolist()
 
 
 def held_out(column: str = "doc_id"):
@@ -132,16 +172,24 @@ def held_out(column: str = "doc_id"):
 
 def train(docs: DataFrame, rows: int = TRAIN_ROWS) -> Model:
     """A model of docs' labelled texts. docs must be the rows that may be learnt from; rows without lang are left out."""
-    labelled = docs.filter("lang IS NOT NULL AND text IS NOT NULL AND doc_id IS NOT NULL")
-    there = {r["lang"]: r["n"] for r in labelled.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").limit(LANGUAGES).collect()}
+    spark = docs.sparkSession
+    labelled = docs.filter("lang IS NOT NULL AND text IS NOT NULL AND doc_id IS NOT NULL").select("doc_id", "lang", "text")
+    there = {r["lang"]: r["n"] for r in labelled.groupBy("lang").agg(F.count("*").alias("n")).collect()}  # a row a language
     if not there:
-        return Model([UNKNOWN], np.zeros((BUCKETS, 1), np.float32), np.zeros(1))
+        return Model([spark.sparkContext.broadcast(([UNKNOWN], np.zeros((BUCKETS, 1), np.float32), np.zeros(1)))])
     each = max(LEAST_ROWS, rows // len(there))
-    share = F.create_map(*(F.lit(x) for lang, n in there.items() for x in (lang, min(1 << 20, -(-(1 << 20) * each // n)))))
-    labelled = labelled.filter(F.pmod(F.xxhash64("doc_id", F.lit("langid")), F.lit(1 << 20)) < F.element_at(share, F.col("lang")))
+    shares = spark.createDataFrame([(lang, min(1 << 20, -(-(1 << 20) * each // n))) for lang, n in there.items()], "lang string, share long")
+    labelled = labelled.join(F.broadcast(shares), "lang").filter(F.pmod(F.xxhash64("doc_id", F.lit("langid")), F.lit(1 << 20)) < F.col("share"))
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums: dict[str, np.ndarray] = {}
+
+        def rows_of() -> Iterator[pa.RecordBatch]:
+            for lang, own in sums.items():
+                some = np.flatnonzero(own)
+                yield pa.RecordBatch.from_arrays([pa.array([lang] * len(some), pa.string()), pa.array(some), pa.array(own[some].astype(np.int64))], ["lang", "bucket", "n"])
+            sums.clear()
+
         for batch in batches:
             langs = batch.column(0).to_pylist()
             for places, part in chunks(batch.column(1).to_pylist()):
@@ -150,33 +198,56 @@ def train(docs: DataFrame, rows: int = TRAIN_ROWS) -> Model:
                 for lang in dict.fromkeys(own):
                     mine = np.array([x == lang for x in own])
                     sums[lang] = sums.get(lang, 0) + np.bincount(bucket[mine[owner]], minlength=BUCKETS)
-        for lang, own in sums.items():
-            some = np.flatnonzero(own)
-            yield pa.RecordBatch.from_arrays([pa.array([lang] * len(some), pa.string()), pa.array(some), pa.array(own[some].astype(np.int64))], ["lang", "bucket", "n"])
+                    if len(sums) >= BLOCK_LANGUAGES:
+                        yield from rows_of()
+        yield from rows_of()
 
-    counts = labelled.select("lang", "text").mapInArrow(count, "lang string, bucket long, n long").groupBy("lang", "bucket").agg(F.sum("n").alias("n"))
-    found = counts.toArrow()  # at most BUCKETS rows a language
-    languages = sorted(there)
-    logs = np.full((BUCKETS, len(languages)), 0.5)
-    place = {x: k for k, x in enumerate(languages)}
-    logs[found.column("bucket").to_numpy(), [place[x] for x in found.column("lang").to_pylist()]] += found.column("n").to_numpy()
-    own = np.array([there[x] for x in languages], float)
-    return Model(languages, np.log(logs / logs.sum(0)).astype(np.float32), np.log(own / own.sum()))
-
-
-def predict(docs: DataFrame, model: Model, *keep: str) -> DataFrame:
-    """The columns keep of docs with lang_pred and score. A text that is null or has no letter: "und", score 0."""
-    fields = [docs.schema[c] for c in keep]
-    shared = docs.sparkSession.sparkContext.broadcast((model.languages, model.logs, model.priors))
-
-    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = Model(*shared.value)
-        for batch in batches:
-            labels, scores = own.predict(batch.column(len(keep)).to_pylist())
-            yield pa.RecordBatch.from_arrays([*(batch.column(k) for k in range(len(keep))), pa.array(labels, pa.string()), pa.array(scores, pa.float64())], [*keep, "lang_pred", "score"])
+    def column(table: pa.Table) -> pa.Table:
+        """One language's log-probabilities; its counts are BUCKETS rows at most."""
+        own = np.full(BUCKETS, 0.5)
+        own[table.column("bucket").to_numpy()] += table.column("n").to_numpy()
+        return pa.table({"lang": table.column("lang")[:1], "logs": pa.array([np.log(own / own.sum()).astype(np.float32).tobytes()], pa.binary())})
 
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in fields)
-    return docs.select(*keep, F.col("text").alias("__text")).mapInArrow(score, f"{schema}, lang_pred string, score double")
+    counts = labelled.select("lang", "text").mapInArrow(count, "lang string, bucket long, n long").groupBy("lang", "bucket").agg(F.sum("n").alias("n"))
+    columns = counts.groupBy("lang").applyInArrow(column, "lang string, logs binary")
+    languages, total, blocks = sorted(there), sum(there.values()), []
+    columns = stored(columns, "languages") if len(languages) > BLOCK_LANGUAGES else columns
+    for k in range(0, len(languages), BLOCK_LANGUAGES):
+        own = languages[k : k + BLOCK_LANGUAGES]
+        logs = np.full((BUCKETS, len(own)), -np.log(BUCKETS), np.float32)  # of a language none of whose rows was picked
+        for r in columns.filter(F.col("lang").isin(own)).collect():  # BLOCK_LANGUAGES rows at most
+            logs[:, own.index(r["lang"])] = np.frombuffer(r["logs"], np.float32)
+        blocks.append(spark.sparkContext.broadcast((own, logs, np.log(np.array([there[x] for x in own], float) / total))))
+    return Model(blocks)
+
+
+def scored(docs: DataFrame, model: Model, least: float | None = None) -> DataFrame:
+    """docs with lang_pred and score, only rows with a score of least or more where that is given. A text that is null or has no letter:
+    "und", score 0. docs' columns keep their names, whatever these are."""
+    names, at = docs.columns, docs.columns.index("text")
+    rows = docs.toDF(*(f"c{k}" for k in range(len(names))))  # names with dots don't pass
+    own, n = [f"c{k} {f.dataType.simpleString()}" for k, f in enumerate(docs.schema.fields)], len(names)
+
+    def a_pass(shared, first: bool, last: bool):
+        def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                values, known = rated(batch.column(at).to_pylist(), shared.value)
+                before = fresh(batch.num_rows) if first else tuple(batch.column(n + k).to_numpy(zero_copy_only=False) for k in range(3))
+                best, name, total = merged(before, shared.value[0], values)
+                columns = [batch.column(k) for k in range(n)]
+                if not last:
+                    yield pa.RecordBatch.from_arrays([*columns, pa.array(best, pa.float64()), pa.array(name.tolist(), pa.string()), pa.array(total, pa.float64())], [*(f"c{k}" for k in range(n)), "best", "name", "total"])
+                    continue
+                labels, scores = told((best, name, total), known)
+                out = pa.RecordBatch.from_arrays([*columns, pa.array(labels, pa.string()), pa.array(scores, pa.float64())], [*(f"c{k}" for k in range(n)), "lang_pred", "score"])
+                yield out if least is None else out.filter(pa.array([s >= least for s in scores], pa.bool_()))
+
+        return score
+
+    for k, shared in enumerate(model.blocks):
+        last = k == len(model.blocks) - 1
+        rows = rows.mapInArrow(a_pass(shared, not k, last), ", ".join([*own, *(("lang_pred string", "score double") if last else ("best double", "name string", "total double"))]))
+    return rows.toDF(*names, "lang_pred", "score")
 
 
 def identify(docs: DataFrame) -> DataFrame:
@@ -187,7 +258,8 @@ def identify(docs: DataFrame) -> DataFrame:
     looked at.
     """
     model = train(docs.filter(~held_out()))
-    return predict(docs.withColumn("held_out", held_out()).select("doc_id", "held_out", "text"), model, "doc_id", "held_out")
+    rows = scored(docs.select("doc_id", held_out().alias("held_out"), "text"), model)
+    return rows.select("doc_id", "held_out", "lang_pred", "score")
 
 
 def keep_known(docs: DataFrame, least: float = LEAST_SCORE) -> DataFrame:
@@ -195,16 +267,6 @@ def keep_known(docs: DataFrame, least: float = LEAST_SCORE) -> DataFrame:
     are. Each row is judged by its own text, repeated ones alike; an empty table gives an empty result, and one without any lang nothing
     but what has no letter: its one answer has a score of 1.
     """
-    model = train(docs.filter(~held_out()))
-    plain = docs.toDF(*(f"c{k}" for k in range(len(docs.columns))))  # names with dots don't pass
-    fields = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in plain.schema.fields)
-    shared = docs.sparkSession.sparkContext.broadcast((model.languages, model.logs, model.priors))
-    at = docs.columns.index("text")
-
-    def choose(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = Model(*shared.value)
-        for batch in batches:
-            _, scores = own.predict(batch.column(at).to_pylist())  # 0 without a letter
-            yield batch.filter(pa.array([s >= least for s in scores], pa.bool_()))
-
-    return plain.mapInArrow(choose, fields).toDF(*docs.columns)
+    found = scored(docs, train(docs.filter(~held_out())), least)  # a score is 0 without a letter
+    n = len(docs.columns)
+    return found.toDF(*(f"c{k}" for k in range(n + 2))).select(*(f"c{k}" for k in range(n))).toDF(*docs.columns)

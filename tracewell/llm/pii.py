@@ -17,6 +17,7 @@ ended, which finds the same matches in linear time and without recursion, howeve
 from __future__ import annotations
 
 import random
+from collections.abc import Callable
 from dataclasses import dataclass
 from functools import lru_cache
 
@@ -33,9 +34,9 @@ BASE = {
 }
 #: Generators: kind, pattern, and what must be in the text ("0": a digit).
 GENERATORS = (
-    ("phone", "(?<![0-9A-Za-z+.-])\\(?[0-9]{2,5}\\)?(?:[\\x20./-]{1,2}\\(?[0-9]{2,5}\\)?){1,5}(?![0-9A-Za-z])", "0"),
-    ("email", "(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{1,64}+\\x20?(?:[\\[({](?i:at)[\\])}]|\\x20(?i:at)\\x20|@)\\x20?[A-Za-z0-9-]{1,63}+(?:\\x20?(?:\\.|[\\[({](?i:dot)[\\])}]|\\x20(?i:dot)\\x20)\\x20?[A-Za-z0-9-]{1,63}+){1,4}", "at"),
-    ("id", "(?<![0-9A-Za-z])(?:[0-9]{3}-[0-9]{2}-[0-9]{4}|[A-Z]{2}[0-9]{2}(?:\\x20?[A-Z0-9]{4}){3,7}(?:\\x20?[A-Z0-9]{1,3})?)(?![0-9A-Za-z])", "0"),
+    ("phone", "(?<![0-9A-Za-z+.-])\\(?[0-9]{2,}+\\)?(?:[\\x20./-]{1,2}+\\(?[0-9]{2,}+\\)?)++(?![0-9A-Za-z])", "0"),
+    ("email", "(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++\\x20?(?:[\\[({](?i:at)[\\])}]|\\x20(?i:at)\\x20|@)\\x20?[A-Za-z0-9-]++(?:\\x20?(?:\\.|[\\[({](?i:dot)[\\])}]|\\x20(?i:dot)\\x20)\\x20?[A-Za-z0-9-]++)++", "at"),
+    ("id", "(?<![0-9A-Za-z])(?:[0-9]{3}-[0-9]{2}-[0-9]{4}|[A-Z]{2}[0-9]{2}(?:\\x20?[A-Z0-9]{4}){3,}+(?:\\x20?[A-Z0-9]{1,3})?)(?![0-9A-Za-z])", "0"),
     ("secret", "(?i)(?<![a-z0-9])(?:password|passwd|passphrase|pwd|token|secret|api[_-]?key|access[_-]?key)[\"']?\\x20?[=:]\\x20?[\"']?[a-z0-9_/+.!#$%-]{6,}+={0,2}", "=:"),
 )
 KINDS = ("email", "ip", "card", "phone", "id", "secret")
@@ -44,14 +45,24 @@ FEATURES = ("digits", "separators", "letters", "length", "groups", "parens", "ph
 ROUNDS, SHRINK, PRECISION, SEED = 40, 0.3, 0.98, 11
 
 
-def prefix_sums(lengths: Column) -> Column:
-    """Sums of the elements up to each, in work near the number of elements: by blocks of 256 of them."""
-    zero, add = F.lit(0), lambda a, x: a + x
-    total = lambda first, n: F.aggregate(F.slice(lengths, first, n), zero, add)
-    blocks = F.when(F.size(lengths) > 0, F.transform(F.sequence(F.lit(0), F.ceil(F.size(lengths) / 256).cast("int") - 1), lambda b: total(F.lit(1), b * 256)))
-    parts = F.transform(F.sequence(F.lit(0), F.ceil(F.size(lengths) / 256).cast("int") - 1), lambda b: F.slice(lengths, b * 256 + 1, 256))
-    within = lambda part, before: F.transform(part, lambda _, k: before + F.aggregate(F.slice(part, 1, k + 1), zero, add))
-    return F.when(F.size(lengths) <= 256, F.transform(lengths, lambda _, k: total(F.lit(1), k + 1))).otherwise(F.flatten(F.zip_with(parts, blocks, within)))
+#: Elements of a block of a running total.
+RUN = 256
+
+
+def with_running(rows: DataFrame, values: str, name: str, least: int, join: Callable[[Column, Column], Column]) -> DataFrame:
+    """rows with the array column name: the elements of the array column values brought together by join, up to each, in work near the
+    number of elements: blocks of RUN of them, and blocks of their totals, each begin with what stands before them."""
+    zero = F.lit(least)
+    blocks = lambda of: F.transform(F.sequence(F.lit(0), F.greatest(F.ceil(F.size(of) / RUN).cast("int") - 1, F.lit(0))), lambda b: F.slice(of, b * RUN + 1, RUN))
+    totals = lambda of: F.transform(of, lambda part: F.aggregate(part, zero, join))
+    before = lambda of: F.transform(of, lambda _, k: F.aggregate(F.slice(of, F.lit(1), k), zero, join))
+    # of a part, what stands before or up to each of its elements, begun with what stands before the part
+    within = lambda up_to: lambda part, start: F.transform(part, lambda _, k: F.aggregate(F.slice(part, F.lit(1), k + up_to), start, join))
+    rows = rows.withColumn("__parts", blocks(F.col(values)))
+    rows = rows.withColumn("__tops", totals(F.col("__parts"))).withColumn("__wide", blocks(F.col("__tops")))
+    rows = rows.withColumn("__heads", totals(F.col("__wide"))).withColumn("__heads", before(F.col("__heads")))
+    rows = rows.withColumn("__tops", F.flatten(F.zip_with("__wide", "__heads", within(0))))
+    return rows.withColumn(name, F.flatten(F.zip_with("__parts", "__tops", within(1)))).drop("__parts", "__tops", "__wide", "__heads")
 
 
 def matches(rows: DataFrame, text: str, name: str, pattern: str, needs: Column) -> DataFrame:
@@ -60,9 +71,10 @@ def matches(rows: DataFrame, text: str, name: str, pattern: str, needs: Column)
     none = F.array().cast("array<string>")
     rows = rows.withColumn("__found", F.when(needs, F.regexp_extract_all(F.col(text), F.lit(pattern), F.lit(0))).otherwise(none))
     rows = rows.withColumn("__gaps", F.when(F.size("__found") > 0, F.split(F.col(text), pattern, -1)).otherwise(none))
-    rows = rows.withColumn("__ends", F.when(F.size("__found") > 0, prefix_sums(F.zip_with(F.slice("__gaps", 1, F.size("__found")), "__found", lambda g, v: F.length(g) + F.length(v)))).otherwise(F.array().cast("array<int>")))
+    rows = rows.withColumn("__sizes", F.zip_with(F.slice("__gaps", F.lit(1), F.size("__found")), "__found", lambda g, v: F.length(g) + F.length(v)))
+    rows = with_running(rows, "__sizes", "__ends", 0, lambda a, x: a + x)
     span = lambda v, k: F.struct((F.get("__ends", k) - F.length(v)).alias("start"), F.get("__ends", k).alias("end"), v.alias("value"), F.right(F.get("__gaps", k), F.lit(LEFT)).alias("left"), F.left(F.get("__gaps", k + 1), F.lit(RIGHT)).alias("right"))
-    return rows.withColumn(name, F.when(F.size("__found") > 0, F.transform("__found", span)).otherwise(F.array().cast("array<struct<start:int,end:int,value:string,left:string,right:string>>"))).drop("__found", "__gaps", "__ends")
+    return rows.withColumn(name, F.when(F.size("__found") > 0, F.transform("__found", span)).otherwise(F.array().cast("array<struct<start:int,end:int,value:string,left:string,right:string>>"))).drop("__found", "__gaps", "__sizes", "__ends")
 
 
 def digits(value: Column) -> Column:
@@ -207,8 +219,10 @@ def fit(x: np.ndarray, kinds: list[str], labels: np.ndarray) -> Model:
     p, thresholds = 1 / (1 + np.exp(-(slope * rest + shift))), {}
     for kind in dict.fromkeys(kinds):
         mine = np.array([k == kind for k in kinds])[~own]
-        good = [t for t in np.unique(p[mine]) if truth[mine & (p >= t)].mean() >= PRECISION]
-        thresholds[kind] = max(0.5, float(min(good, default=1.0)))
+        steps = np.unique(p[mine])
+        good = [k for k, t in enumerate(steps) if truth[mine & (p >= t)].mean() >= PRECISION]
+        # half-way between the least likely example that may be selected and the likeliest that may not
+        thresholds[kind] = float((steps[good[0]] + (steps[good[0] - 1] if good[0] else 0)) / 2) if good else 1.0
     return Model(start, tuple(trees), slope, shift, thresholds)
 
 
@@ -252,18 +266,6 @@ BASE_RANK = 2.0
 SCORED = "array<struct<start:int,kind_no:int,kind:string,end:int,p:double>>"
 
 
-def with_prefix_max(rows: DataFrame, values: str, name: str) -> DataFrame:
-    """rows with the array column name: the largest of the elements of values (not negative) up to each, in work near the number of
-    elements: by blocks of 256 of them."""
-    least, most = F.lit(-1), lambda a, x: F.greatest(a, x)
-    numbers = F.sequence(F.lit(0), F.greatest(F.ceil(F.size(values) / 256).cast("int") - 1, F.lit(0)))
-    rows = rows.withColumn("__parts", F.transform(numbers, lambda b: F.slice(values, b * 256 + 1, 256)))
-    rows = rows.withColumn("__tops", F.transform("__parts", lambda part: F.aggregate(part, least, most)))
-    before = F.transform("__tops", lambda _, k: F.aggregate(F.slice("__tops", F.lit(1), k), least, most))
-    within = lambda part, high: F.transform(part, lambda _, k: F.greatest(high, F.aggregate(F.slice(part, 1, k + 1), least, most)))
-    return rows.withColumn(name, F.flatten(F.zip_with("__parts", before, within))).drop("__parts", "__tops")
-
-
 def with_selected(rows: DataFrame) -> DataFrame:
     """rows with added: of every (spans in order of start, p the probability or BASE_RANK; null: none) those that overlap no base span,
     nor a likelier one (ties: the earlier start, then kind) of those that overlap no base span.
@@ -273,7 +275,7 @@ def with_selected(rows: DataFrame) -> DataFrame:
     apart = lambda a, b: (a["end"] <= b["start"]) | (b["end"] <= a["start"])
     ahead = lambda a, b: (a["p"] > b["p"]) | ((a["p"] == b["p"]) & ((a["start"] < b["start"]) | ((a["start"] == b["start"]) & (a["kind_no"] < b["kind_no"]))))
     base = lambda s: s["p"] == F.lit(BASE_RANK)
-    rows = with_prefix_max(rows.withColumn("__stops", F.transform("every", lambda s: s["end"])), "__stops", "__high")
+    rows = with_running(rows.withColumn("__stops", F.transform("every", lambda s: s["end"])), "__stops", "__high", -1, lambda a, x: F.greatest(a, x))
     open_ = F.zip_with("every", F.concat(F.array(F.lit(-1)), F.slice("__high", F.lit(1), F.greatest(F.size("every") - 1, F.lit(0)))), lambda s, high: high <= s["start"])
     rows = rows.withColumn("__firsts", F.filter(F.transform(open_, lambda own, k: F.when(own, k)), lambda k: k.isNotNull()))
     ends = F.concat(F.slice("__firsts", F.lit(2), F.size("__firsts")), F.array(F.size("every")))
@@ -316,10 +318,9 @@ def _of(kind: str):
 
 def redact(docs: DataFrame, model: Model | None = None) -> DataFrame:
     """docs with a column redacted: text with each found span replaced by its kind in brackets (overlapping spans as one, by the
-    first kind). A null text stays null."""
-    keyed = docs.withColumn("__row", F.struct(*docs.columns))
-    found = detect(keyed.select(F.col("__row").alias("doc_id"), "text"), model)
-    text = F.col("doc_id.text")
+    first kind), in the place of any column of that name. Other columns stay, whatever their names. A null text stays null."""
+    keyed = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("doc_id"), F.col("text"))
+    found, text = detect(keyed, model).withColumnRenamed("doc_id", "__row"), F.col("__row").getField("text")
     step = lambda a, s: F.when(s["end"] <= a["at"], a).otherwise(F.struct(F.concat(a["out"], F.substring(text, a["at"] + 1, F.greatest(s["start"] - a["at"], F.lit(0))), F.when(s["start"] >= a["at"], F.concat(F.lit("["), s["kind"], F.lit("]"))).otherwise("")).alias("out"), s["end"].alias("at")))
     redacted = F.aggregate("spans", F.struct(F.lit("").alias("out"), F.lit(0).alias("at")), step, lambda a: F.concat(a["out"], F.substring(text, a["at"] + 1, F.length(text))))
-    return found.withColumn("redacted", redacted).select("doc_id.*", "redacted")
+    return found.select(*(F.col("__row").getField(c).alias(c) for c in docs.columns if c != "redacted"), redacted.alias("redacted"))

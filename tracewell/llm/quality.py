@@ -9,6 +9,7 @@ a worker keeps a bounded table of words it has met with their sums.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -20,7 +21,10 @@ BUCKETS, DIMENSIONS, ORDERS, LAGS = 1 << 17, 12, (3, 4, 5), 8
 #: Labelled documents that training reads at most, about, and their characters; a hash of doc_id picks them.
 TRAIN_ROWS, TRAIN_CHARS = 5_000, 60_000_000
 EPOCHS, BATCH, RATE, SEED = 6, 16, 0.8, 5
+#: Letters whose n-grams are hashed at once.
+LETTERS = 1 << 19
 _MIX = np.uint64(0x9E3779B97F4A7C15)
+_SPACE = re.compile("\\s")
 
 
 def word_features(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
@@ -51,39 +55,84 @@ def repeats(numbers: np.ndarray) -> np.ndarray:
     return np.array([np.count_nonzero(numbers[k:] == numbers[:-k]) for k in range(1, LAGS + 1)])
 
 
+def parts(text: str, most: int) -> Iterator[list[str]]:
+    """The words of text in order, in lists of at most ``most``, some letters at a time."""
+    at = 0
+    while at < len(text):
+        cut = _SPACE.search(text, at + LETTERS)
+        end = cut.end() if cut else len(text)
+        words = text[at:end].split()
+        for k in range(0, len(words), most):
+            yield words[k : k + most]
+        at = end
+
+
 class Scorer:
-    """weight: each row's part in the class difference; bias."""
+    """weight: each row's part in the class difference; bias. table_size: words whose sums a worker keeps."""
 
     def __init__(self, weight: np.ndarray, bias: float, table_size: int = 500_000):
         self.weight, self.bias, self.table_size = weight, bias, table_size
-        self._clear()
-
-    def _clear(self) -> None:
         self.at: dict[str, int] = {}
         self.sums, self.counts = np.zeros(0), np.zeros(0)
 
+    def learn(self, words: list[str]) -> None:
+        """Puts words that the table does not have into it, some letters at a time, as each takes some hundred bytes meanwhile."""
+        n, end, cut, size = len(self.at), len(self.at) + len(words), [0], 0
+        if end > len(self.sums):
+            more = np.zeros(max(len(self.sums), end - len(self.sums), 4096))
+            self.sums, self.counts = np.concatenate([self.sums, more]), np.concatenate([self.counts, more])
+        for k, w in enumerate(words):
+            if size and size + len(w) + 3 > LETTERS:  # a longer word stands alone
+                cut.append(k)
+                size = 0
+            size += len(w) + 3
+        for a, b in zip(cut, [*cut[1:], len(words)]):
+            if b - a == 1 and len(words[a]) + 3 > LETTERS:
+                self.sums[n + a], self.counts[n + a] = self.of_long(words[a])
+            elif b > a:
+                bucket, owner = word_features(words[a:b])
+                self.sums[n + a : n + b] = np.bincount(owner, self.weight[bucket], minlength=b - a)
+                self.counts[n + a : n + b] = np.bincount(owner, minlength=b - a)
+        self.at.update(zip(words, range(n, end)))
+
+    def of_long(self, word: str) -> tuple[float, int]:
+        """(sum, count) of one word's features, its n-grams taken from pieces that overlap."""
+        from xxhash import xxh64_intdigest
+
+        total, n = float(self.weight[xxh64_intdigest(word.encode("utf-8", "surrogatepass")) % BUCKETS]), 1
+        marked, most = f"<{word}>", max(ORDERS)
+        for first in range(0, len(marked), LETTERS):
+            points = np.frombuffer(marked[first : first + LETTERS + most - 1].encode("utf-32-le", "surrogatepass"), np.uint32)
+            hashed, own = np.zeros(len(points), np.uint64), min(LETTERS, len(marked) - first)
+            for k in range(min(most, len(points))):
+                hashed = (hashed[: len(points) - k] + points[k:]) * _MIX
+                if k + 1 in ORDERS:  # those that begin in this piece
+                    total += float(self.weight[((hashed[:own] >> np.uint64(40)).astype(np.int64)) % BUCKETS].sum())
+                    n += len(hashed[:own])
+        return total, n
+
     def score(self, text: str | None) -> float:
-        words = (text or "").split()
-        if not words:
-            return 1 / (1 + np.exp(-self.bias))
-        try:
-            where = np.fromiter(map(self.at.__getitem__, words), np.int64, len(words))
-        except KeyError:
-            new = [w for w in dict.fromkeys(words) if w not in self.at]
-            if len(self.at) + len(new) > self.table_size:
-                self._clear()
-                new = list(dict.fromkeys(words))
-            bucket, owner = word_features(new)
-            n = len(self.at)
-            if n + len(new) > len(self.sums):
-                more = np.zeros(max(len(self.sums), len(new), 4096))
-                self.sums, self.counts = np.concatenate([self.sums, more]), np.concatenate([self.counts, more])
-            self.sums[n : n + len(new)] = np.bincount(owner, self.weight[bucket], minlength=len(new))
-            self.counts[n : n + len(new)] = np.bincount(owner, minlength=len(new))
-            self.at.update(zip(new, range(n, n + len(new))))
-            where = np.fromiter(map(self.at.__getitem__, words), np.int64, len(words))
-        same = repeats(where)
-        margin = (self.sums[where].sum() + self.weight[BUCKETS:] @ same) / (self.counts[where].sum() + same.sum()) + self.bias
+        """The share of class 1, added up over parts of the text."""
+        total, n, same, tail = 0.0, 0, np.zeros(LAGS, np.int64), []
+        for part in parts(text or "", self.table_size):
+            try:
+                where = np.fromiter(map(self.at.__getitem__, part), np.int64, len(part))
+            except KeyError:
+                new = [w for w in dict.fromkeys(part) if w not in self.at]
+                if len(self.at) + len(new) > self.table_size:
+                    self.at = {}
+                    new = list(dict.fromkeys(part))
+                self.learn(new)
+                where = np.fromiter(map(self.at.__getitem__, part), np.int64, len(part))
+            total += float(self.sums[where].sum())
+            n += int(self.counts[where].sum())
+            same += repeats(where)
+            for k in range(1, LAGS + 1):  # equal words on both sides of a cut
+                same[k - 1] += sum(tail[len(tail) - k + j] == part[j] for j in range(max(0, k - len(tail)), min(k, len(part))))
+            tail = (tail + part[-LAGS:])[-LAGS:]
+        if not n:
+            return float(1 / (1 + np.exp(-self.bias)))
+        margin = (total + self.weight[BUCKETS:] @ same) / (n + same.sum()) + self.bias
         return float(1 / (1 + np.exp(-np.clip(margin, -500, 500))))
 
 
