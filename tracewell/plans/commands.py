@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from tracewell.operators import evaluate, selection
 from tracewell.plans import pipeline
 from tracewell.sources import readers, sinks
+from tracewell.sources import schemas as S
 
 
 def truth_of(spark: SparkSession, paths: list[str]) -> DataFrame | None:
@@ -29,7 +30,7 @@ def both(spark: SparkSession, a: argparse.Namespace) -> DataFrame:
     alltime = pipeline.choose_ids(catalog, a.alltime_top, None, None, a.deduplicate)
     ids = selection.union_ids(monthly, alltime).withColumn("pos", F.col("id"))  # a union is sorted by id
     rows = pipeline.run(spark, a.snapshots, a.out, ids=ids, answers=spark.read.parquet(a.answers) if a.answers else None, truth=truth_of(spark, a.ground_truth))
-    record = spark.read.json(f"{a.out}/results") if rows.limit(1).count() else rows.select("id")
+    record = readers.json_documents(spark, f"{a.out}/results", S.RESULTS)
     sinks.run_snapshot({"results": record}, monthly, f"{a.out}/runs", f"top{a.monthly_top}_per_month")
     sinks.run_snapshot({"results": record}, alltime, f"{a.out}/runs", f"top{a.alltime_top}")
     return selection.overlap(monthly, alltime)
@@ -37,9 +38,8 @@ def both(spark: SparkSession, a: argparse.Namespace) -> DataFrame:
 
 def scored(spark: SparkSession, results: str, truth: DataFrame) -> DataFrame:
     """Written results against labels."""
-    rows = spark.read.json(results).select("id", "conclusion.*")
-    source = F.col("chip_provider_source") if "chip_provider_source" in rows.columns else F.lit(None).cast("string")
-    return evaluate.scored(rows.select("id", "chip_provider", source.alias("chip_provider_source"), "chip_provider_confidence"), truth)
+    rows = readers.json_documents(spark, results, S.RESULTS).select("id", "conclusion.*")
+    return evaluate.scored(rows.select("id", "chip_provider", "chip_provider_source", "chip_provider_confidence"), truth)
 
 
 def report(spark: SparkSession, a: argparse.Namespace) -> dict[str, DataFrame]:
@@ -106,7 +106,7 @@ def main(args: list[str] | None = None) -> None:
     elif a.command == "both":
         both(spark, a).show()
     elif a.command == "snapshot":
-        sinks.run_snapshot({"results": spark.read.json(a.results)}, readers.id_list(spark, a.ids_file) if a.ids_file else None, a.out, a.suffix)
+        sinks.run_snapshot({"results": readers.json_documents(spark, a.results, S.RESULTS)}, readers.id_list(spark, a.ids_file) if a.ids_file else None, a.out, a.suffix)
     elif a.command == "report":
         for name, rows in report(spark, a).items():
             print(name)

@@ -22,6 +22,7 @@ from tracewell.operators import text as T
 from tracewell.operators.inherit import inherit
 from tracewell.operators.predicates import SNIPPETS
 from tracewell.plans.pipeline import link_and_rank, results
+from tracewell.sources import readers, sinks
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -41,14 +42,20 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def keeper(spark: SparkSession) -> Callable[[DataFrame], DataFrame]:
-    """Writes a table to the shared folder and reads it back. Where the session names none: a temporary one in local mode, else an error."""
+def shared_dir(spark: SparkSession) -> str:
+    """The folder that driver and executors share. Where the session names none: a temporary one in local mode, else an error."""
     shared = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not shared:
         if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
             raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         shared = f"file://{tempfile.mkdtemp(prefix='tracewell-')}"
         spark.sparkContext.setCheckpointDir(shared)
+    return shared.rstrip("/")
+
+
+def keeper(spark: SparkSession) -> Callable[[DataFrame], DataFrame]:
+    """Writes a table to the shared folder and reads it back."""
+    shared = shared_dir(spark)
 
     def keep(df: DataFrame) -> DataFrame:
         path = f"{shared}/tracewell/kept-{uuid.uuid4().hex}"
@@ -590,6 +597,20 @@ def answer_parse(spark, sf_dir):
     return fusion.parse_answers(rows).select("id", "conclusion", "confidence")
 
 
+_FORMS = ("lines", "array", "one file")
+
+
+@query(f"SELECT doc_id, text, lang, source, n_chars, form FROM documents CROSS JOIN (SELECT unnest({list(_FORMS)}) AS form)")
+def json_round_trip(spark, sf_dir):
+    """Documents written as JSON lines and as an array, in parts and in one file, as they are read back."""
+    docs, path = table(spark, sf_dir, "documents"), f"{shared_dir(spark)}/tracewell/json-{uuid.uuid4().hex}"
+    sinks.json_documents(docs, f"{path}/lines")
+    sinks.json_array(docs, f"{path}/array", ["doc_id"], f"{path}/array.json".removeprefix("file:"))
+    schema = "doc_id long, text string, lang string, source string, n_chars long"
+    rows = [readers.json_documents(spark, f"{path}/{name}", schema).withColumn("form", F.lit(form)) for form, name in zip(_FORMS, ("lines", "array", "array.json"))]
+    return rows[0].unionByName(rows[1]).unionByName(rows[2])
+
+
 # --- without SQL: tested against brute force --------------------------------------------------------------------------
 
 

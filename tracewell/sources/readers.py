@@ -9,6 +9,7 @@ from pyspark.sql.window import Window
 from tracewell.functions.expr import rx
 from tracewell.functions.ordered import first_per_key
 from tracewell.operators.selection import year_month
+from tracewell.sources import arrays
 from tracewell.sources import schemas as S
 
 _CSV = {"header": True, "multiLine": True, "escape": '"', "quote": '"', "maxCharsPerColumn": -1, "encoding": "UTF-8"}
@@ -28,16 +29,53 @@ def id_list(spark: SparkSession, path: str) -> DataFrame:
     return first_per_key(rows.filter("id <> '' AND NOT startswith(id, '#')"), ["id"], ["pos"])
 
 
+def _first_file(system, status):
+    """The first file, by name, with any content at or under a path; names that begin with a dot or an underscore don't count."""
+    if status.isFile():
+        return status if status.getLen() else None
+    below = sorted((x for x in system.listStatus(status.getPath()) if x.getPath().getName()[0] not in "._"), key=lambda x: x.getPath().getName())
+    return next((f for x in below if (f := _first_file(system, x)) is not None), None)
+
+
+def json_form(spark: SparkSession, path: str) -> str | None:
+    """How a file or folder holds its documents: "indexed" (an array folder of ``arrays``), "array", "lines", or null where the path is
+    missing. What a file's first character is tells, of a folder that of its first file: a writer's files are of one form."""
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    place = jvm.org.apache.hadoop.fs.Path(path)
+    system = place.getFileSystem(conf)
+    if not system.exists(place):
+        return None
+    status = system.getFileStatus(place)
+    if status.isDirectory() and system.exists(jvm.org.apache.hadoop.fs.Path(place, arrays.INDEX)):
+        return "indexed"
+    first = _first_file(system, status)
+    if first is None:
+        return "lines"
+    stream = system.open(first.getPath())
+    try:
+        codec = jvm.org.apache.hadoop.io.compress.CompressionCodecFactory(conf).getCodec(first.getPath())
+        own = stream if codec is None else codec.createInputStream(stream)
+        byte = own.read()
+        while byte in b" \t\r\n\xef\xbb\xbf":  # white space and a mark of byte order
+            byte = own.read()
+        return "array" if byte == ord("[") else "lines"
+    finally:
+        stream.close()
+
+
 def json_documents(spark: SparkSession, path: str, schema: str) -> DataFrame:
-    """A file that holds one JSON array, or JSON lines."""
-    return spark.read.schema(schema).option("multiLine", True).json(path)
+    """Documents of a file or folder, in whichever of three forms it holds them: JSON lines, JSON arrays (a file each), or an array that
+    ``arrays.write`` has left in parts. Files of one array are read whole by one task each, the other forms split. A missing path is an
+    error."""
+    form = json_form(spark, path)
+    if form == "indexed":
+        return arrays.scan(spark, path, schema)
+    return spark.read.schema(schema).option("multiLine", form == "array").json(path)
 
 
 def optional(spark: SparkSession, path: str, schema: str) -> DataFrame:
     """json_documents, or no rows where the path is missing."""
-    hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
-    there = hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).exists(hadoop)
-    return json_documents(spark, path, schema) if there else spark.createDataFrame([], schema)
+    return json_documents(spark, path, schema) if json_form(spark, path) else spark.createDataFrame([], schema)
 
 
 def cards(spark: SparkSession, path: str) -> DataFrame:

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tracewell.operators.selection import snapshot
+from tracewell.sources import arrays
 
 
 def catalog_csv(catalog: DataFrame, path: str) -> None:
@@ -19,9 +20,16 @@ def id_list(ids: DataFrame, path: str) -> None:
     ids.orderBy("pos").select("id").coalesce(1).write.mode("overwrite").text(path)
 
 
-def json_documents(df: DataFrame, path: str) -> None:
-    """JSON lines, null fields left out."""
-    df.write.mode("overwrite").option("ignoreNullFields", True).json(path)
+def json_documents(df: DataFrame, path: str, keep_nulls: bool = False) -> None:
+    """JSON lines, null fields left out or kept."""
+    df.write.mode("overwrite").option("ignoreNullFields", not keep_nulls).json(path)
+
+
+def json_array(df: DataFrame, path: str, order: list[Column | str] | None = None, file: str | None = None) -> None:
+    """One JSON array, nulls kept, in the order given: a folder of committed parts and, where a file is named, that file besides."""
+    arrays.write(df, path, order)
+    if file:
+        arrays.assemble(df.sparkSession, path, file)
 
 
 def run_snapshot(artifacts: dict[str, DataFrame], ids: DataFrame | None, path: str, suffix: str) -> None:
