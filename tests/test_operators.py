@@ -54,12 +54,12 @@ def test_link_ranking(spark):
     reasons = {r["link"]: r["reasons"] for r in ranking.repo_candidates(cards).collect()}
     assert {"model name in repo name", "org exact match", "very early in card", "intro keyword context"} == set(reasons[own[0]])
     assert "inside table row" in reasons[own[1]] and "only in pip install context" in reasons[own[2]] and "inside bibtex" in reasons[own[3]]
-    rows = {r["id"]: r for r in ranking.choose(cards, ranking.repo_candidates(cards), "github").collect()}
+    rows = {r["id"]: r for r in ranking.choose(cards, "github").collect()}
     assert (rows["openai/whisper-large"]["main_github"], rows["openai/whisper-large"]["main_github_confidence"]) == (own[0], 0.95)
     assert (rows["a/b"]["main_github"], rows["a/b"]["main_github_confidence"]) == (None, 0.0)
-    papers = ranking.choose(cards, ranking.paper_candidates(cards), "arxiv").filter("id <> 'a/b'").first()
+    papers = ranking.choose(cards, "arxiv").filter("id <> 'a/b'").first()
     assert papers["main_arxiv"] == "https://arxiv.org/abs/2212.04356" and papers["main_arxiv_confidence"] >= 0.7
-    taken = ranking.take_answers(ranking.choose(cards, ranking.repo_candidates(cards), "github"), spark.createDataFrame([("openai/whisper-large", own[2])], "id string, answer string"), "github")
+    taken = ranking.take_answers(ranking.choose(cards, "github"), spark.createDataFrame([("openai/whisper-large", own[2])], "id string, answer string"), "github")
     assert taken.filter("main_github_source = 'llm'").count() == 1
 
 

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from tracewell.functions import fixed_values as V
 from tracewell.functions.expr import noisy_or, py_round, spans
-from tracewell.functions.ordered import append_new
+from tracewell.functions.ordered import append_new, stable_argmax
 from tracewell.operators import evaluate, fusion, links, predicates, ranking, scan, selection, verdicts
 from tracewell.operators import text as T
 from tracewell.operators.inherit import inherit
@@ -334,7 +334,7 @@ SELECT l_orderkey, l_linenumber, CASE WHEN n = 1 THEN least(1.0, 0.7::DOUBLE + g
 def link_rank(spark, sf_dir):
     rows = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", (F.col("l_quantity").cast("int") % 12 - 3).alias("score"))
     n = rows.groupBy("l_orderkey").count()
-    best = ranking.stable_argmax(rows, ["l_orderkey"], "score", "l_linenumber").join(n, "l_orderkey")
+    best = stable_argmax(rows, ["l_orderkey"], "score", "l_linenumber").join(n, "l_orderkey")
     return best.select("l_orderkey", "l_linenumber", ranking.confidence(F.col("score"), F.coalesce("second", F.lit(-10)), F.col("count")).alias("confidence"))
 
 
@@ -409,7 +409,7 @@ FROM documents d LEFT JOIN f r ON r.doc_id = d.doc_id AND r.kind = 'repo' LEFT J
 def link_answers(spark, sf_dir):
     """The best candidate of each kind and its confidence, which of them are to be reviewed, and recorded answers: of those only a candidate counts."""
     rows = _told(spark, sf_dir)
-    best = ranking.choose(ranking.choose(rows, ranking.repo_candidates(rows), "github"), ranking.paper_candidates(rows), "arxiv")
+    best = ranking.choose(ranking.choose(rows, "github"), "arxiv")
     queue = ranking.review_queue(best, "github").select("id", F.lit(True).alias("review"))
     answers = rows.select("id", F.when(F.col("doc_id") % 3 == 0, _OTHER).otherwise("https://github.com/not/there").alias("answer"))
     out = ranking.take_answers(best, answers, "github").join(queue, "id", "left")
