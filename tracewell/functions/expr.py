@@ -9,14 +9,18 @@ from operator import and_, or_
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from tracewell.functions.literals import FOLDING, Gate, gate
+from tracewell.functions.literals import FOLDING, Gate, first_class, gate
 
 SPAN = "array<struct<start:int,end:int>>"
 
 
 def rx(pattern: str, flags: str = "iUd") -> str:
-    """The pattern for Java as Python's re reads it on str: Unicode classes (U), only LF ends a line (d), any case (i)."""
-    return f"(?{flags}){pattern}"
+    """The pattern for Java as Python's re reads it on str: Unicode classes (U), only LF ends a line (d), any case (i).
+
+    A match in any case is tried only where a character stands that it can begin with: a plain class tells that many times faster
+    than word bounds and letters in any case, which are tables of Unicode."""
+    first = first_class(pattern) if "i" in flags and "x" not in flags else None
+    return f"(?={first})(?{flags}){pattern}" if first else f"(?{flags}){pattern}"
 
 
 def found(text: Column | str, pattern: str, flags: str = "iUd") -> Column:

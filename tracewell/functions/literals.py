@@ -82,6 +82,50 @@ def gate(pattern: str) -> Gate | None:
     return _gate(P.parse(pattern, re.IGNORECASE))
 
 
+def _first(items) -> tuple[set[str] | None, bool]:
+    """(characters that a match of items can begin with, null if unknown; whether items can match nothing)."""
+    out: set[str] = set()
+    for op, arg in items:
+        own: set[str] | None = None
+        empty = False
+        if op in (C.AT, C.ASSERT, C.ASSERT_NOT):
+            continue
+        if op is C.LITERAL:
+            own = {chr(arg)}
+        elif op is C.IN and all(k in (C.LITERAL, C.RANGE) for k, _ in arg):
+            own = {chr(c) for k, v in arg for c in ([v] if k is C.LITERAL else range(v[0], min(v[1], v[0] + MOST_FIRST) + 1))}
+        elif op is C.SUBPATTERN:
+            own, empty = _first(arg[-1])
+        elif op is C.ATOMIC_GROUP:
+            own, empty = _first(arg)
+        elif op is C.BRANCH:
+            each = [_first(a) for a in arg[1]]
+            own, empty = (set().union(*(s for s, _ in each)) if all(s is not None for s, _ in each) else None), any(e for _, e in each)
+        elif op in (C.MAX_REPEAT, C.MIN_REPEAT, C.POSSESSIVE_REPEAT):
+            own, empty = _first(arg[2])
+            empty |= arg[0] == 0
+        if own is None:
+            return None, False
+        out |= own
+        if not empty:
+            return out, False
+    return out, True
+
+
+#: Characters of a class up to which it is worth a test, and those beyond both cases that a letter matches in any case.
+MOST_FIRST, ALSO = 40, {"k": "\u212a", "s": "\u017f", "i": "\u0131\u0130"}
+
+
+@lru_cache(maxsize=None)
+def first_class(pattern: str) -> str | None:
+    """A class of all characters that a match in any case can begin with; null where there are too many, or none can be told."""
+    own, empty = _first(P.parse(pattern, re.IGNORECASE))
+    if own is None or empty or len(own) > MOST_FIRST or any(c.lower() != c.upper() and not c.isascii() for c in own):
+        return None
+    every = {x for c in own for x in (c.lower(), c.upper(), *ALSO.get(c.lower(), ""))}
+    return "[" + "".join(c if c.isascii() and c.isalnum() else f"\\x{{{ord(c):x}}}" for c in sorted(every)) + "]"
+
+
 def passes(gate: Gate | None, low: str) -> bool:
     """Whether a lower-cased text has what the gate asks for."""
     if gate is None or isinstance(gate, str):
