@@ -85,3 +85,29 @@ def test_rounding(spark):
 def test_noisy_or_and_windows(spark):
     r = spark.range(1).select(noisy_or(F.array(F.lit(0.6), F.lit(None).cast("double"), F.lit(0.6), F.lit(-1.0))).alias("n"), window(F.lit("😀bcdef"), F.lit(-3), F.lit(2)).alias("a"), window(F.lit("abc"), F.lit(2), F.lit(90)).alias("b"), window(F.lit("abc"), F.lit(2), F.lit(1)).alias("c")).first()
     assert abs(r["n"] - 0.84) < 1e-12 and (r["a"], r["b"], r["c"]) == ("😀b", "c", "")
+
+
+def test_first_class_loses_no_match(spark):
+    """Patterns with the class of first characters find what they find without it, in any case, letters that fold included."""
+    import random
+
+    from pyspark.sql import functions as F
+
+    from tracewell.functions import fixed_values as V
+    from tracewell.functions.expr import rx
+    from tracewell.functions.literals import first_class
+
+    assert first_class("\\bA100\\b") == "[Aa]" and first_class("(?:NVIDIA\\s+)?k80|x?") is None and first_class("\\d+ GPUs") is None
+    assert first_class("(?:si|K)x") == "[KSks\\x{17f}\\x{212a}]" and first_class("a?b*[cd]") == "[ABCDabcd]" and first_class("x\\z") is None
+    rng = random.Random(8)
+    patterns = [p for own in V.SIGNALS.values() for level in own.values() for p in level] + [V.NEGATION, V.COMPARISON, V.EXPORT, V.HARDWARE_LITERAL, V.LAUNCHER, V.CONDITIONAL, V.RUNTIME_NOISE]
+    words = [w for p in patterns for w in __import__("re").findall(r"[A-Za-z0-9.]{2,}", p)]
+    fold = {"k": "K", "s": "ſ", "i": "ı", "I": "İ"}
+    texts = []
+    for _ in range(300):
+        t = " ".join(rng.choice(words) for _ in range(12))
+        texts.append("".join(fold.get(c, c.upper() if rng.random() < 0.5 else c) if rng.random() < 0.3 else c for c in t))
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    for p in patterns[::6] + patterns[-7:]:
+        own, plain = (F.regexp_extract_all("t", F.lit(x), F.lit(0)) for x in (rx(p), f"(?iUd){p}"))
+        assert df.filter(~own.eqNullSafe(plain)).count() == 0, p

@@ -118,8 +118,12 @@ MOST_FIRST, ALSO = 40, {"k": "\u212a", "s": "\u017f", "i": "\u0131\u0130"}
 
 @lru_cache(maxsize=None)
 def first_class(pattern: str) -> str | None:
-    """A class of all characters that a match in any case can begin with; null where there are too many, or none can be told."""
-    own, empty = _first(P.parse(pattern, re.IGNORECASE))
+    """A class of all characters that a match in any case can begin with; null where there are too many, or none can be told, as of
+    patterns that only Java reads."""
+    try:
+        own, empty = _first(P.parse(pattern, re.IGNORECASE))
+    except re.error:
+        return None
     if own is None or empty or len(own) > MOST_FIRST or any(c.lower() != c.upper() and not c.isascii() for c in own):
         return None
     every = {x for c in own for x in (c.lower(), c.upper(), *ALSO.get(c.lower(), ""))}
