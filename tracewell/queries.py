@@ -653,6 +653,12 @@ def _snapshots(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame,
     return models, files.select("owner", "repo", "path", F.col("path_pos").cast("int").alias("path_pos")), files.select("owner", "repo", "path", "content"), papers
 
 
+def _rendered(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Renderings (arxiv_id, html) of papers, one for each page: long enough ones, some without a telling heading, and short ones."""
+    told = F.concat(F.lit("<p>"), F.element_at(F.array(*(F.lit(f"We trained on {c} for 12 days") for c in CHIPS)), (F.col("page_id") % 7 + 1).cast("int")), F.lit(".</p>"))
+    return table(spark, sf_dir, "pages").select(F.format_string("2401.%05d", "page_id").alias("arxiv_id"), F.when(F.col("page_id") % 4 == 3, F.col("html")).otherwise(F.concat(F.expr(_RENDER), told)).alias("html"))
+
+
 @query()
 def code_verdicts(spark, sf_dir):
     models, tree, files, _ = _snapshots(spark, sf_dir)
@@ -663,7 +669,7 @@ def code_verdicts(spark, sf_dir):
 @query()
 def paper_verdicts(spark, sf_dir):
     models, _, _, papers = _snapshots(spark, sf_dir)
-    out = verdicts.paper_verdicts(models, spark.createDataFrame([], "arxiv_id string, html string"), papers, keeper(spark))
+    out = verdicts.paper_verdicts(models, _rendered(spark, sf_dir), papers, keeper(spark))
     return out.select("id", "chip_provider", "chip_provider_score", "chip_provider_confidence", F.array_join("detection_sections", ",").alias("detection_sections"), "source_render", "error")
 
 
@@ -677,13 +683,29 @@ def link_choice(spark, sf_dir):
     return link_and_rank(_linked(spark, sf_dir)).select("id", "main_github", "main_github_confidence", "main_arxiv", "main_arxiv_confidence")
 
 
+def _told_of(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Cards (id, modelcard, pos, year, month) of the models of _snapshots, mirrors too, that name their repository and paper, and others."""
+    k = F.col("doc_id")
+    own = F.concat(F.lit("\nCode: https://github.com/org"), (k % 13).cast("string"), F.lit("/repo"), k.cast("string"), F.lit(" and https://github.com/huggingface/transformers, our paper https://arxiv.org/abs/"), F.format_string("2401.%05d", k), F.lit(", see also https://arxiv.org/abs/1706.03762\n"))
+    ids = F.when(k % 10 == 0, F.array("id", F.concat("id", F.lit("-mirror")))).otherwise(F.array("id"))
+    return cards(spark, sf_dir).select(F.posexplode(ids).alias("n", "id"), F.concat("card", own).alias("modelcard"), k, F.lit(2024).alias("year"), F.lit(1).alias("month")).select("id", "modelcard", (k * 2 + F.col("n")).alias("pos"), "year", "month")
+
+
+def _answers(rows: DataFrame) -> DataFrame:
+    """Recorded answers (id, answer): a good quote, one that no card has, and none."""
+    kind = F.pmod(F.xxhash64("id"), F.lit(3))
+    quote = F.when(kind == 0, "Usage Deploy it with vLLM.").when(kind == 1, "trained on a moon base of nine lunar reactors")
+    return rows.filter(quote.isNotNull()).select("id", F.concat(F.lit('training_evidence: "'), quote, F.lit('"\nconclusion: amd\nconfidence: high')).alias("answer"))
+
+
 @query()
 def end_to_end(spark, sf_dir):
+    """Links of cards, the choice among them, verdicts of card, chosen repository and chosen paper (HTML, or else plain text), fusion,
+    recorded answers and inheritance, each from what the one before it gave."""
     keep = keeper(spark)
-    models, tree, files, papers = _snapshots(spark, sf_dir)
-    rows = keep(link_and_rank(_linked(spark, sf_dir)).drop("main_github", "main_arxiv").join(models, "id"))
-    card, code = keep(verdicts.card_verdicts(rows, with_text=False)), keep(verdicts.code_verdicts(models, tree, files, keeper(spark)))
-    paper = keep(verdicts.paper_verdicts(models, spark.createDataFrame([], "arxiv_id string, html string"), papers, keeper(spark)))
-    out = results(rows, card, code, paper, keep)
-    return out.select("id", "chip_provider", "chip_provider_confidence", "chip_provider_source", "source_conflict", "quality_blocked_chip", "needs_llm")
-
+    _, tree, files, papers = _snapshots(spark, sf_dir)
+    rows = keep(link_and_rank(_told_of(spark, sf_dir)))
+    card, code = keep(verdicts.card_verdicts(rows)), keep(verdicts.code_verdicts(rows, tree, files, keep))
+    paper = keep(verdicts.paper_verdicts(rows, _rendered(spark, sf_dir), papers, keep))
+    out = results(rows, card, code, paper, keep, _answers(rows))
+    return out.select("id", "main_github", "main_arxiv", "gh_chip_provider", "ax_chip_provider", "chip_provider", "chip_provider_confidence", "chip_provider_source", "source_conflict", "quality_blocked_chip", "needs_llm")
