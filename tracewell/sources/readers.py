@@ -95,6 +95,13 @@ def ground_truth(spark: SparkSession, paths: list[str]) -> DataFrame:
     return spark.createDataFrame([], f"{S.GROUND_TRUTH}, file_pos int, row_pos long") if out is None else out
 
 
+def repo_metadata(rows: DataFrame, column: str = "json") -> DataFrame:
+    """(url, description, topics, language, fork, size_kb) of rows (url, and the repository's JSON object); what is no object gives no
+    row, and what an object lacks is null."""
+    own = rows.select("url", F.from_json(column, "description string, topics array<string>, language string, fork boolean, size long, bad string", {"columnNameOfCorruptRecord": "bad"}).alias("own"))
+    return own.filter("own IS NOT NULL AND own.bad IS NULL").select("url", "own.description", "own.topics", "own.language", "own.fork", F.col("own.size").alias("size_kb"))
+
+
 def paper_metadata(feeds: DataFrame, column: str = "xml") -> DataFrame:
     """feeds with title, abstract (500 characters), authors (10), categories (5) of an Atom entry."""
     text = lambda path: F.xpath_string(column, F.lit(path))
