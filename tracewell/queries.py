@@ -17,12 +17,13 @@ from pyspark.sql import functions as F
 from tracewell.functions import fixed_values as V
 from tracewell.functions.expr import noisy_or, py_round, spans
 from tracewell.functions.ordered import append_new, stable_argmax
-from tracewell.operators import evaluate, fusion, links, predicates, ranking, scan, selection, verdicts
+from tracewell.operators import completion, evaluate, fusion, links, predicates, ranking, scan, selection, verdicts
 from tracewell.operators import text as T
 from tracewell.operators.inherit import inherit
 from tracewell.operators.predicates import SNIPPETS
 from tracewell.plans.pipeline import link_and_rank, results
-from tracewell.sources import readers, sinks
+from tracewell.sources import fetch, readers, sinks
+from tracewell.sources.remote import Retryable
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -611,6 +612,68 @@ def json_round_trip(spark, sf_dir):
     return rows[0].unionByName(rows[1]).unionByName(rows[2])
 
 
+_HOST = "split_part(split_part(url, '://', 2), '/', 1)"
+
+
+@query(f"""
+WITH k AS (SELECT coalesce({_HOST}, '') AS host, url AS key, bool_or(page_id % 2 = 0) AS early FROM pages WHERE url IS NOT NULL GROUP BY ALL)
+SELECT host, key, CASE length(key) % 5 WHEN 0 THEN 404 WHEN 1 THEN 503 ELSE 200 END::INT AS status, CASE WHEN length(key) % 5 = 1 THEN 3 ELSE 1 END::INT AS tries,
+(CASE WHEN early AND length(key) % 5 = 1 THEN 2 ELSE 1 END)::BIGINT AS attempts, CASE WHEN length(key) % 5 > 1 THEN 'found at ' || key END AS content FROM k""")
+def fetch_runs(spark, sf_dir):
+    """Two runs of a store over the addresses of pages, the first over those of even pages: what was found or is not there is asked for
+    once, what the server could not give is asked for again. The server is a rule on the address's length."""
+
+    def server(key: str) -> str | None:
+        if len(key) % 5 == 1:
+            raise Retryable(503, 0.0)
+        return f"found at {key}" if len(key) % 5 else None
+
+    rows = table(spark, sf_dir, "pages").select("page_id", F.expr(_HOST).alias("host"), F.col("url").alias("key"))
+    name = f"runs_{uuid.uuid4().hex}"
+    store = fetch.Store(spark, name, f"{shared_dir(spark)}/tracewell/{name}", int(spark.conf.get("spark.sql.shuffle.partitions")))
+    for part in (rows.filter("page_id % 2 = 0"), rows):
+        store.update(store.put_keys(part), server, fetch.Budgets(other=fetch.Budget(lanes=8)))
+    asked = spark.table(store.table("status")).groupBy("host", "key").agg(F.count("*").alias("attempts"))
+    return store.statuses().join(asked, ["host", "key"]).join(store.contents(), ["host", "key"], "left").select("host", "key", "status", "tries", "attempts", "content")
+
+
+@query("""
+SELECT doc_id::VARCHAR AS id, CASE WHEN text IS NOT NULL AND length(text) % 7 > 0 THEN length(text) || ' characters, ' || ((length(text) - length(replace(text, 'the', ''))) // 3) || ' times the' END AS answer,
+CASE WHEN text IS NOT NULL AND length(text) % 7 > 0 THEN length(text) ELSE 0 END::DOUBLE AS cost, CASE WHEN text IS NOT NULL AND length(text) % 7 > 0 THEN 200 ELSE 0 END::INT AS status, CASE WHEN text IS NULL THEN 0 ELSE 1 END::INT AS tries FROM documents""")
+def completions(spark, sf_dir):
+    """The completion stage over all documents, with a client that counts instead of thinking, and breaks at every seventh length."""
+
+    def client():
+        async def call(prompt: str) -> tuple[str, float]:
+            if len(prompt) % 7 == 0:
+                raise ValueError("no answer")
+            return f"{len(prompt)} characters, {prompt.count('the')} times the", len(prompt)
+
+        return call
+
+    return completion.completed(table(spark, sf_dir, "documents").select(F.col("doc_id").alias("id"), F.col("text").alias("prompt")), client).drop("error")
+
+
+_LINK_HEAD, _LINK_RULE = completion._ASK["github"]
+_AROUND = "'  - ...' || regexp_replace(replace(substr(t, greatest(strpos(t, {0}) - 101, 0) + 1, least(strpos(t, {0}) - 1 + length({0}) + 100, length(t)) - greatest(strpos(t, {0}) - 101, 0)), chr(10), ' '), '^\\s+|\\s+$', '', 'g') || '...'"
+
+
+@query(
+    "WITH c AS (SELECT doc_id, concat('org', doc_id % 13, '/model-', doc_id) AS id, concat('https://github.com/org', doc_id % 13, '/model-', doc_id) AS u, 'https://github.com/huggingface/transformers' AS v, card FROM {CARD}), "
+    "p AS (SELECT *, concat(card, chr(10), 'Code: ', u, ' and ', v, ', our paper https://arxiv.org/abs/2401.', lpad((doc_id % 60)::VARCHAR, 5, '0'), chr(10)) AS t FROM c) "
+    f"SELECT id, concat('{_LINK_HEAD.split('{}')[0]}', id, '{_LINK_HEAD.split('{}')[1]}', chr(10), chr(10), 'Card:', chr(10), substr(t, 1, 4000), chr(10), chr(10), 'Candidates:', chr(10), '- ', u, chr(10), "
+    "CASE WHEN doc_id % 2 = 0 THEN concat('  Description: Number ', doc_id, chr(10), '  Topics: [a, b]', chr(10), '  Language: unknown; a fork: no; ', doc_id, ' KB') ELSE '  (nothing is known of it)' END, "
+    "chr(10), '- ', v, chr(10), '  (nothing is known of it)', chr(10), chr(10), 'Where the card names them:', chr(10), " + _AROUND.format("u") + ", chr(10), " + _AROUND.format("v") + f", chr(10), chr(10), '{_LINK_RULE}', chr(10), 'Answer with the address alone, or with None.') AS prompt FROM p"
+)
+def link_prompts(spark, sf_dir):
+    """What a model is asked about the repositories of each card; of every second one the repository's metadata is known."""
+    own = F.regexp_extract("modelcard", "Code: (\\S+) and", 1)
+    rows = _linked(spark, sf_dir).select("id", "modelcard", "pos", F.array(own, F.lit("https://github.com/huggingface/transformers")).alias("github_links"))
+    k = F.col("pos").cast("string")
+    known = rows.filter("pos % 2 = 0").select(F.get("github_links", F.lit(0)).alias("url"), F.concat(F.lit('{"description": "Number '), k, F.lit('", "topics": ["a", "b"], "size": '), k, F.lit("}")).alias("json"))
+    return completion.link_prompts(rows, completion.repo_told(readers.repo_metadata(known)), "github")
+
+
 # --- without SQL: tested against brute force --------------------------------------------------------------------------
 
 
