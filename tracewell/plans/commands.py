@@ -1,4 +1,4 @@
-"""The command line: run, ids, both, snapshot, report."""
+"""The command line: run, ids, both, snapshot, report, stage."""
 
 from __future__ import annotations
 
@@ -7,7 +7,7 @@ import argparse
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tracewell.operators import evaluate, selection
+from tracewell.operators import evaluate, links, selection, verdicts
 from tracewell.plans import pipeline
 from tracewell.sources import readers, sinks
 from tracewell.sources import schemas as S
@@ -54,6 +54,42 @@ def report(spark: SparkSession, a: argparse.Namespace) -> dict[str, DataFrame]:
     return out
 
 
+STAGES = ("links", "collections", "card", "code", "paper")
+
+
+def stage(spark: SparkSession, a: argparse.Namespace) -> DataFrame:
+    """One stage by itself over a snapshot folder, of listed ids only where a list is given: the choice of links, the papers that trusted
+    collections tell of, or the verdict of one kind of text (of code and papers: those that the card's own links lead to). Written as
+    one JSON array in order of id."""
+    table = lambda name: spark.read.parquet(f"{a.snapshots}/{name}")
+    n = iter(range(1 << 30))
+
+    def keep(df: DataFrame) -> DataFrame:
+        path = f"{a.out}/work/{next(n)}"
+        df.write.mode("overwrite").parquet(path)
+        return spark.read.schema(df.schema).parquet(path)
+
+    cards = table("cards").select("id", "modelcard")
+    cards = cards.join(readers.id_list(spark, a.ids_file).select("id"), "id", "left_semi") if a.ids_file else cards
+    if a.name == "collections":
+        out = links.propagate(table("collection_item"), cards)
+    elif a.name == "card":
+        out = verdicts.card_verdicts(selection.drop_blank(cards))
+    else:
+        out = pipeline.link_and_rank(selection.drop_blank(cards), table("collection_item"))
+        if a.name == "code":
+            out = verdicts.code_verdicts(keep(out), table("repo_tree"), table("repo_file"), keep)
+        elif a.name == "paper":
+            out = verdicts.paper_verdicts(keep(out), table("paper_html"), table("paper_text"), keep)
+        else:
+            out = out.drop("modelcard")
+    if "chip_providers_all" in out.columns:
+        out = out.withColumn("chip_providers_all", F.map_from_entries("chip_providers_all"))
+    out = keep(out)
+    sinks.json_array(out, f"{a.out}/{a.name}", ["id"])
+    return out
+
+
 def parser() -> argparse.ArgumentParser:
     p = argparse.ArgumentParser(prog="tracewell")
     commands = p.add_subparsers(dest="command", required=True)
@@ -95,6 +131,11 @@ def parser() -> argparse.ArgumentParser:
     c = commands.add_parser("report", help="score results against labels; two are compared")
     c.add_argument("results", nargs="+")
     c.add_argument("--ground-truth", nargs="+", required=True)
+    c = commands.add_parser("stage", help="one stage by itself over a snapshot folder")
+    c.add_argument("name", choices=STAGES)
+    c.add_argument("snapshots")
+    c.add_argument("out")
+    c.add_argument("--ids-file")
     return p
 
 
@@ -107,6 +148,10 @@ def main(args: list[str] | None = None) -> None:
         both(spark, a).show()
     elif a.command == "snapshot":
         sinks.run_snapshot({"results": readers.json_documents(spark, a.results, S.RESULTS)}, readers.id_list(spark, a.ids_file) if a.ids_file else None, a.out, a.suffix)
+    elif a.command == "stage":
+        out = stage(spark, a)
+        told = [c for c in ("chip_provider", "chip_provider_confidence", "chip_providers_all", "main_github", "main_github_confidence", "main_arxiv", "main_arxiv_confidence", "collection_paper_ids") if c in out.columns]
+        out.select("id", *told).orderBy("id").show(20, truncate=False)
     elif a.command == "report":
         for name, rows in report(spark, a).items():
             print(name)
