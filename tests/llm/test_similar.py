@@ -2,7 +2,7 @@
 
 import numpy as np
 
-from tracewell.llm import simhash
+from tracewell.llm import similar, simhash
 
 SCHEMA = "doc_id long, text string"
 
@@ -55,3 +55,30 @@ def test_equal_fingerprints(spark):
     assert len({simhash.fingerprint(t, 5) for t in texts}) == 1
     found = simhash.keep_one(spark.createDataFrame(list(enumerate(texts)), SCHEMA), 0.8).collect()
     assert sorted(r["doc_id"] for r in found) == [0, 1, 2]
+
+
+def test_simhash_links(spark):
+    """Near copies come from SimHashes, equal or a few bits apart, confirmed on sets: also a pair that shares no MinHash band."""
+    padding = ["0"] * 500  # sets all bits of the SimHash
+    own = padding + [f"a650x{k}" for k in range(404)]
+    alike = own[:860] + [f"b650x{k}" for k in range(44)]
+    unlike = padding + [f"c{k}" for k in range(404)]
+    plain = [f"d{k}" for k in range(3000)]
+    changed = [*plain[:1500], "changed", *plain[1501:]]
+    texts = [" ".join(t) for t in (own, alike, unlike, plain, changed)]
+    assert 0.8 < jaccard(texts[:2])[0, 1] < 0.81
+    docs = spark.createDataFrame(list(enumerate(texts)), SCHEMA)
+    rows = similar.with_sets(docs).cache()
+    mark = {r["doc_id"]: r for r in rows.collect()}
+    x, y = (mark[k]["own"].hex()[: similar.BANDS * similar.BAND_BINS] for k in (0, 1))
+    assert not any(x[k : k + similar.BAND_BINS] == y[k : k + similar.BAND_BINS] for k in range(0, len(x), similar.BAND_BINS))
+    apart = lambda a, b: bin((mark[a]["simhash"] ^ mark[b]["simhash"]) & (1 << 64) - 1).count("1")
+    assert apart(0, 1) == apart(0, 2) == 0 and 0 < apart(3, 4) <= 4
+    number = {mark[k]["fp"]: k for k in mark}
+    groups = simhash.shared_groups(rows)
+    held = {}
+    for r in groups.collect():
+        held.setdefault(r["cell"], set()).add(number[r["fp"]])
+    assert sorted(map(sorted, held.values())) == [[0, 1, 2], [3, 4]]
+    assert (3, 4) in {tuple(sorted((number[r["a"]], number[r["b"]]))) for r in simhash.confirmed_links(rows, groups, similar.Judge(0.8)).collect()} <= {(0, 1), (3, 4)}
+    assert sorted(r["doc_id"] for r in simhash.keep_one(docs, 0.8).collect()) == [0, 2, 3]

@@ -5,6 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
+import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -60,6 +61,15 @@ def part_of(column: str, bounds: list[int]) -> Column:
     return F.when(value.isNull(), 0).otherwise(tree(0, len(bounds)))
 
 
+def majority(hashes: np.ndarray) -> int:
+    """The 64 bits that are set in over half of these 64-bit hashes, 0 of none: their SimHash, unsigned."""
+    ones = np.zeros(64, np.int64)
+    for k in range(0, len(hashes), 1 << 16):
+        part = hashes[k : k + (1 << 16)]
+        ones += np.unpackbits(part.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(0, dtype=np.int64)
+    return int(np.packbits(2 * ones > len(hashes), bitorder="little").view(np.uint64)[0])
+
+
 def ascii_lower(text: Column) -> Column:
     """Lower case of A to Z only."""
     return F.translate(text, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")

@@ -19,8 +19,10 @@ Large cells.  A cell is searched breadth first: what is reached leaves the set o
 near copies costs about m comparisons and gives m - 1 links, a spanning forest, and not the square.  Cells above
 ``CELL_ROWS`` are dealt out as pairs of blocks, so that no task holds an unbounded cell.
 
-Near copies at a shingle similarity (``keep_one``) lie about ten bits apart at 0.8, which no cells of bits can find: see
-``similar``.
+Near copies at a shingle similarity (``keep_one``).  Groups over links of at most ``radius`` bits are found in the same way, and a
+group's members are confirmed on their full sets of shingles, first beside its smallest one (``confirmed_links``): what that
+joins is one part.  ``similar`` then goes on from part to part of a group, so that none hides others, and, as a pair at
+similarity 0.8 lies about ten bits apart, which no cells of bits can find, from part to part in bands of MinHash bins.
 """
 
 from __future__ import annotations
@@ -33,8 +35,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tracewell.llm import similar
-from tracewell.llm.common import stored
+from tracewell.llm import neardup, similar
+from tracewell.llm.common import majority, stored
 from tracewell.llm.components import named_groups
 
 BITS = 64
@@ -59,11 +61,7 @@ def fingerprint(text: str | None, shingle: int = 4, seed: int = 42) -> int:
     width = min(shingle, len(words))
     starts = np.concatenate([[0], ends[:-1] + 1])[: len(words) - width + 1]
     hashes = np.array([xxh64_intdigest(joined[a:b], seed) for a, b in zip(starts.tolist(), ends[width - 1 :].tolist())], np.uint64)
-    ones = np.zeros(BITS, np.int64)
-    for k in range(0, len(hashes), 1 << 16):
-        part = hashes[k : k + (1 << 16)]
-        ones += np.unpackbits(part.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(0, dtype=np.int64)
-    return int(np.packbits(2 * ones > len(hashes), bitorder="little").view(np.uint64)[0])
+    return majority(hashes)
 
 
 def fingerprints(docs: DataFrame, shingle: int = 4, seed: int = 42) -> DataFrame:
@@ -245,8 +243,28 @@ def near_duplicates(docs: DataFrame, radius: int = 4, shingle: int = 4, seed: in
     return prints.join(named, "fp", "left").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
-def keep_one(docs: DataFrame, similarity: float = 0.8, shingle: int = 5) -> DataFrame:
-    """docs with one document of each group of near copies: shingle sets at least that similar, directly or through others.
+def shared_groups(prints: DataFrame, radius: int = 4) -> DataFrame:
+    """(cell, fp): the groups, of two fps or more, of rows of prints (fp, own, simhash) that links of SimHashes at most radius bits apart
+    connect, equal ones too. Rows without words are in none; an fp whose texts have several SimHashes may be in several."""
+    marks = stored(prints.filter("own IS NOT NULL").select(F.col("simhash").alias("mark"), "fp").distinct(), "marks")
+    distinct = stored(with_table(marks.select(F.col("mark").alias("fp")).distinct()), "simhashes")
+    named = named_groups(distinct.select("fp", F.col("fp").alias("least")), links(distinct, radius)).toDF("mark", "group")
+    grouped = stored(marks.join(named, "mark").select(F.xxhash64(F.lit("simhash"), "group").alias("cell"), "fp").distinct(), "groups")
+    several = grouped.groupBy("cell").count().filter("count > 1")
+    return stored(grouped.join(several, "cell", "left_semi"), "shared-groups")
+
+
+def confirmed_links(prints: DataFrame, groups: DataFrame, judge: similar.Judge) -> DataFrame:
+    """(a, b): of each of groups (cell, fp) its smallest fp beside each other one whose set (prints: fp, shingles) is similar."""
+    hubs = groups.groupBy("cell").agg(F.min("fp").alias("hub"))
+    edges = groups.join(hubs, "cell").filter("fp <> hub").select("hub", "fp").distinct()
+    sets = stored(similar.sets_of(prints, groups.select("fp").distinct()), "simhash-sets")
+    return neardup.confirmed(edges, sets, judge)
+
+
+def keep_one(docs: DataFrame, similarity: float = 0.8, shingle: int = 5, radius: int = 4) -> DataFrame:
+    """docs with one document of each group of near copies: shingle sets at least that similar, directly or through others. They
+    are looked for in groups of SimHashes at most radius bits apart, and those that are further apart in bands of MinHash bins.
 
     The one with the smallest doc_id stays (rows that repeat that id with other texts: the one with the smallest text hash; rows
     that repeat id and text count once). Rows with a null doc_id all stay, since nothing can name them. Texts without a word,
@@ -254,7 +272,12 @@ def keep_one(docs: DataFrame, similarity: float = 0.8, shingle: int = 5) -> Data
     """
     if shingle != similar.minhash.SHINGLE:
         raise ValueError(f"the sets are of shingles of {similar.minhash.SHINGLE} words")
-    _, groups = similar.similar_groups(docs, similarity)
+
+    def known(prints: DataFrame, judge: similar.Judge) -> tuple[DataFrame, DataFrame]:
+        shared = shared_groups(prints, radius)
+        return shared, confirmed_links(prints, shared, judge)
+
+    _, groups = similar.similar_groups(docs, similarity, known)
     kept = groups.filter("first IS NOT NULL").select(F.col("first.doc_id").alias("__kept_id"), F.col("first.text_hash").alias("__kept_hash")).distinct()
     rows = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("__row"), F.col("doc_id").cast("long").alias("__id"), similar.text_hash().alias("__hash"))
     named = rows.join(kept, (F.col("__id") == F.col("__kept_id")) & (F.col("__hash") == F.col("__kept_hash")), "left_semi").dropDuplicates(["__id", "__hash"])

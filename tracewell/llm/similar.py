@@ -10,8 +10,10 @@ Judging.  With 512 bins the estimated similarity has a standard error of 0.019 a
 the similarity asked for is a link, one that is ``DOUBT`` below is none, and between them the shingle sets decide exactly
 (hashes of 32 bits: of two sets of 20,000 shingles less than one agrees by chance).
 
-Rounds.  The first looks for sure links only, in a few bands; what it joins is one *part*.  The second looks in all bands for
-links between different parts, exactly, so that a large group of near copies is found once and not once a band.
+Rounds.  Links that are known already (``simhash.keep_one`` brings those in groups of SimHashes, confirmed on the sets) make the first
+*parts*.  A first round looks for sure links only, in a few bands, and joins parts.  The second looks in all bands, and in the
+groups that came with the known links, for links between different parts, exactly, so that a large group of near copies is
+found once and not once a band.
 
 Cells.  Small cells give all their pairs of different parts.  In a larger one a document (with all of its part) leaves the set of
 the unreached only when its sets are found to be similar to one reached, so no document under the similarity hides others, and
@@ -30,7 +32,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tracewell.llm import minhash
-from tracewell.llm.common import stored
+from tracewell.llm.common import majority, stored
 from tracewell.llm.components import components, named_groups
 
 #: Bands, bins of a band, and bands of the first round.
@@ -48,23 +50,30 @@ def text_hash() -> Column:
 
 
 def with_sets(docs: DataFrame) -> DataFrame:
-    """(doc_id, text_hash, fp, own, shingles): the packed MinHash (null without words), a 64-bit hash of it, and the ascending
-    32-bit hashes of the set of shingles."""
+    """(doc_id, text_hash, fp, own, simhash, shingles): the packed MinHash (null without words), a 64-bit hash of it, the SimHash of
+    the shingles, repeats included, as a signed long, and the ascending 32-bit hashes of their set."""
 
     def compute(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         made = minhash.fingerprinter()
         for batch in batches:
             for first in range(0, batch.num_rows, 256):
-                part, own, sets = batch.slice(first, 256), [], []
+                part, own, marks, sets = batch.slice(first, 256), [], [], []
                 for text in part.column(2):
                     hashes = made.shingles(made.words(text.as_py()))
                     own.append(made.packed(hashes))
+                    marks.append(majority(hashes))
                     sets.append(np.unique((hashes >> np.uint64(16)).astype(np.uint32)).tobytes())
-                yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(own, pa.binary()), pa.array(sets, pa.binary())], ["doc_id", "text_hash", "own", "shingles"])
+                marks = np.array(marks, np.uint64).view(np.int64)
+                yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(own, pa.binary()), pa.array(marks), pa.array(sets, pa.binary())], ["doc_id", "text_hash", "own", "simhash", "shingles"])
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_hash().alias("text_hash"), "text")
-    sets = rows.mapInArrow(compute, "doc_id long, text_hash long, own binary, shingles binary")
-    return sets.select("doc_id", "text_hash", F.xxhash64("own").alias("fp"), "own", "shingles")
+    sets = rows.mapInArrow(compute, "doc_id long, text_hash long, own binary, simhash long, shingles binary")
+    return sets.select("doc_id", "text_hash", F.xxhash64("own").alias("fp"), "own", "simhash", "shingles")
+
+
+def sets_of(prints: DataFrame, needed: DataFrame) -> DataFrame:
+    """(fp, shingles), a row each of needed (fp). One row a fingerprint before the join, so that many copies of one do not meet in a task."""
+    return prints.groupBy("fp").agg(F.first("shingles").alias("shingles")).join(needed, "fp", "left_semi")
 
 
 def band_keys(bands: range) -> Column:
@@ -179,8 +188,9 @@ def meetings(cell: np.ndarray, fp: np.ndarray, part: np.ndarray, open_cell: int
     )
 
 
-def met_in_bands(distinct: DataFrame, bands: range) -> DataFrame:
-    """The meetings of rows of distinct (fp, own, part) in these bands; a large cell's rows may be of one part where it fills a task's hold."""
+def met_in_bands(distinct: DataFrame, bands: range, groups: DataFrame | None = None) -> DataFrame:
+    """The meetings of rows of distinct (fp, own, part) in these bands, and in groups (cell, fp); a large cell's rows may be of one part where
+    it fills a task's hold."""
 
     def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[np.ndarray] = []
@@ -200,8 +210,10 @@ def met_in_bands(distinct: DataFrame, bands: range) -> DataFrame:
         if n:
             yield meetings(*np.concatenate(held, axis=1), open_cell)
 
-    dealt = distinct.filter("own IS NOT NULL").select(F.explode(band_keys(bands)).alias("cell"), "fp", "part").repartition("cell").sortWithinPartitions("cell")
-    return dealt.mapInArrow(meet, "cell long, a long, b long")
+    cells = distinct.filter("own IS NOT NULL").select(F.explode(band_keys(bands)).alias("cell"), "fp", "part")
+    if groups is not None:
+        cells = cells.unionByName(groups.join(distinct.select("fp", "part"), "fp"))
+    return cells.repartition("cell").sortWithinPartitions("cell").mapInArrow(meet, "cell long, a long, b long")
 
 
 def estimated(pairs: DataFrame, distinct: DataFrame, judge: Judge) -> DataFrame:
@@ -272,13 +284,14 @@ def in_large_cells(cells: DataFrame, judge: Judge) -> DataFrame:
 
 
 def sure_links(distinct: DataFrame, judge: Judge) -> DataFrame:
-    """(a, b): links between rows of distinct (fp, own) that are sure by their estimate, as far as the first bands show them."""
-    met = stored(met_in_bands(distinct.withColumn("part", F.col("fp")), range(FIRST_BANDS)), "met-first")
+    """(a, b): links between rows of distinct (fp, own, part) of different parts that are sure by their estimate, as far as the first bands
+    show them."""
+    met = stored(met_in_bands(distinct, range(FIRST_BANDS)), "met-first")
     pairs = estimated(met.filter("b IS NOT NULL").select("a", "b").distinct(), distinct, judge).filter("sure").select("a", "b")
     members = met.filter("b IS NULL").select("cell", F.col("a").alias("fp"))
     sizes = members.groupBy("cell").agg(F.ceil(F.count("*") / BLOCK_ROWS).alias("s"))
-    large = members.join(sizes, "cell").select("cell", "fp", F.col("fp").alias("part"), F.pmod(F.xxhash64("cell", "fp"), F.col("s")).alias("block"))
-    return pairs.unionByName(in_large_cells(large.join(distinct.select("fp", "own"), "fp"), judge)).distinct()
+    large = members.join(sizes, "cell").select("cell", "fp", F.pmod(F.xxhash64("cell", "fp"), F.col("s")).alias("block"))
+    return pairs.unionByName(in_large_cells(large.join(distinct.select("fp", "part", "own"), "fp"), judge)).distinct()
 
 
 def blocks(members: DataFrame) -> DataFrame:
@@ -301,10 +314,11 @@ def blocks(members: DataFrame) -> DataFrame:
     return placed.select("cell", "fp", "part", F.explode(F.when(F.col("part") == F.col("top"), of_top).otherwise(F.concat(with_top, with_others))).alias("block"))
 
 
-def exact_links(distinct: DataFrame, sets_of: Callable[[DataFrame], DataFrame], judge: Judge) -> DataFrame:
-    """(a, b): links between rows of distinct (fp, own, n_bytes, part) of different parts that share any band and whose sets (sets_of gives
-    fp, shingles, a row each, of a table of fp) are similar: every such pair is returned or connected by others."""
-    met = stored(met_in_bands(distinct, range(BANDS)), "met")
+def exact_links(distinct: DataFrame, sets_of: Callable[[DataFrame], DataFrame], judge: Judge, groups: DataFrame | None = None) -> DataFrame:
+    """(a, b): links between rows of distinct (fp, own, n_bytes, part) of different parts that share any band, or one of groups (cell, fp),
+    and whose sets (sets_of gives fp, shingles, a row each, of a table of fp) are similar: every such pair is returned or connected by
+    others."""
+    met = stored(met_in_bands(distinct, range(BANDS), groups), "met")
     judged = stored(estimated(met.filter("b IS NOT NULL").select("a", "b").distinct(), distinct, judge), "estimated")
     members = met.filter("b IS NULL").select("cell", F.col("a").alias("fp")).join(distinct.select("fp", "part", "n_bytes"), "fp")
     placed = stored(blocks(members), "placed")
@@ -316,19 +330,29 @@ def exact_links(distinct: DataFrame, sets_of: Callable[[DataFrame], DataFrame],
     return found.unionByName(in_large_cells(large, judge)).distinct()
 
 
-def similar_groups(docs: DataFrame, similarity: float = 0.8) -> tuple[DataFrame, DataFrame]:
-    """prints (doc_id, text_hash, fp, own, shingles) of docs, and (fp, first): first is the smallest (doc_id, text_hash) of each
-    fingerprint's group, null where none of its rows has a doc_id."""
+def with_parts(distinct: DataFrame, links: DataFrame) -> DataFrame:
+    """distinct with part: the smallest fp that a row is connected with over links (a, b), its own included."""
+    return distinct.join(components(links).toDF("fp", "part"), "fp", "left").withColumn("part", F.coalesce("part", "fp"))
+
+
+def similar_groups(docs: DataFrame, similarity: float = 0.8, known: Callable[[DataFrame, Judge], tuple[DataFrame, DataFrame]] | None = None) -> tuple[DataFrame, DataFrame]:
+    """prints (doc_id, text_hash, fp, own, simhash, shingles) of docs, and (fp, first): first is the smallest (doc_id, text_hash) of each
+    fingerprint's group, null where none of its rows has a doc_id. known gives, of prints, groups (cell, fp) to look for links
+    in besides bands, and links (a, b) that hold already."""
     judge = Judge(similarity)
     prints = stored(with_sets(docs), "sets-of-shingles")
     named = F.when(F.col("doc_id").isNotNull(), F.struct("doc_id", "text_hash"))
     distinct = stored(prints.groupBy("fp", "own").agg(F.min(named).alias("least"), F.max(F.length("shingles") + 256).cast("long").alias("n_bytes")), "distinct")
-    first = stored(sure_links(distinct, judge), "sure")
-    parts = distinct.select("fp", "own", "n_bytes").join(components(first).toDF("fp", "part"), "fp", "left").withColumn("part", F.coalesce("part", "fp"))
-    # one row a fingerprint before the join, so that many copies of one do not meet in a task
-    sets_of = lambda needed: prints.groupBy("fp").agg(F.first("shingles").alias("shingles")).join(needed, "fp", "left_semi")
-    second = exact_links(stored(parts, "parts"), sets_of, judge)
-    return prints, named_groups(distinct.select("fp", "least"), first.unionByName(second)).withColumnRenamed("component_id", "first")
+    rows = distinct.select("fp", "own", "n_bytes")
+    groups, links, parts = None, None, rows.withColumn("part", F.col("fp"))
+    if known:
+        groups, links = known(prints, judge)
+        links = stored(links, "known")
+        parts = stored(with_parts(rows, links), "known-parts")
+    sure = stored(sure_links(parts, judge), "sure")
+    links = links.unionByName(sure) if known else sure
+    second = exact_links(stored(with_parts(rows, links), "parts"), lambda needed: sets_of(prints, needed), judge, groups)
+    return prints, named_groups(distinct.select("fp", "least"), links.unionByName(second)).withColumnRenamed("component_id", "first")
 
 
 def near_copies(docs: DataFrame, similarity: float = 0.8) -> DataFrame:
