@@ -23,6 +23,8 @@ from pyspark.sql import functions as F
 from tracewell.llm import tokenize
 
 CHUNK_PIECES = 16_384
+#: Characters of a block of texts, whose distinct words are looked up once.
+BLOCK_CHARS = 1 << 21
 #: Room (as a part of the window) above which a chunk's sequence is opened again.
 REOPEN = 0.02
 #: Shortest fragment that the end of a task cuts a piece into.
@@ -117,7 +119,7 @@ def pieces(docs: DataFrame, vocabulary: str, end_id: int, window: int) -> DataFr
         kind = np.dtype("<u2" if max(tokenizer.n_vocab, end_id + 1) <= 1 << 16 else "<u4")
         for batch in batches:
             at = 0
-            for block in tokenize.blocks(t.as_py() for t in batch.column(1)):
+            for block in tokenize.blocks((t.as_py() for t in batch.column(1)), BLOCK_CHARS):
                 doc, start, data, total, deal = [], [], [], [], []
                 for k, ids in enumerate(tokenizer.ids(block), at):
                     ids = np.append(ids, np.uint32(end_id)).astype(kind)

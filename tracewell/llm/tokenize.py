@@ -2,7 +2,8 @@
 
 Both vocabularies split a text by a pattern and then merge inside each piece, so the ids of a text are the ids of its
 pieces one after another.  ``BatchTokenizer`` uses that: pieces go through a bounded piece-to-ids table that the
-``tokenizers`` library fills, and numpy joins the ids.  The shortcut is taken only for texts all of whose characters lie
+``tokenizers`` library fills, and numpy joins the ids.  Where no piece holds white space, Arrow
+splits texts there, and of a block's words only the distinct ones are looked up, in a table of their own.  The shortcut is taken only for texts all of whose characters lie
 in a range where normalisation and character classes are the same in every Unicode version; every other text, and every
 very long piece, goes through the library whole.
 """
@@ -10,11 +11,13 @@ very long piece, goes through the library whole.
 from __future__ import annotations
 
 import re
-from collections.abc import Iterable
-from functools import lru_cache
+from collections.abc import Callable, Iterable
+from functools import lru_cache, partial
 from itertools import chain, repeat
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
 #: Characters whose classes, case and normal form are settled: printable ASCII, tab, LF, CR, U+00A1 to U+012F.
 _UNSETTLED = re.compile("[^\t\n\r\x20-\x7e¡-į]")
@@ -36,6 +39,64 @@ def vocabulary_path(name_or_path: str) -> str:
     return public_tokenizers.path(name_or_path)
 
 
+def spread(first: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """first[0], first[0] + 1 and so on, counts[0] numbers; then those from first[1] on, and so on."""
+    ends = np.cumsum(counts)
+    return np.arange(ends[-1] if len(ends) else 0) + np.repeat(first - ends + counts, counts)
+
+
+class IdTable:
+    """Words and their ids, which learn gives one after another, with how many each word has. Of a full table, the words stay that were
+    met again since it was last full, half of it at most, the oldest first."""
+
+    def __init__(self, size: int, longest: int, learn: Callable[[list[str]], tuple[np.ndarray, np.ndarray]]):
+        self.size, self.longest, self.learn = size, longest, learn
+        self._clear()
+
+    def _clear(self) -> None:
+        self.at: dict[str, int] = {}
+        self.flat = np.zeros(1 << 16, np.uint32)
+        self.first = np.zeros(1 << 15, np.int64)
+        self.count = np.zeros(1 << 15, np.int64)
+        self.again = np.zeros(1 << 15, bool)
+        self.used = 0
+
+    def _add(self, words: list[str], ids: np.ndarray, counts: np.ndarray) -> None:
+        n, k = len(ids), len(self.at)
+        while self.used + n > len(self.flat):
+            self.flat = np.concatenate([self.flat, np.zeros_like(self.flat)])
+        while k + len(words) > len(self.first):
+            self.first, self.count, self.again = (np.concatenate([a, np.zeros_like(a)]) for a in (self.first, self.count, self.again))
+        self.count[k : k + len(words)] = counts
+        self.first[k : k + len(words)] = self.used + np.cumsum(counts) - counts
+        self.flat[self.used : self.used + n] = ids
+        self.used += n
+        self.at.update(zip(words, range(k, k + len(words))))
+
+    def _make_room(self) -> None:
+        kept = np.flatnonzero(self.again[: len(self.at)])[: self.size // 2]
+        words, first, counts, flat = list(self.at), self.first[kept], self.count[kept], self.flat
+        self._clear()
+        self._add([words[k] for k in kept.tolist()], flat[spread(first, counts)], counts)
+
+    def ids(self, words: list[str]) -> tuple[np.ndarray, np.ndarray] | None:
+        """The words' ids one after another, and how many each has; none if a word is too long to be kept."""
+        where = np.fromiter(map(self.at.get, words, repeat(-1)), np.int64, len(words))
+        self.again[where[where >= 0]] = True
+        lacking = np.flatnonzero(where < 0)
+        if len(lacking):
+            new = list(dict.fromkeys([words[i] for i in lacking.tolist()]))
+            if max(map(len, new)) > self.longest:  # never kept, so always among the new
+                return None
+            if len(self.at) + len(new) > self.size:
+                self._make_room()
+                new, lacking = [w for w in dict.fromkeys(words) if w not in self.at], np.arange(len(words))
+            self._add(new, *self.learn(new))
+            where[lacking] = np.fromiter(map(self.at.__getitem__, [words[i] for i in lacking.tolist()]), np.int64, len(lacking))
+        counts = self.count[where]
+        return self.flat[spread(self.first[where], counts)], counts
+
+
 class BatchTokenizer:
     """ids(texts) -> one uint32 array a text; equal to the library's own result without special tokens."""
 
@@ -53,15 +114,8 @@ class BatchTokenizer:
         for token, i in self.lib.get_vocab(with_added_tokens=True).items():
             self.edges[i] = token.endswith("</w>") if self.lower else token.startswith("Ġ")
         self.glue = self.lib.token_to_id("Ċ")
-        self.table_size = table_size
-        self._clear()
-
-    def _clear(self) -> None:
-        self.at: dict[str, int] = {}
-        self.flat = np.zeros(1 << 16, np.uint32)
-        self.first = np.zeros(1 << 15, np.int64)
-        self.count = np.zeros(1 << 15, np.int64)
-        self.used = 0
+        self.table = IdTable(table_size, self.LONGEST_PIECE, self._learn)
+        self.between_space = IdTable(table_size, self.LONGEST_PIECE, self._by_pieces) if self.lower else None
 
     def _encoded(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """The words' ids one after another, and how many each has."""
@@ -83,56 +137,66 @@ class BatchTokenizer:
         counts = np.bincount(number, minlength=len(words)) if len(number) and number[0] == 0 else np.zeros(0, np.int64)
         return (ids, counts) if len(counts) == len(words) and counts.all() else self._encoded(words)
 
-    def _learn(self, words: list[str]) -> None:
-        spaced = [] if self.lower else [w for w in words if w[0] == " " and not w.isspace()]
-        blank = [w for w in words if w.isspace()]
-        plain = [w for w in words if not w[0].isspace()]
-        for part, how in ((spaced, lambda p: self._joined(p, "")), (blank, self._encoded), (plain, lambda p: self._joined(p, " " if self.lower else "\n"))):
-            if part:
-                self._add(part, *how(part))
-
-    def _add(self, words: list[str], ids: np.ndarray, counts: np.ndarray) -> None:
-        n, k = len(ids), len(self.at)
-        while self.used + n > len(self.flat):
-            self.flat = np.concatenate([self.flat, np.zeros_like(self.flat)])
-        while k + len(words) > len(self.first):
-            self.first, self.count = (np.concatenate([a, np.zeros_like(a)]) for a in (self.first, self.count))
-        self.count[k : k + len(words)] = counts
-        self.first[k : k + len(words)] = self.used + np.cumsum(counts) - counts
-        self.flat[self.used : self.used + n] = ids
-        self.used += n
-        self.at.update(zip(words, range(k, k + len(words))))
+    def _learn(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        if self.lower:
+            return self._joined(words, " ")
+        blank = np.fromiter(map(str.isspace, words), bool, len(words))
+        spaced = np.fromiter((w[0] == " " for w in words), bool, len(words)) & ~blank
+        counts, parts = np.zeros(len(words), np.int64), []
+        for own, how in ((spaced, lambda p: self._joined(p, "")), (blank, self._encoded), (~spaced & ~blank, lambda p: self._joined(p, "\n"))):
+            if own.any():
+                ids, counts[own] = how([words[k] for k in np.flatnonzero(own).tolist()])
+                parts.append((own, ids))
+        first, at = np.zeros(len(words), np.int64), 0
+        for own, ids in parts:
+            first[own] = at + np.cumsum(counts[own]) - counts[own]
+            at += len(ids)
+        return np.concatenate([ids for _, ids in parts])[spread(first, counts)], counts
+
+    def _by_pieces(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        pieces = list(map(self.pieces.findall, words))
+        ids, counts = self.table.ids(list(chain.from_iterable(pieces)))
+        return ids, np.diff(np.concatenate([[0], np.cumsum(counts)])[np.concatenate([[0], np.cumsum(list(map(len, pieces)))])])
 
     def _whole(self, texts: list[str]) -> list[np.ndarray]:
         return [np.array(e.ids, np.uint32) for e in self.lib.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def ids(self, texts: list[str]) -> list[np.ndarray]:
-        """One array a text. Texts are taken together, so give a block of a few hundred thousand characters."""
-        odd = {k for k, text in enumerate(texts) if _UNSETTLED.search(text)}
-        find = self.pieces.findall
-        pieces = [[] if k in odd else find(text.lower() if self.lower else text) for k, text in enumerate(texts)]
-        n = np.fromiter(map(len, pieces), np.int64, len(pieces))
-        flat = list(chain.from_iterable(pieces))
-        where = np.fromiter(map(self.at.get, flat, repeat(-1)), np.int64, len(flat))
-        lacking = np.flatnonzero(where < 0)
-        if len(lacking):
-            new = list(dict.fromkeys([flat[i] for i in lacking.tolist()]))
-            if max(map(len, new)) > self.LONGEST_PIECE:  # never kept, so always among the new: such texts go whole, the others again
-                odd |= {k for k, own in enumerate(pieces) if own and max(map(len, own)) > self.LONGEST_PIECE}
-                rest = [k for k in range(len(texts)) if k not in odd]
-                out = dict(zip(rest, self.ids([texts[k] for k in rest]))) | dict(zip(sorted(odd), self._whole([texts[k] for k in sorted(odd)])))
-                return [out[k] for k in range(len(texts))]
-            if len(self.at) + len(new) > self.table_size:
-                self._clear()
-                new, lacking = list(dict.fromkeys(flat)), np.arange(len(flat))
-            self._learn(new)
-            where[lacking] = np.fromiter(map(self.at.__getitem__, [flat[i] for i in lacking.tolist()]), np.int64, len(lacking))
-        counts = self.count[where]
-        ends = np.cumsum(counts)
-        ids = self.flat[np.arange(ends[-1] if len(ends) else 0) + np.repeat(self.first[where] - ends + counts, counts)]
-        cuts = np.concatenate([[0], ends])[np.cumsum(n)]
-        out = [ids[a:b] for a, b in zip([0, *cuts[:-1].tolist()], cuts.tolist())]
-        for k, own in zip(sorted(odd), self._whole([texts[k] for k in sorted(odd)])):
+    def _from_pieces(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray] | None:
+        """All ids of settled texts one after another, and how many each text has; none if a piece is too long to be kept."""
+        pieces = [self.pieces.findall(text.lower() if self.lower else text) for text in texts]
+        found = self.table.ids(list(chain.from_iterable(pieces)))
+        return found and (found[0], np.diff(np.concatenate([[0], np.cumsum(found[1])])[np.cumsum([0, *map(len, pieces)])]))
+
+    def _from_words(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray] | None:
+        """The same by what stands between white space; none if that is too long to be kept somewhere."""
+        words = pc.ascii_split_whitespace(pc.ascii_trim_whitespace(pa.array([text.lower() for text in texts], pa.string())))
+        coded = words.flatten().dictionary_encode()
+        found = self.between_space.ids(coded.dictionary.to_numpy(zero_copy_only=False).tolist())
+        if found is None:
+            return None
+        ids, counts = found
+        where = coded.indices.to_numpy()
+        each = counts[where]
+        return ids[spread((np.cumsum(counts) - counts)[where], each)], np.diff(np.concatenate([[0], np.cumsum(each)])[words.offsets.to_numpy()])
+
+    def ids(self, texts: list[str], fine: bool = False) -> list[np.ndarray]:
+        """One array a text. Texts are taken together, so give a block of a few hundred thousand characters. fine: by pieces at once."""
+        odd = [k for k, text in enumerate(texts) if _UNSETTLED.search(text)]
+        fine = fine or not self.lower
+        blanked = list(texts)
+        for k in odd:
+            blanked[k] = ""
+        found = (self._from_pieces if fine else self._from_words)(blanked)
+        if found is None:  # texts with very long words go by pieces, those with very long pieces whole, the others again
+            parts = self.pieces.findall if fine else str.split
+            long = [k for k, text in enumerate(blanked) if max(map(len, parts(text.lower() if self.lower else text)), default=0) > self.LONGEST_PIECE]
+            rest = sorted(set(range(len(texts))).difference(long))
+            how = self._whole if fine else partial(self.ids, fine=True)
+            out = dict(zip(rest, self.ids([texts[k] for k in rest], fine))) | dict(zip(long, how([texts[k] for k in long])))
+            return [out[k] for k in range(len(texts))]
+        cuts = np.cumsum(found[1]).tolist()
+        out = [found[0][a:b] for a, b in zip([0, *cuts[:-1]], cuts)]
+        for k, own in zip(odd, self._whole([texts[k] for k in odd])):
             out[k] = own
         return out
 
