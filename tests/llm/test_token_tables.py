@@ -2,6 +2,9 @@
 
 import random
 
+import pyarrow as pa
+
+from tracewell.llm import packing
 from tracewell.llm.tokenize import BatchTokenizer
 
 
@@ -27,3 +30,28 @@ def test_words_of_any_shape():
             texts = ["".join(rng.choice(parts) + rng.choice(["", " "]) for _ in range(rng.randrange(12))) for _ in range(9)]
             for text, ids in zip(texts, t.ids(texts), strict=True):
                 assert ids.tolist() == t.lib.encode(text, add_special_tokens=False).ids, text
+
+
+def test_packing_leaves_no_tables_in_workers(spark):
+    """Workers stay beside those that run next and are used for other stages, so what each holds adds up."""
+    docs = spark.createDataFrame([(k, " ".join(f"w{k}x{n}" for n in range(50))) for k in range(40)], "doc_id long, text string").repartition(4)
+    assert packing.pack(docs).select("doc_id").distinct().count() == 40
+
+    def held(batches):
+        from tracewell.llm import tokenize
+
+        for batch in batches:
+            t = tokenize.tokenizer("word_bpe_49k.json")
+            yield pa.RecordBatch.from_pydict({"n": [len(t.table.at) + len(t.between_space.at)]})
+
+    assert {r["n"] for r in spark.range(0, 64, 1, 16).mapInArrow(held, "n long").collect()} == {0}
+
+
+def test_a_rested_tokenizer_learns_again():
+    t = BatchTokenizer("word_bpe_49k.json", 50)
+    texts = ["one two three don't", " ".join(f"w{n}" for n in range(70)), "one"]
+    for _ in range(3):
+        for text, ids in zip(texts, t.ids(texts), strict=True):
+            assert ids.tolist() == t.lib.encode(text, add_special_tokens=False).ids
+        t.rest()
+        assert not t.table.at and not t.between_space.at and t.table.used == 0

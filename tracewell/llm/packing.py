@@ -24,7 +24,7 @@ from tracewell.llm import tokenize
 
 CHUNK_PIECES = 16_384
 #: Characters of a block of texts, whose distinct words are looked up once.
-BLOCK_CHARS = 1 << 21
+BLOCK_CHARS = 1 << 20
 #: Room (as a part of the window) above which a chunk's sequence is opened again.
 REOPEN = 0.02
 #: Shortest fragment that the end of a task cuts a piece into.
@@ -133,6 +133,7 @@ def pieces(docs: DataFrame, vocabulary: str, end_id: int, window: int) -> DataFr
                         deal.append(zlib.crc32(raw, hash((doc_id, s)) & 0xFFFFFFFF))
                 at += len(block)
                 yield pa.RecordBatch.from_arrays([pa.array(doc, pa.int64()), pa.array(start, pa.int64()), pa.array(data, pa.binary()), pa.array(total, pa.int64()), pa.array([8 * kind.itemsize] * len(doc), pa.int32()), pa.array(deal, pa.int64())], ["doc_id", "start", "ids", "doc_tokens", "bits", "deal"])
+        tokenizer.rest()
 
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(cut, "doc_id long, start long, ids binary, doc_tokens long, bits int, deal long")
 

@@ -47,7 +47,7 @@ def spread(first: np.ndarray, counts: np.ndarray) -> np.ndarray:
 
 class IdTable:
     """Words and their ids, which learn gives one after another, with how many each word has. Of a full table, the words stay that were
-    met again since it was last full, half of it at most, the oldest first."""
+    met again since keep was last called, half of it at most, the oldest first."""
 
     def __init__(self, size: int, longest: int, learn: Callable[[list[str]], tuple[np.ndarray, np.ndarray]]):
         self.size, self.longest, self.learn = size, longest, learn
@@ -73,11 +73,15 @@ class IdTable:
         self.used += n
         self.at.update(zip(words, range(k, k + len(words))))
 
-    def _make_room(self) -> None:
-        kept = np.flatnonzero(self.again[: len(self.at)])[: self.size // 2]
-        words, first, counts, flat = list(self.at), self.first[kept], self.count[kept], self.flat
+    def keep(self, most: int) -> None:
+        """Leaves the words that were met again since the last call, most of them at most, the oldest first. They are copied: a few old
+        ones here and there would hold the memory of all."""
+        kept = np.flatnonzero(self.again[: len(self.at)])[:most]
+        words, counts, ids = list(self.at), self.count[kept], self.flat[spread(self.first[kept], self.count[kept])]
+        copies = pa.array([words[k] for k in kept.tolist()], pa.string())
+        del words
         self._clear()
-        self._add([words[k] for k in kept.tolist()], flat[spread(first, counts)], counts)
+        self._add(copies.to_pylist(), ids, counts)
 
     def ids(self, words: list[str]) -> tuple[np.ndarray, np.ndarray] | None:
         """The words' ids one after another, and how many each has; none if a word is too long to be kept."""
@@ -89,7 +93,7 @@ class IdTable:
             if max(map(len, new)) > self.longest:  # never kept, so always among the new
                 return None
             if len(self.at) + len(new) > self.size:
-                self._make_room()
+                self.keep(self.size // 2)
                 new, lacking = [w for w in dict.fromkeys(words) if w not in self.at], np.arange(len(words))
             self._add(new, *self.learn(new))
             where[lacking] = np.fromiter(map(self.at.__getitem__, [words[i] for i in lacking.tolist()]), np.int64, len(lacking))
@@ -200,10 +204,17 @@ class BatchTokenizer:
             out[k] = own
         return out
 
+    def rest(self) -> None:
+        """Empties the tables, for the end of a task: an executor has more workers than run at a time, and those that wait, or go on to other
+        work, would each hold them."""
+        for table in filter(None, (self.table, self.between_space)):
+            table.keep(0)
+        pa.default_memory_pool().release_unused()
+
 
 @lru_cache(maxsize=1)
 def tokenizer(vocabulary: str) -> BatchTokenizer:
-    """This process's tokenizer: a worker's next task finds the pieces that its last one met."""
+    """This process's tokenizer: a worker's next task finds the pieces that its last one met, unless that called rest."""
     return BatchTokenizer(vocabulary)
 
 
