@@ -111,3 +111,23 @@ def test_first_class_loses_no_match(spark):
     for p in patterns[::6] + patterns[-7:]:
         own, plain = (F.regexp_extract_all("t", F.lit(x), F.lit(0)) for x in (rx(p), f"(?iUd){p}"))
         assert df.filter(~own.eqNullSafe(plain)).count() == 0, p
+
+
+def test_spans_of_texts_with_marks(spark):
+    """Characters that stand for marks may be in the text, once or beside a match; digits of any script begin a match."""
+    import re
+
+    from pyspark.sql import functions as F
+
+    from tracewell.functions import fixed_values as V
+    from tracewell.functions.expr import MARK, OTHER_MARK, rx
+
+    texts = [f"{MARK}we trained{MARK}on it{OTHER_MARK}", f"{MARK}{MARK}", "", None, f"a{MARK}we trained x we train", "need ٣٢ GPU hours, 12.5K npu  hour", "we train" * 40, "é\U0001f600 训练: 国产算力"]
+    df = spark.createDataFrame(list(enumerate(texts)), "id int, t string")
+    for most in (None, 2):
+        got = {r["id"]: [(s["start"], s["end"]) for s in r["s"]] for r in df.select("id", spans(F.col("t"), V.EXPLICIT_TRAINING, most).alias("s")).collect()}
+        assert got == {k: [m.span() for m in re.finditer(V.EXPLICIT_TRAINING, t or "", re.I)][:most] for k, t in enumerate(texts)}
+    for p in (V.EXPLICIT_TRAINING, V.HARDWARE_DURATION, V.SHORT_TRAINING):
+        assert rx(p).startswith("(?=[") and "\\p{Nd}" in rx(p)[: rx(p).index("]")]
+        own, plain = (F.regexp_extract_all("t", F.lit(x), F.lit(0)) for x in (rx(p), f"(?iUd){p}"))
+        assert df.filter(~own.eqNullSafe(plain)).count() == 0, p
