@@ -79,3 +79,31 @@ def test_failed_attempt_leaves_the_old_array(spark, tmp_path):
 def test_empty_array(spark, tmp_path):
     sinks.json_array(spark.createDataFrame([], SCHEMA), f"{tmp_path}/a", ["id"], f"{tmp_path}/one.json")
     assert json.load(open(f"{tmp_path}/one.json")) == [] and readers.json_documents(spark, f"{tmp_path}/a", SCHEMA).count() == 0
+
+
+def test_one_file_of_an_array_splits(spark, tmp_path):
+    """A file of one array is read by several tasks, none of which holds the array; arrays whose lines are no whole elements are read as before."""
+    df = table(spark).withColumn("text", F.concat(F.col("text"), F.lit('\\"{[}]\\\\ },{ "')))
+    sinks.json_array(df, f"{tmp_path}/array", ["id"], f"{tmp_path}/one.json")
+    most = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "4k")
+    try:
+        own = readers.json_documents(spark, f"{tmp_path}/one.json", SCHEMA)
+        assert own.rdd.getNumPartitions() > 2 and rows(own) == rows(df)
+        (tmp_path / "folder").mkdir()
+        for k in range(2):
+            open(f"{tmp_path}/folder/{k}.json", "w").write(open(f"{tmp_path}/one.json").read().replace("\n", "\r\n\n"))
+        assert arrays.element_lines(spark, f"{tmp_path}/folder") is not None
+        assert rows(readers.json_documents(spark, f"{tmp_path}/folder", SCHEMA)) == rows(df.unionByName(df))
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", most)
+
+
+@pytest.mark.parametrize("text", [
+    '[\n{"id": 1, "in": [{"a": 1},\n{"a": 2}]},\n{"id": 2}\n]', '[\n{"id": 1}, {"id": 2}\n]', '[{"id": 1},\n{"id": 2}]', '[\n{"id": 1\n},\n{"id": 2}\n]', '[{"id": 1}, {"id": 2}]', '[\n{"id": 1, "in": {"a": 1}},\n{"id": 2, "in": {\n"a": "}"}}\n]',
+    '[\n{"id": 1, "in": "\\\\\\"}"},\n{"id": 2,\n"in": "{"}\n]', '[\n{"id": 1},\n{"id": 2}\n]\n[\n{"id": 3}\n]', '[\n{"id": 1}\n,\n{"id": 2}\n]', '\n[\n\t{"id": 1, "in": [[{}, {}], {}]},\n {"id": 2}\n]\n\n',
+])
+def test_arrays_in_any_lines(spark, tmp_path, text):
+    path = f"{tmp_path}/x.json"
+    open(path, "w").write(text)
+    assert [r["id"] for r in rows(readers.json_documents(spark, path, "id long"))] == [1, 2]

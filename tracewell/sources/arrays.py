@@ -108,10 +108,45 @@ def scan(spark: SparkSession, path: str, schema: str) -> DataFrame:
     own = index(path) or {"parts": []}
     if not own["parts"]:
         return spark.createDataFrame([], schema)
-    lines = spark.read.text([f"{path}/{p['name']}" for p in own["parts"]])
+    return elements(spark.read.text([f"{path}/{p['name']}" for p in own["parts"]]), schema)
+
+
+def elements(lines: DataFrame, schema: str) -> DataFrame:
+    """lines (value): an element each, with or without the comma behind it."""
     return lines.select(F.from_json(F.regexp_replace("value", ",\\z", ""), schema).alias("r")).select("r.*")
 
 
+def element_lines(spark: SparkSession, path: str) -> DataFrame | None:
+    """The lines (value) that hold the elements of a file of one array, or of a folder of such files; null unless in every file all elements
+    are objects in lines of their own, between a line that opens the array and one that closes it. JSON has no line break within a string,
+    so each line tells by itself whether it is whole: outside its strings, its brackets are all closed once, at its end. The file is read once for that,
+    by as many tasks as it splits into; a reader of whole arrays holds all rows of one in a task."""
+    lines = spark.read.text(path)
+    if lines.columns != ["value"]:  # folders by a column's values
+        return None
+    line = F.btrim("value", F.lit(" \t"))
+    # what stands outside strings: every second piece between quotes, when escaped backslashes and quotes are gone
+    pieces = F.split(F.replace(F.replace(line, F.lit("\\\\"), F.lit("")), F.lit('\\"'), F.lit("")), '"', -1)
+    brackets = F.regexp_replace(F.array_join(F.filter(pieces, lambda _, k: k % 2 == 0), ""), "[^\\[\\]{}]", "")
+
+    def deeper(a: Column, c: Column) -> Column:
+        depth = a["depth"] + F.when(c.isin("{", "["), 1).otherwise(-1)
+        return F.struct(depth.alias("depth"), (a["ends"] + F.when(depth == 0, 1).otherwise(0)).alias("ends"))
+
+    once = F.aggregate(F.split(brackets, ""), F.struct(F.lit(0).alias("depth"), F.lit(0).alias("ends")), deeper, lambda a: (a["depth"] == 0) & (a["ends"] == 1))
+    whole = F.startswith(line, F.lit("{")) & (F.endswith(line, F.lit("}")) | F.endswith(line, F.lit("},"))) & (F.size(pieces) % 2 == 1) & F.when(brackets == "{}", True).otherwise(once)
+    kind = F.when(line == "[", "[").when(line == "]", "]").when(whole, F.when(F.endswith(line, F.lit(",")), "{,").otherwise("{"))
+    place = F.struct(F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("row"))
+    told = lines.select("value", F.col("_metadata.file_path").alias("file"), place.alias("place"), kind.alias("kind")).filter(line != "")
+    own = told.groupBy("file").agg(
+        F.count_if(F.expr("kind IS NULL")).alias("other"), F.count_if(F.expr("kind = '['")).alias("opened"), F.count_if(F.expr("kind = ']'")).alias("closed"), F.count_if(F.expr("kind = '{'")).alias("last"), F.count_if(F.expr("kind = '{,'")).alias("rest"),
+        F.min_by("kind", "place").alias("first"), F.max_by("kind", "place").alias("end"), F.max(F.when(F.expr("kind = '{'"), F.col("place"))).alias("at"), F.max(F.when(F.expr("kind = '{,'"), F.col("place"))).alias("before"),
+    )
+    fits = "other = 0 AND opened = 1 AND closed = 1 AND first = '[' AND end = ']' AND last = CASE WHEN rest > 0 THEN 1 ELSE last END AND last <= 1 AND (before IS NULL OR before < at)"
+    files = own.agg(F.count("*").alias("n"), F.count_if(F.expr(fits)).alias("fit")).first()
+    return lines.select(line.alias("value")).filter(F.startswith("value", F.lit("{"))) if files["n"] and files["n"] == files["fit"] else None
+
+
 def assemble(spark: SparkSession, path: str, file: str) -> None:
     """Makes one file of the array, whole or not at all: each part is copied to its offset by a task of its own. Both the folder and the
     file must be on a disk that all executors have mounted, as other stores cannot be written in places."""

@@ -65,11 +65,13 @@ def json_form(spark: SparkSession, path: str) -> str | None:
 
 def json_documents(spark: SparkSession, path: str, schema: str) -> DataFrame:
     """Documents of a file or folder, in whichever of three forms it holds them: JSON lines, JSON arrays (a file each), or an array that
-    ``arrays.write`` has left in parts. Files of one array are read whole by one task each, the other forms split. A missing path is an
-    error."""
+    ``arrays.write`` has left in parts. Files of one array split where every element stands in a line of its own; if any does not, they are
+    read whole by one task each. The other forms split. A missing path is an error."""
     form = json_form(spark, path)
     if form == "indexed":
         return arrays.scan(spark, path, schema)
+    if form == "array" and (lines := arrays.element_lines(spark, path)) is not None:
+        return arrays.elements(lines, schema)
     return spark.read.schema(schema).option("multiLine", form == "array").json(path)
 
 
