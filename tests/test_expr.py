@@ -131,3 +131,30 @@ def test_spans_of_texts_with_marks(spark):
         assert rx(p).startswith("(?=[") and "\\p{Nd}" in rx(p)[: rx(p).index("]")]
         own, plain = (F.regexp_extract_all("t", F.lit(x), F.lit(0)) for x in (rx(p), f"(?iUd){p}"))
         assert df.filter(~own.eqNullSafe(plain)).count() == 0, p
+
+
+def test_letters_that_fold_do_not_bypass_the_gates(spark):
+    """A text with a letter that folds, or a sharp s, is searched for the patterns whose literals it has, and loses none of their matches."""
+    from pyspark.sql import functions as F
+
+    from tracewell.functions import fixed_values as V
+    from tracewell.functions.expr import may_match, rx
+    from tracewell.operators import scan
+
+    texts = ["Die Straße ist groß, GROẞ und weit", "ınstınct İNSTİNCT Instinct", "Kunlunxin KUNLUN P800, baidu Kunlun", "ſnapdragon, tenſorrt; openvıno straße", "ſ ı İ K ß ẞ", "trained on Aı 1K", "fıne-tuned on x; traİned on y", None]
+    df = spark.createDataFrame([(k, t) for k, t in enumerate(texts)], "id int, text string")
+    told = {r["id"]: (r["may"], [(h["vendor"], h["pattern_pos"], h["start"], h["end"]) for h in r["h"] or ()]) for r in df.select("id", scan.may_hit("text").alias("may"), scan.signal_hits("text").alias("h")).collect()}
+    rules = {(v, k): p for v, own in V.SIGNALS.items() for k, p in enumerate(p for level in V.LEVEL_WEIGHTS for p in own.get(level, ()))}
+    n = df.select("id", F.array(*(F.size(F.regexp_extract_all("text", F.lit(rx(p)), F.lit(0))) for p in rules.values())).alias("n")).collect()
+    for r in n:
+        each = {}
+        for v, k, *_ in told[r["id"]][1]:
+            each[v, k] = each.get((v, k), 0) + 1
+        assert each == {rule: m for rule, m in zip(rules, r["n"]) if (m or 0) > 0}, texts[r["id"]]
+        assert not each or told[r["id"]][0]
+    assert told[1][1] and told[2][1] and told[3][1]
+    assert told[0][0] is False and told[4][0] is False
+    assert [r[0] for r in df.select(may_match(F.col("text"), V.EXPLICIT_TRAINING)).collect()][:1] == [False]
+    for p in (V.EXPLICIT_TRAINING, V.LAUNCHER):
+        own = F.size(spans(F.col("text"), p)) == F.size(F.regexp_extract_all("text", F.lit(f"(?iUd){p}"), F.lit(0)))
+        assert df.filter("text IS NOT NULL").filter(~own).count() == 0
